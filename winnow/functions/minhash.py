@@ -12,10 +12,9 @@ row), so no shuffle is needed until the LSH bucket join.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
@@ -54,28 +53,31 @@ def base_hash_expr(c) -> Column:
 
 def _signature_fn(num_perm: int, seed: int):
     consts = np.array(perm_constants(num_perm, seed), dtype=np.int64)
-    a = consts[:, 0:1]
-    b = consts[:, 1:2]
-    chunk = 4096
-
-    def sign(shingles: pa.Array) -> pa.Array:
-        out = []
-        for row in shingles.to_pylist():
-            if row is None:
-                out.append(None)
-                continue
-            h = np.fromiter(
-                (int.from_bytes(hashlib.md5(s.encode("utf-8")).digest()[:4], "big") % MERSENNE_P for s in row),
-                dtype=np.int64, count=len(row))
-            if h.size == 0:
-                out.append(None)
-                continue
-            best = np.full(num_perm, np.iinfo(np.int64).max, dtype=np.int64)
-            for lo in range(0, h.size, chunk):
-                part = h[lo:lo + chunk]
-                np.minimum(best, ((a * part + b) % MERSENNE_P).min(axis=1), out=best)
-            out.append(best)
-        return pa.array(out, type=pa.list_(pa.int64()))
+    a_s, b_s = consts[:, 0], consts[:, 1]
+
+    def sign(hashes: pa.Array) -> pa.Array:
+        """Whole Arrow batch at once: per permutation, one vectorized pass
+        over every hash of the batch and a segmented min per document."""
+        if isinstance(hashes, pa.ChunkedArray):
+            hashes = hashes.combine_chunks()
+        n = len(hashes)
+        offs = hashes.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        lens = np.diff(offs)
+        vals = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        base = offs[0]
+        starts = offs[:-1] - base
+        nonempty = lens > 0
+        out = np.zeros((n, num_perm), dtype=np.int64)
+        if vals.size:
+            idx = starts[nonempty]
+            for i in range(num_perm):
+                v = (a_s[i] * vals + b_s[i]) % MERSENNE_P
+                out[nonempty, i] = np.minimum.reduceat(v, idx)
+        flat = pa.array(out.ravel(), type=pa.int64())
+        offsets = pa.array(np.arange(0, (n + 1) * num_perm, num_perm, dtype=np.int32))
+        valid = pa.array(nonempty & hashes.is_valid().to_numpy(zero_copy_only=False))
+        res = pa.ListArray.from_arrays(offsets, flat, mask=pa.compute.invert(valid))
+        return res
 
     return sign
 
@@ -83,13 +85,20 @@ def _signature_fn(num_perm: int, seed: int):
 _SIGNERS: dict = {}
 
 
+def shingle_hashes(shingles) -> Column:
+    """array<string> -> array<bigint> of base hashes, computed in the JVM."""
+    col = F.col(shingles) if isinstance(shingles, str) else shingles
+    return F.transform(col, base_hash_expr)
+
+
 def minhash_signature(shingles, num_perm: int = NUM_PERM, seed: int = PERM_SEED) -> Column:
-    """array<string> shingle set -> array<bigint> signature (Arrow UDF, per row)."""
+    """array<string> shingle set -> array<bigint> signature.  Base hashes are
+    JVM expressions; the min over the affine family is an Arrow UDF that
+    works on whole batches with numpy (no per-shingle Python)."""
     key = (num_perm, seed)
     if key not in _SIGNERS:
         _SIGNERS[key] = F.arrow_udf(_signature_fn(num_perm, seed), ArrayType(LongType()))
-    col = F.col(shingles) if isinstance(shingles, str) else shingles
-    return _SIGNERS[key](col)
+    return _SIGNERS[key](shingle_hashes(shingles))
 
 
 def band_keys(sig, bands: int = DEFAULT_BANDS, rows: int = DEFAULT_ROWS) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions import minhash as mh
 from winnow.functions import text as tx
+from winnow.operators.partitioning import spread
 from winnow.session import checkpoint_dir
 
 BUCKET = ["band", "k1", "k2"]
@@ -61,12 +62,17 @@ def shingle_sets(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool
     Skipped documents are never duplicates."""
     text = F.col(cfg.text_col) if preprocessed else tx.preprocess(F.coalesce(F.col(cfg.text_col), F.lit("")))
     keep = [cfg.id_col] + ([cfg.scope_col] if cfg.scope_col else [])
-    d = docs.select(*keep, text.alias("_t")).where(F.length("_t") >= cfg.min_chars)
-    d = d.select(*keep,
-                 tx.word_ngrams("_t", cfg.ngram_size).alias("_w"),
-                 tx.jamo_ngrams("_t", cfg.jamo_ngram_size).alias("_j"))
-    d = d.where(F.size("_w") + F.size("_j") >= cfg.min_grams)
-    return d.select(*keep, F.array_distinct(F.concat("_w", "_j")).alias("shingles"))
+    d = spread(docs).select(*keep, text.alias("_t")).where(F.length("_t") >= cfg.min_chars)
+    # Gate 2 (word + jamo grams >= min_grams) is implied by gate 1 whenever a
+    # text of min_chars characters already yields enough jamo grams; only
+    # otherwise is it evaluated, from gram counts (no arrays are built twice).
+    if cfg.min_chars - cfg.jamo_ngram_size + 1 < cfg.min_grams:
+        ntok = F.size(F.split("_t", " "))
+        n_w = F.greatest(ntok - cfg.ngram_size + 1, F.lit(1))
+        n_j = F.greatest(F.length(tx.hangul_to_jamo(F.col("_t"))) - cfg.jamo_ngram_size + 1, F.lit(1))
+        d = d.where(n_w + n_j >= cfg.min_grams)
+    grams = F.concat(tx.word_ngrams("_t", cfg.ngram_size), tx.jamo_ngrams("_t", cfg.jamo_ngram_size))
+    return d.select(*keep, F.array_distinct(grams).alias("shingles"))
 
 
 def signatures(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool = False) -> DataFrame:
@@ -228,6 +234,7 @@ def deduplicate(docs: DataFrame, cfg: DedupConfig = DEFAULT, strategy: str = "lo
     ``docs`` must carry ``doc_id`` and ``text``; with ``normalized`` the text
     is already preprocessed (as after ``normalize_docs``) and is shingled
     as is, otherwise it is preprocessed for shingling only."""
+    docs = spread(docs)
     sigs = signatures(docs, cfg, preprocessed=normalized)
     linked = _reliable(linked_members(bucket_members(sigs, cfg)))
     seeds = greedy_seeds(linked)
@@ -314,4 +321,4 @@ def normalize_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
         elif f.dataType.simpleString() == "string":
             c = tx.strip_ws(c)
         out.append(c.alias(f.name))
-    return docs.select(*out)
+    return spread(docs).select(*out)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.functions import text as tx
+from winnow.operators.partitioning import spread
 from winnow.session import table
 
 # Domain names assigned by doc_id % 5.
@@ -34,7 +35,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents + domain + tokens + ts_raw (three layouts, junk and null)."""
-    d = documents(spark, sf_dir)
+    d = spread(documents(spark, sf_dir))
     k = (F.col("doc_id") % 5).cast("int")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
     ds = F.date_format(day, "yyyy-MM-dd")
@@ -89,7 +90,7 @@ def model_weights(spark: SparkSession) -> DataFrame:
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pair_id, prompt, reference, prediction) from conversations: reference =
     text (null on every 11th pair), prediction = text without every 7th word."""
-    c = table(spark, sf_dir, "conversations")
+    c = spread(table(spark, sf_dir, "conversations"))
     words = F.split(tx.collapse_ws("text"), " ")
     kept = F.filter(words, lambda w, i: (i + 1) % 7 != 0)
     pid = (F.col("conv_id") * 100000 + F.col("turn"))

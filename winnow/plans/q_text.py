@@ -38,7 +38,7 @@ def jsonl_dir(spark, sf):
         path = scratch_path(spark, "jsonl")
         write_lines(fx.jsonl_lines(spark, sf), path, "line_no")
         return path
-    return memo(spark, ("jsonl", sf), build)
+    return memo(spark, ("jsonl", sf), build, fixture=True)
 
 
 def parsed_lines(spark, sf):

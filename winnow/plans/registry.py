@@ -22,9 +22,18 @@ def query(name: str, sql: str | None = None):
 _MEMO: dict = {}
 
 
-def memo(spark, key, build):
-    """Reuse an already checkpointed intermediate within one session."""
+_FIXTURES: dict = {}
+
+
+def memo(spark, key, build, fixture: bool = False):
+    """Reuse an already checkpointed intermediate within one session.
+    ``fixture`` entries (derived input files) survive ``clear_memo``."""
+    store = _FIXTURES if fixture else _MEMO
     k = (spark.sparkContext.applicationId, key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    if k not in store:
+        store[k] = build()
+    return store[k]
+
+
+def clear_memo() -> None:
+    _MEMO.clear()
