@@ -55,13 +55,17 @@ DEFAULT = DedupConfig()
 # shingles and signatures (narrow, per row)
 # --------------------------------------------------------------------------
 
-def shingle_sets(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool = False) -> DataFrame:
+def shingle_sets(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool = False,
+                 with_length: bool = False) -> DataFrame:
     """(id, [scope], shingles) for documents that pass the two gates:
     preprocessed text of at least ``min_chars`` characters and at least
     ``min_grams`` word+jamo grams (counted before set semantics).
     Skipped documents are never duplicates."""
     text = F.col(cfg.text_col) if preprocessed else tx.preprocess(F.coalesce(F.col(cfg.text_col), F.lit("")))
     keep = [cfg.id_col] + ([cfg.scope_col] if cfg.scope_col else [])
+    if with_length:
+        docs = docs.withColumn("_len", doc_length("tokens", cfg.text_col, docs.columns))
+        keep = keep + ["_len"]
     d = spread(docs).select(*keep, text.alias("_t")).where(F.length("_t") >= cfg.min_chars)
     # Gate 2 (word + jamo grams >= min_grams) is implied by gate 1 whenever a
     # text of min_chars characters already yields enough jamo grams; only
@@ -75,9 +79,10 @@ def shingle_sets(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool
     return d.select(*keep, F.array_distinct(grams).alias("shingles"))
 
 
-def signatures(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool = False) -> DataFrame:
-    """(id, [scope], sig array<bigint>) for every indexed document."""
-    sh = shingle_sets(docs, cfg, preprocessed)
+def signatures(docs: DataFrame, cfg: DedupConfig = DEFAULT, preprocessed: bool = False,
+               with_length: bool = False) -> DataFrame:
+    """(id, [scope], [_len], sig array<bigint>) for every indexed document."""
+    sh = shingle_sets(docs, cfg, preprocessed, with_length)
     keep = [c for c in sh.columns if c != "shingles"]
     return sh.select(*keep, mh.minhash_signature("shingles", cfg.num_perm, cfg.seed).alias("sig"))
 
@@ -86,11 +91,13 @@ def bucket_members(sigs: DataFrame, cfg: DedupConfig = DEFAULT) -> DataFrame:
     """(id, band, k1, k2): one row per document and band (the LSH index).
     With a scope column the scope is folded into the bucket key."""
     keys = mh.band_keys("sig", cfg.bands, cfg.rows)
-    m = sigs.select(cfg.id_col, *( [cfg.scope_col] if cfg.scope_col else []), F.explode(keys).alias("b"))
+    extra = [c for c in sigs.columns if c == "_len"]
+    m = sigs.select(cfg.id_col, *([cfg.scope_col] if cfg.scope_col else []), *extra, F.explode(keys).alias("b"))
     k1 = F.col("b.k1")
     if cfg.scope_col:
         k1 = F.xxhash64(F.col(cfg.scope_col), k1)
-    return m.select(F.col(cfg.id_col).alias("doc_id"), F.col("b.band").alias("band"), k1.alias("k1"), F.col("b.k2").alias("k2"))
+    return m.select(F.col(cfg.id_col).alias("doc_id"), F.col("b.band").alias("band"), k1.alias("k1"), F.col("b.k2").alias("k2"),
+                    *extra)
 
 
 def linked_members(members: DataFrame) -> DataFrame:
@@ -235,11 +242,19 @@ def deduplicate(docs: DataFrame, cfg: DedupConfig = DEFAULT, strategy: str = "lo
     is already preprocessed (as after ``normalize_docs``) and is shingled
     as is, otherwise it is preprocessed for shingling only."""
     docs = spread(docs)
-    sigs = signatures(docs, cfg, preprocessed=normalized)
+    longest = strategy not in ("newest", "highest_quality")
+    # The length used by "longest" rides along with the signature pass into
+    # the checkpointed bucket table, so picking representatives never
+    # re-reads (or re-normalizes) the corpus.
+    sigs = signatures(docs, cfg, preprocessed=normalized, with_length=longest)
     linked = _reliable(linked_members(bucket_members(sigs, cfg)))
     seeds = greedy_seeds(linked)
     members = _reliable(cluster_members(linked, seeds))
-    reps = representatives(members, docs, strategy, cfg.id_col)
+    if longest:
+        lens = linked.select("doc_id", "_len").distinct()
+        reps = pick(members.join(lens, "doc_id"), F.col("_len"))
+    else:
+        reps = representatives(members, docs, strategy, cfg.id_col)
     rep_ids = reps.select(F.col("rep_id").alias("doc_id")).distinct()
     drop = members.select("doc_id").distinct().join(rep_ids, "doc_id", "left_anti")
     idc = cfg.id_col

@@ -14,3 +14,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def range_parts(df: DataFrame) -> int:
+    """Partition count for a range repartition: never fewer than the input
+    already has (so task size stays at the input split size), never fewer
+    than the cluster's cores."""
+    return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism, 1)

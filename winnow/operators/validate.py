@@ -89,8 +89,11 @@ def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str =
         F.count_if(valid).alias("valid_lines"),
         F.count_if(~valid & ~F.col("_blank")).alias("invalid_lines"),
         F.count_if(F.col("_blank")).alias("empty_lines"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(keys, F.array().cast("array<string>")))))), ",").alias("schema_fields"),
         F.coalesce(F.max(tx.contains_korean(F.coalesce(text, F.lit("")))), F.lit(False)).alias("is_korean_content"))
+    # field names: distinct first, so only the (small) set of names is gathered
+    names = (win.select(F.explode(keys).alias("k")).distinct()
+             .agg(F.array_join(F.array_sort(F.collect_list("k")), ",")).scalar())
+    agg = agg.withColumn("schema_fields", F.coalesce(names, F.lit("")))
     rate = F.col("invalid_lines") / F.greatest(checked, F.lit(1))
     return agg.select(total.cast("bigint").alias("total_lines"), checked.cast("bigint").alias("checked_lines"),
                       "valid_lines", "invalid_lines", "empty_lines",

@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from winnow.functions import text as tx
 from winnow.operators import validate as va
+from winnow.operators.partitioning import range_parts
 from winnow.sources.lines import read_lines
 
 TYPE_MAP = {"string": StringType(), "list[string]": ArrayType(StringType()), "categorical": StringType()}
@@ -48,8 +49,7 @@ def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal") -> DataFr
     partition, count per partition (a table bounded by the partition count),
     offset each partition, number rows inside it."""
     from pyspark.sql import Window
-    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    part = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
+    part = df.repartitionByRange(range_parts(df), order_col).withColumn("_pid", F.spark_partition_id())
     from winnow.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     part = part.checkpoint(eager=True)  # freeze range bounds before counting
@@ -74,7 +74,7 @@ def to_jsonl(df: DataFrame) -> DataFrame:
 
 
 def write_jsonl(df: DataFrame, path: str, order_col: str | None = None) -> None:
-    out = to_jsonl(df.repartitionByRange(max(1, df.sparkSession.sparkContext.defaultParallelism), order_col)
+    out = to_jsonl(df.repartitionByRange(range_parts(df), order_col)
                    .sortWithinPartitions(order_col)) if order_col else to_jsonl(df)
     out.write.mode("overwrite").text(path)
 
@@ -131,12 +131,17 @@ def parquet_nulls(df: DataFrame) -> DataFrame:
 
 def _footer_rows(batches):
     import pandas as pd
+    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            local = p[5:] if p.startswith("file:") else p
-            md = pq.ParquetFile(local).metadata
+            try:
+                fs, rel = pafs.FileSystem.from_uri(p)
+            except Exception:  # e.g. a Hadoop-only scheme: fall back to a local path
+                fs, rel = pafs.LocalFileSystem(), (p[5:] if p.startswith("file:") else p)
+            with fs.open_input_file(rel) as fh:
+                md = pq.ParquetFile(fh).metadata
             out.append((p, md.num_rows, md.num_row_groups, md.num_columns, md.serialized_size))
         yield pd.DataFrame(out, columns=["path", "num_rows", "num_row_groups", "num_columns", "footer_bytes"])
 
@@ -154,7 +159,7 @@ def rewrite_parquet(df: DataFrame, out: str, row_group_rows: int = 100_000, sort
     """Rewrite for reading: snappy, bounded row groups, dictionary and
     statistics on, optionally clustered by ``sort_col`` for data skipping."""
     if sort_col:
-        df = df.repartitionByRange(max(1, df.sparkSession.sparkContext.defaultParallelism), sort_col).sortWithinPartitions(sort_col)
+        df = df.repartitionByRange(range_parts(df), sort_col).sortWithinPartitions(sort_col)
     (df.write.mode("overwrite").option("compression", compression)
        .option("parquet.block.row.count.limit", row_group_rows)
        .option("parquet.enable.dictionary", "true")
@@ -164,8 +169,11 @@ def rewrite_parquet(df: DataFrame, out: str, row_group_rows: int = 100_000, sort
 def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_records: int = 100_000) -> None:
     """One directory per domain (missing -> 'unknown'), files of at most
     ``max_records`` rows; readers prune partitions by domain."""
+    # No shuffle by domain: a few domains (one may hold a third of the rows)
+    # would funnel the corpus through a few tasks.  Every task writes its own
+    # rows into the domain folders; maxRecordsPerFile bounds file size.
     d = df.withColumn(domain_col, F.coalesce(F.col(domain_col), F.lit("unknown")))
-    (d.repartition(domain_col).write.mode("overwrite").partitionBy(domain_col)
+    (d.write.mode("overwrite").partitionBy(domain_col)
        .option("maxRecordsPerFile", max_records).parquet(out))
 
 

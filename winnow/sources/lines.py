@@ -39,6 +39,7 @@ def write_lines(df: DataFrame, path: str, order_col: str, value_col: str = "valu
                 partitions: int | None = None) -> None:
     """Write one text line per row, files and lines in ``order_col`` order
     (range partitioning: every task writes one ordered slice)."""
-    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    from winnow.operators.partitioning import range_parts
+    n = partitions or range_parts(df)
     (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
        .select(value_col).write.mode("overwrite").text(path))
