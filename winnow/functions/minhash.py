@@ -45,6 +45,29 @@ def perm_constants(num_perm: int = NUM_PERM, seed: int = PERM_SEED) -> list[tupl
     return out
 
 
+def optimal_bands(threshold: float = 0.8, num_perm: int = NUM_PERM, fp_weight: float = 0.5,
+                  fn_weight: float = 0.5, steps: int = 1000) -> tuple[int, int]:
+    """(bands, rows) with bands*rows <= num_perm minimising the weighted
+    false-positive and false-negative areas under the banding S-curve
+    1 - (1 - s^r)^b (trapezoid integration over s)."""
+    def area(f, lo, hi):
+        if hi <= lo:
+            return 0.0
+        h = (hi - lo) / steps
+        ys = [f(lo + i * h) for i in range(steps + 1)]
+        return h * (sum(ys) - (ys[0] + ys[-1]) / 2)
+
+    best, best_err = (1, num_perm), float("inf")
+    for b in range(1, num_perm + 1):
+        for r in range(1, num_perm // b + 1):
+            fp = area(lambda s: 1 - (1 - s ** r) ** b, 0.0, threshold)
+            fn = area(lambda s: (1 - s ** r) ** b, threshold, 1.0)
+            err = fp_weight * fp + fn_weight * fn
+            if err < best_err:
+                best, best_err = (b, r), err
+    return best
+
+
 def base_hash_expr(c) -> Column:
     """Spark form of base(s) (used for checks; the signature UDF uses hashlib)."""
     col = F.col(c) if isinstance(c, str) else c
@@ -70,8 +93,21 @@ def _signature_fn(num_perm: int, seed: int):
         out = np.zeros((n, num_perm), dtype=np.int64)
         if vals.size:
             idx = starts[nonempty]
+            v = np.empty_like(vals)
+            t = np.empty_like(vals)
             for i in range(num_perm):
-                v = (a_s[i] * vals + b_s[i]) % MERSENNE_P
+                # (a*h + b) mod (2^31 - 1) by Mersenne folding instead of '%':
+                # x < 2^63 folds to < 2^32 + 1, a second fold and one
+                # conditional subtraction give the exact residue.
+                np.multiply(vals, a_s[i], out=v)
+                v += b_s[i]
+                np.right_shift(v, 31, out=t)
+                v &= MERSENNE_P
+                v += t
+                np.right_shift(v, 31, out=t)
+                v &= MERSENNE_P
+                v += t
+                v[v >= MERSENNE_P] -= MERSENNE_P
                 out[nonempty, i] = np.minimum.reduceat(v, idx)
         flat = pa.array(out.ravel(), type=pa.int64())
         offsets = pa.array(np.arange(0, (n + 1) * num_perm, num_perm, dtype=np.int32))

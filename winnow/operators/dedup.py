@@ -48,6 +48,12 @@ class DedupConfig:
     scope_col: str | None = None  # e.g. a chunk number: buckets never cross scopes
 
 
+def config_for(threshold: float = 0.8, num_perm: int = mh.NUM_PERM, **kw) -> DedupConfig:
+    """Config whose banding is the FP/FN optimum for ``threshold``."""
+    b, r = mh.optimal_bands(threshold, num_perm, steps=200)
+    return DedupConfig(threshold=threshold, num_perm=num_perm, bands=b, rows=r, **kw)
+
+
 DEFAULT = DedupConfig()
 
 

@@ -30,6 +30,16 @@ BLEU_RULES = [
 ROUGE_KEEP = "[^a-z0-9]+"
 
 
+def align_pairs(references: DataFrame, predictions: DataFrame, key: str = "pair_id") -> DataFrame:
+    """(key, reference, prediction): full outer join of the two sides; any
+    key present on one side only raises (the count check of the metrics)."""
+    ok = F.col("_r").isNotNull() & F.col("_p").isNotNull()
+    j = references.select(key, "reference", F.lit(True).alias("_r")).join(
+        predictions.select(key, "prediction", F.lit(True).alias("_p")), key, "full_outer")
+    return j.select(key, F.when(ok, F.col("reference")).otherwise(
+        F.raise_error(F.lit("Reference and prediction counts do not match"))).alias("reference"), "prediction")
+
+
 def bleu_tokenize(c: Column) -> Column:
     s = F.replace(c, F.lit("<skipped>"), F.lit(""))
     s = F.replace(s, F.lit("-\n"), F.lit(""))

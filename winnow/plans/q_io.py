@@ -108,6 +108,13 @@ def file_manifest(spark, sf):
     return io.file_manifest(requested, listing)
 
 
+@query("file_exists")
+def file_exists(spark, sf):
+    listing = io.list_files(spark, _by_domain(spark, sf))
+    missing = listing.select(F.concat(F.regexp_extract("path", r"^(.*)/[^/]*$", 1), F.lit("/absent.jsonl")).alias("path")).distinct()
+    return io.file_exists(listing.select("path").unionByName(missing), listing)
+
+
 URI_SQL = """u AS (SELECT page_id, ['s3://', 'gs://', 'azure://', ''][(page_id % 4)::INT + 1] || regexp_replace(url, '^[a-z]+://', '') AS uri FROM pages),
 b AS (SELECT page_id, uri, CASE WHEN regexp_matches(uri, '^(s3|gs|azure)://') THEN regexp_extract(uri, '^[a-z0-9]+://(.*)$', 1) ELSE uri END AS body FROM u)"""
 

@@ -197,6 +197,14 @@ def file_facts(listing: DataFrame) -> DataFrame:
                           ext.alias("extension"), name.alias("name"), stem.alias("stem"))
 
 
+def file_exists(requested: DataFrame, listing: DataFrame) -> DataFrame:
+    """(path, exists) for a table of requested paths against a listing; a
+    path the listing cannot see counts as absent."""
+    seen = listing.select("path", F.lit(True).alias("_seen")).distinct()
+    return requested.select("path").join(seen, "path", "left").select(
+        "path", F.coalesce("_seen", F.lit(False)).alias("exists"))
+
+
 def file_manifest(requested: DataFrame, listing: DataFrame) -> DataFrame:
     """Per extension of the requested paths that exist: (extension, files,
     size_mb); plus one total row (extension NULL) where ``total_files``
