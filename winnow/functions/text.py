@@ -1,15 +1,18 @@
 """Text column functions: normalization, script tests, n-gram shingles.
 
-All of these are Spark column expressions.  The only Python piece is the
-NFKC Arrow UDF (Spark SQL has no Unicode normalizer); it receives whole
-Arrow batches and skips rows that are already normal.
+All of these are Spark column expressions except two Arrow helpers with no
+Spark SQL built-in: NFKC (rows already normal pass through) and Hangul
+syllable decomposition (numpy over the batch's code points; batches without
+Hangul pass through untouched).
 """
 
 from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -43,7 +46,9 @@ def _nfkc(texts: pa.Array) -> pa.Array:
 
 
 def nfkc(c) -> Column:
-    return _nfkc(F.col(c) if isinstance(c, str) else c)
+    """NFKC; pure-ASCII rows (already normal) never leave the JVM."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(_nfkc(F.when(col.rlike(r"[^\x00-\x7F]"), col)), col)
 
 
 def _c(c) -> Column:
@@ -69,22 +74,52 @@ def contains_korean(c) -> Column:
     return F.coalesce(_c(c).rlike(KOREAN_CLASS), F.lit(False))
 
 
+def _jamo_batch(texts: pa.Array) -> pa.Array:
+    """Vectorized syllable decomposition of one Arrow batch: code points as
+    a numpy array, each Hangul syllable expanded to 2-3 jamo by index
+    arithmetic, one decode for the whole batch.  Batches without Hangul are
+    returned untouched."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    has = pc.match_substring_regex(texts, HANGUL_SYLLABLE_CLASS)
+    if not pc.any(has).as_py():
+        return texts
+    rows = texts.to_pylist()
+    hit = [i for i, (r, h) in enumerate(zip(rows, has.to_pylist())) if h]
+    parts = [rows[i] for i in hit]
+    lens = np.fromiter((len(t) for t in parts), dtype=np.int64, count=len(parts))
+    cp = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    is_h = (cp >= HANGUL_FIRST) & (cp <= HANGUL_FIRST + N_LEAD * N_VOWEL * N_TAIL - 1)
+    idx = cp - HANGUL_FIRST
+    tail = np.where(is_h, idx % N_TAIL, 0)
+    width = np.where(is_h, np.where(tail > 0, 3, 2), 1)
+    start = np.cumsum(width) - width
+    out = np.empty(int(width.sum()), dtype=np.uint32)
+    out[start] = np.where(is_h, 0x1100 + idx // (N_VOWEL * N_TAIL), cp)
+    out[start[is_h] + 1] = 0x1161 + (idx[is_h] % (N_VOWEL * N_TAIL)) // N_TAIL
+    t = is_h & (tail > 0)
+    out[start[t] + 2] = 0x11A7 + tail[t]
+    row_end = np.cumsum(lens)
+    new_len = np.diff(np.concatenate([[0], np.cumsum(width)[row_end - 1] if len(width) else np.zeros(0, np.int64)]))
+    whole = out.tobytes().decode("utf-32-le")
+    pos = 0
+    for k, i in enumerate(hit):
+        n = int(new_len[k])
+        rows[i] = whole[pos:pos + n]
+        pos += n
+    return pa.array(rows, type=pa.string())
+
+
+_jamo = F.arrow_udf(_jamo_batch, StringType())
+
+
 def hangul_to_jamo(c) -> Column:
     """Split every precomposed Hangul syllable into lead, vowel and (when
-    present) tail jamo; every other character is kept unchanged.  Rows
-    without Hangul skip the per-character work."""
+    present) tail jamo; every other character is kept unchanged.  Only rows
+    that contain Hangul are shipped to the helper (others send a null), so
+    text in other scripts never leaves the JVM."""
     col = _c(c)
-
-    def one(ch: Column) -> Column:
-        idx = F.ascii(ch) - F.lit(HANGUL_FIRST)  # ascii() returns the full code point
-        lead = F.substring(F.lit(LEADS), (F.floor(idx / 588) + 1).cast("int"), F.lit(1))
-        vowel = F.substring(F.lit(VOWELS), (F.floor((idx % 588) / 28) + 1).cast("int"), F.lit(1))
-        t = (idx % 28).cast("int")
-        tail = F.when(t > 0, F.substring(F.lit(TAILS), t, F.lit(1))).otherwise(F.lit(""))
-        return F.when(ch.rlike(HANGUL_SYLLABLE_CLASS), F.concat(lead, vowel, tail)).otherwise(ch)
-
-    decomposed = F.array_join(F.transform(F.split(col, ""), one), "")
-    return F.when(col.rlike(HANGUL_SYLLABLE_CLASS), decomposed).otherwise(col)
+    return F.coalesce(_jamo(F.when(col.rlike(HANGUL_SYLLABLE_CLASS), col)), col)
 
 
 def char_ngrams(c, n: int = 3) -> Column:
