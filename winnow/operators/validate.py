@@ -21,7 +21,6 @@ DOC_SCHEMA = [("text", "string"), ("tokens", "list[string]"), ("source", "string
 def parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``_v`` (VARIANT or NULL), ``_blank`` and ``_obj`` flags."""
     v = F.col(value_col)
-    t = F.trim(v)
     parsed = F.try_parse_json(tx.strip_ws(v))
     return lines.select("*",
                         (tx.strip_ws(v) == "").alias("_blank"),
