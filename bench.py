@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -45,12 +44,13 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
 
-    from winnow.session import get_session
+    from winnow.session import get_session, scratch_path
     from winnow.plans import catalog, registry
 
-    ckpt = tempfile.mkdtemp(prefix="winnow-bench-ckpt-")
-    spark = get_session(f"local[{cpus}]", partitions=cpus,
-                        extra={"spark.checkpoint.dir": ckpt} if not os.environ.get("SPARK_CHECKPOINT_DIR") else None)
+    spark = get_session(f"local[{cpus}]", partitions=cpus)
+    # shared folder named by the session (spark.checkpoint.dir); a scratch
+    # folder is made only when the session names none
+    ckpt = scratch_path(spark, "bench").replace("file:", "")
     qs = catalog.queries()
 
     # warm the JVM (JIT) and the Python workers on the smallest table set
