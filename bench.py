@@ -92,7 +92,10 @@ def main() -> None:
             scan[f"{fmt}_{kind}"] = round(statistics.median(rs), 3)
 
     def du(path):
-        return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs if f.startswith("part-"))
+        try:
+            return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs if f.startswith("part-"))
+        except OSError:  # not a local folder
+            return None
     n_docs = docs.count()
     total = round(sum(timings.values()), 3)
     out = {
