@@ -76,3 +76,16 @@ def test_reference_fallback(spark):
     assert me.reference_fallback(p).first().reference_used == "base"
     p = spark.createDataFrame([(0, "Hello", "base"), (1, None, "b2")], "pair_id long, reference string, base_output string")
     assert [r.reference_used for r in me.reference_fallback(p).orderBy("pair_id").collect()] == ["Hello", None]
+
+
+def test_chunked_merge_equals_whole(spark):
+    import random as rnd
+    r = rnd.Random(5)
+    base = spark.createDataFrame([("w", [r.random() for _ in range(10)])], "name string, vec array<double>")
+    d = spark.createDataFrame([("a", "w", [r.random() for _ in range(10)]), ("b", "w", [r.random() for _ in range(10)])],
+                              "model string, name string, vec array<double>")
+    w = spark.createDataFrame([("a", 0.5), ("b", 0.25)], "model string, weight double")
+    whole = pa.merge_weighted(base, d, w).first().vec
+    parts = pa.merge_weighted(pa.chunk_vectors(base, 3), pa.chunk_vectors(d, 3), w).orderBy("chunk").collect()
+    assert [c.chunk for c in parts] == [0, 1, 2, 3]
+    assert sum((p.vec for p in parts), []) == pytest.approx(whole)

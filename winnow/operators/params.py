@@ -18,6 +18,16 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df if "chunk" in df.columns else df.withColumn("chunk", F.lit(0))
 
 
+def chunk_vectors(df: DataFrame, size: int = 4096) -> DataFrame:
+    """Split every ``vec`` into fixed-size chunks, per row (no shuffle):
+    (model, name, vec) -> (model, name, chunk, vec)."""
+    n = F.size("vec")
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(n / size).cast("int") - 1, F.lit(0)))
+    parts = F.transform(starts, lambda i: F.struct(i.alias("chunk"), F.slice("vec", i * size + 1, size).alias("vec")))
+    keep = [c for c in df.columns if c not in ("vec", "chunk")]
+    return df.select(*keep, F.explode(parts).alias("_c")).select(*keep, "_c.chunk", "_c.vec")
+
+
 def vector_diff(base: DataFrame, tuned: DataFrame) -> DataFrame:
     """(name, chunk, vec = tuned - base) for every base parameter; a base
     parameter missing from the tuned set raises; extra tuned names are ignored."""
