@@ -79,12 +79,13 @@ def quality_score(columns, text_col: str = "text", source_col: str = "source") -
 
 
 def parse_timestamp(c: Column, numeric: bool = False) -> Column:
-    """Strings in one of three layouts; numbers are epoch seconds (UTC);
-    anything else is null."""
+    """Strings in one of three layouts; numbers are epoch seconds shown in
+    the session time zone; anything else is null."""
     if numeric:
-        return F.timestamp_seconds(c)
+        return F.timestamp_seconds(c).cast("timestamp_ntz")  # wall clock in the session time zone
     s = c.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS])
+    # wall-clock values (TIMESTAMP_NTZ): independent of session/client zones
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS]).cast("timestamp_ntz")
 
 
 def parse_timestamp_col(df, name: str) -> Column:

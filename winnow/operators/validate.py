@@ -74,9 +74,8 @@ def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str =
     """One-row format report over the first ``max_lines`` lines of the
     whitespace-stripped content (all lines with ``max_lines=None``)."""
     p = parse(lines, value_col)
-    nb = p.where(~F.col("_blank"))
-    first = nb.select(F.min(order_col)).scalar()
-    last = nb.select(F.max(order_col)).scalar()
+    bounds = p.where(~F.col("_blank")).select(F.struct(F.min(order_col).alias("a"), F.max(order_col).alias("b"))).scalar()
+    first, last = bounds["a"], bounds["b"]
     total = F.coalesce(last - first + 1, F.lit(1))
     checked = total if max_lines is None else F.least(F.lit(max_lines), total)
     start = F.coalesce(first, F.lit(0))
