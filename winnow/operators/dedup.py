@@ -215,8 +215,8 @@ def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longes
         # any valid time in the cluster?  then newest wins, else longest.
         any_ts = j.groupBy("cluster_id").agg(F.max(F.col("_ts").isNotNull()).alias("_has"))
         j = j.join(any_ts, "cluster_id")
-        score = F.when(F.col("_has"), F.struct(F.col("_ts").isNotNull().alias("v"), F.col("_ts").cast("double").alias("t"), F.lit(0).alias("l"))) \
-                 .otherwise(F.struct(F.lit(True).alias("v"), F.lit(0.0).alias("t"), F.col("_len").alias("l")))
+        score = F.when(F.col("_has"), F.struct(F.col("_ts").isNotNull().alias("v"), F.col("_ts").alias("t"), F.lit(0).alias("l"))) \
+                 .otherwise(F.struct(F.lit(True).alias("v"), F.lit(None).cast("timestamp_ntz").alias("t"), F.col("_len").alias("l")))
         return pick(j, score)
     if strategy == "highest_quality":
         feat = d.select("doc_id", scoring.quality_score(docs.dtypes).alias("_q"))
