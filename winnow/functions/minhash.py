@@ -23,6 +23,7 @@ MERSENNE_P = 2147483647
 NUM_PERM = 128
 DEFAULT_BANDS, DEFAULT_ROWS = 9, 13  # optimum of 0.5*FP + 0.5*FN at threshold 0.8, 128 perms
 PERM_SEED = 20240601
+SLICE_VALUES = 1 << 22  # hashes per numpy slice inside the signature helper
 
 
 def perm_constants(num_perm: int = NUM_PERM, seed: int = PERM_SEED) -> list[tuple[int, int]]:
@@ -78,42 +79,57 @@ def _signature_fn(num_perm: int, seed: int):
     consts = np.array(perm_constants(num_perm, seed), dtype=np.int64)
     a_s, b_s = consts[:, 0], consts[:, 1]
 
+    def sign_slice(vals: np.ndarray, starts: np.ndarray, out: np.ndarray) -> None:
+        v = np.empty_like(vals)
+        t = np.empty_like(vals)
+        for i in range(num_perm):
+            # (a*h + b) mod (2^31 - 1) by Mersenne folding instead of '%':
+            # x < 2^63 folds to < 2^32 + 1, a second fold and one
+            # conditional subtraction give the exact residue.
+            np.multiply(vals, a_s[i], out=v)
+            v += b_s[i]
+            np.right_shift(v, 31, out=t)
+            v &= MERSENNE_P
+            v += t
+            np.right_shift(v, 31, out=t)
+            v &= MERSENNE_P
+            v += t
+            v[v >= MERSENNE_P] -= MERSENNE_P
+            out[:, i] = np.minimum.reduceat(v, starts)
+
     def sign(hashes: pa.Array) -> pa.Array:
-        """Whole Arrow batch at once: per permutation, one vectorized pass
-        over every hash of the batch and a segmented min per document."""
+        """Whole Arrow batch: per permutation, one vectorized pass over the
+        hashes and a segmented min per document.  Rows are processed in
+        slices of at most SLICE_VALUES hashes, so temporaries stay bounded
+        whatever the batch holds."""
         if isinstance(hashes, pa.ChunkedArray):
             hashes = hashes.combine_chunks()
         n = len(hashes)
         offs = hashes.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        offs = offs - offs[0]
         lens = np.diff(offs)
         vals = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        base = offs[0]
-        starts = offs[:-1] - base
         nonempty = lens > 0
         out = np.zeros((n, num_perm), dtype=np.int64)
-        if vals.size:
-            idx = starts[nonempty]
-            v = np.empty_like(vals)
-            t = np.empty_like(vals)
-            for i in range(num_perm):
-                # (a*h + b) mod (2^31 - 1) by Mersenne folding instead of '%':
-                # x < 2^63 folds to < 2^32 + 1, a second fold and one
-                # conditional subtraction give the exact residue.
-                np.multiply(vals, a_s[i], out=v)
-                v += b_s[i]
-                np.right_shift(v, 31, out=t)
-                v &= MERSENNE_P
-                v += t
-                np.right_shift(v, 31, out=t)
-                v &= MERSENNE_P
-                v += t
-                v[v >= MERSENNE_P] -= MERSENNE_P
-                out[nonempty, i] = np.minimum.reduceat(v, idx)
+        rows = np.flatnonzero(nonempty)
+        lo = 0
+        while lo < rows.size:
+            hi = lo + 1
+            budget = offs[rows[lo]] + SLICE_VALUES
+            # extend the slice while it stays within the value budget
+            hi = max(hi, int(np.searchsorted(offs[rows + 1], budget, side="right")))
+            hi = min(hi, rows.size)
+            r = rows[lo:hi]
+            base = offs[r[0]]
+            seg = vals[base:offs[r[-1] + 1]]
+            part = np.empty((r.size, num_perm), dtype=np.int64)
+            sign_slice(seg, offs[r] - base, part)
+            out[r] = part
+            lo = hi
         flat = pa.array(out.ravel(), type=pa.int64())
         offsets = pa.array(np.arange(0, (n + 1) * num_perm, num_perm, dtype=np.int32))
         valid = pa.array(nonempty & hashes.is_valid().to_numpy(zero_copy_only=False))
-        res = pa.ListArray.from_arrays(offsets, flat, mask=pa.compute.invert(valid))
-        return res
+        return pa.ListArray.from_arrays(offsets, flat, mask=pa.compute.invert(valid))
 
     return sign
 

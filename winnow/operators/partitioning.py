@@ -10,14 +10,19 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cores (e.g. a small file with one row group) before CPU-heavy per-row
     work.  Large inputs already arrive in many splits and pass through
     untouched, so this never adds a shuffle at scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a session without RDD access: leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def range_parts(df: DataFrame) -> int:
     """Partition count for a range repartition: never fewer than the input
     already has (so task size stays at the input split size), never fewer
     than the cluster's cores."""
-    return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism, 1)
+    try:
+        return max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism, 1)
+    except Exception:
+        return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
