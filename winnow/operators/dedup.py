@@ -138,7 +138,9 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
       * an undecided doc sharing a bucket with a seed becomes a non-seed;
       * an undecided doc that is the smallest undecided-or-seed member of
         every one of its buckets becomes a seed.
-    Each round is one bucket aggregate and one doc aggregate."""
+    Each round is one bucket aggregate and one doc aggregate over the
+    memberships of buckets that still hold an undecided doc; settled buckets
+    drop out, so later rounds only touch the unresolved part of the graph."""
     m = _reliable(linked.select("doc_id", *BUCKET))
     state = _reliable(m.select("doc_id").distinct().withColumn("st", F.lit(U)))
     rounds = 0
@@ -151,9 +153,10 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
         ms = m.join(state, "doc_id")
         per_bucket = ms.groupBy(*BUCKET).agg(
             F.min(F.when(F.col("st") != N, F.col("doc_id"))).alias("min_live"),
-            F.max(F.col("st") == S).alias("has_seed"))
-        per_doc = (m.join(per_bucket, BUCKET)
-                   .groupBy("doc_id")
+            F.max(F.col("st") == S).alias("has_seed"),
+            F.max(F.col("st") == U).alias("open"))
+        x = _reliable(ms.join(per_bucket.where("open"), BUCKET))
+        per_doc = (x.where(F.col("st") == U).groupBy("doc_id")
                    .agg(F.max("has_seed").alias("near_seed"),
                         F.min(F.col("min_live") == F.col("doc_id")).alias("first_everywhere")))
         state = _reliable(
@@ -163,6 +166,7 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
                  .when(F.col("near_seed"), F.lit(N))
                  .when(F.col("first_everywhere"), F.lit(S))
                  .otherwise(F.lit(U)).alias("st")))
+        m = x.select("doc_id", *BUCKET)  # only buckets that were still open
         rounds += 1
     return state.select("doc_id", (F.col("st") == S).alias("is_seed"))
 
