@@ -15,7 +15,6 @@ from winnow.plans.q_text import CORPUS_SQL, LINES_SQL, jsonl_dir
 from winnow.plans.registry import memo, query
 from winnow.session import scratch_path, table
 from winnow.sources import io
-from winnow.sources.lines import read_lines
 
 
 @query("parquet_project", "SELECT doc_id, lang, n_chars FROM documents")
