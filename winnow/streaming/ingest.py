@@ -26,11 +26,13 @@ def parse_stream(lines: DataFrame, fields=DOC_FIELDS) -> DataFrame:
 
 
 def stream_jsonl_to_parquet(spark: SparkSession, src_dir: str, out_dir: str, fields=DOC_FIELDS,
-                            max_files_per_trigger: int = 64) -> DataFrame:
+                            max_files_per_trigger: int = 64, glob: str | None = None) -> DataFrame:
     """Drain ``src_dir`` through a streaming query into Parquet at ``out_dir``
     and return the sink as a batch DataFrame."""
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-             .option("pathGlobFilter", "part-*").load(src_dir))
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.load(src_dir)
     q = (parse_stream(lines, fields).writeStream.format("parquet")
          .option("checkpointLocation", out_dir.rstrip("/") + "_checkpoint")
          .outputMode("append").trigger(availableNow=True).start(out_dir))
