@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from winnow.functions import text as tx
+from winnow.operators.partitioning import spread
 
 MAX_ORDER = 4
 # The public "13a" BLEU tokenizer -- entity unescapes, then
@@ -67,8 +68,13 @@ def _ntok(tok: Column) -> Column:
 
 
 def ngram_overlap(pairs: DataFrame, hyp: Column, ref: Column, orders) -> DataFrame:
-    """(pair_id, n, matches, hyp_total, ref_total): clipped n-gram matches."""
-    base = pairs.select("pair_id", hyp.alias("_h"), ref.alias("_r"))
+    """(pair_id, n, matches, hyp_total, ref_total): clipped n-gram matches.
+
+    The pair texts are hash-partitioned by pair_id once; every gram of a
+    pair then lives in its partition, so both count aggregations (keyed by
+    pair_id plus more) run without another exchange -- the shuffle moves the
+    texts, never the several-times-larger exploded grams."""
+    base = pairs.repartition("pair_id").select("pair_id", hyp.alias("_h"), ref.alias("_r"))
     sides = []
     for n in orders:
         for side, col in (("h", "_h"), ("r", "_r")):
@@ -154,7 +160,7 @@ def _lcs_udf(h: pa.Array, r: pa.Array) -> pa.Array:
 
 def rouge_l(pairs: DataFrame, hyp_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
     """Mean ROUGE-L F-measure over pairs."""
-    p = pairs.where(F.col(ref_col).isNotNull() & F.col(hyp_col).isNotNull())
+    p = spread(pairs).where(F.col(ref_col).isNotNull() & F.col(hyp_col).isNotNull())
     th, tr = rouge_tokenize(F.col(hyp_col)), rouge_tokenize(F.col(ref_col))
     arr = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
     x = p.select(arr(th).alias("h"), arr(tr).alias("r"))
