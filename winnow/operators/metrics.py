@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from winnow.functions import text as tx
-from winnow.operators.partitioning import spread
+from winnow.operators.partitioning import range_parts, spread
 
 MAX_ORDER = 4
 # The public "13a" BLEU tokenizer -- entity unescapes, then
@@ -74,7 +74,9 @@ def ngram_overlap(pairs: DataFrame, hyp: Column, ref: Column, orders) -> DataFra
     pair then lives in its partition, so both count aggregations (keyed by
     pair_id plus more) run without another exchange -- the shuffle moves the
     texts, never the several-times-larger exploded grams."""
-    base = pairs.repartition("pair_id").select("pair_id", hyp.alias("_h"), ref.alias("_r"))
+    # explicit count (>= input splits, >= cores): AQE must not fold the CPU-heavy
+    # per-pair work into a few partitions just because the texts are small
+    base = pairs.repartition(range_parts(pairs), "pair_id").select("pair_id", hyp.alias("_h"), ref.alias("_r"))
     sides = []
     for n in orders:
         for side, col in (("h", "_h"), ("r", "_r")):
