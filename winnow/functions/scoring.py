@@ -62,12 +62,12 @@ def quality_score(columns, text_col: str = "text", source_col: str = "source") -
         w = F.when(F.instr(src, name) > 0, F.lit(weight * 0.2)).otherwise(w)
     score = score + w
 
-    endings = n - F.length(F.regexp_replace(text, r"[.!?]", ""))
+    endings = F.regexp_count(text, F.lit(r"[.!?]"))
     avg_sent = n / F.greatest(endings, F.lit(1))
     sent = (F.when(avg_sent.between(20, 100), F.lit(0.2))
             .when(avg_sent.between(10, 150), F.lit(0.1))
             .otherwise(F.lit(0.0)))
-    korean = n - F.length(F.regexp_replace(text, HANGUL_SCORE_CLASS, ""))
+    korean = F.regexp_count(text, F.lit(HANGUL_SCORE_CLASS))
     k_ratio = korean / F.greatest(n, F.lit(1)) * 0.2
     words = F.split(tx.collapse_ws(text), " ")
     nw = F.when(tx.collapse_ws(text) == "", F.lit(0)).otherwise(F.size(words))
