@@ -76,3 +76,27 @@ def test_line_numbers_span_files(spark, tmpdir_session):
     write(os.path.join(d, "part-00001.txt"), ["c", "", "e"])
     got = [(r.line_no, r.value) for r in read_lines(spark, d).orderBy("line_no").collect()]
     assert got == [(1, "a"), (2, "b"), (3, "c"), (4, ""), (5, "e")]
+
+
+def test_clean_to_schema_coercions(spark):
+    rows = ['{"text":"a","tokens":"x","source":"s","lang":3,"domain":"d"}',
+            '{"text":"b","tokens":null,"source":null,"lang":"en","domain":"d"}',
+            '{"text":"c","tokens":["p","q"],"source":"s","lang":"en","domain":"d"}',
+            '{"text":"d","tokens":5,"source":"s","lang":"en","domain":"d"}',
+            '{"text":"  ","tokens":[],"source":"s","lang":"en","domain":"d"}',
+            '{"text":"e","source":"s","lang":"en","domain":"d"}']
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    got = [(r.text, r.tokens, r.source, r.lang) for r in va.clean_to_schema(va.parse(df)).collect()]
+    assert got == [("a", ["x"], "s", "3"), ("b", [], "", "en"), ("c", ["p", "q"], "s", "en"), ("d", [], "s", "en")]
+
+
+def test_schema_missing(spark):
+    df = spark.createDataFrame([('{"text":null,"lang":"","domain":"d"}',)], "value string")
+    assert va.parse(df).select(va.schema_missing().alias("m")).first().m == "text (empty),source,lang (empty)"
+
+
+def test_normalize_docs(spark):
+    from winnow.operators import dedup as dd
+    df = spark.createDataFrame([(1, " a\u3000 b ", " en "), (2, "", "ko"), (3, None, None)], "doc_id long, text string, lang string")
+    got = [(r.doc_id, r.text, r.lang) for r in dd.normalize_docs(df).orderBy("doc_id").collect()]
+    assert got == [(1, "a b", "en"), (2, None, "ko"), (3, None, None)]
