@@ -92,11 +92,21 @@ def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str =
     names = (win.select(F.explode(keys).alias("k")).distinct()
              .agg(F.array_join(F.array_sort(F.collect_list("k")), ",")).scalar())
     agg = agg.withColumn("schema_fields", F.coalesce(names, F.lit("")))
+    if max_lines is not None:
+        # line lists only over the bounded sample window (<= max_lines rows)
+        w2 = win.select((F.col(order_col) - start + 1).alias("_rel"), (~valid & ~F.col("_blank")).alias("_bad"),
+                        valid.alias("_ok"))
+        lists = w2.agg(
+            F.array_join(F.sort_array(F.collect_list(F.when(F.col("_bad"), F.col("_rel")))), ",").alias("error_lines"),
+            F.array_join(F.slice(F.sort_array(F.collect_list(F.when(F.col("_ok"), F.col("_rel")))), 1, 5), ",").alias("sample_lines"))
+        errors, samples = lists.select("error_lines").scalar(), lists.select("sample_lines").scalar()
+    else:
+        errors = samples = F.lit(None).cast("string")
     rate = F.col("invalid_lines") / F.greatest(checked, F.lit(1))
     return agg.select(total.cast("bigint").alias("total_lines"), checked.cast("bigint").alias("checked_lines"),
                       "valid_lines", "invalid_lines", "empty_lines",
                       F.round(rate, 6).alias("invalid_rate"), (rate < 0.01).alias("is_valid"),
-                      "schema_fields", "is_korean_content")
+                      "schema_fields", "is_korean_content", errors.alias("error_lines"), samples.alias("sample_lines"))
 
 
 def clean_to_schema(parsed: DataFrame, schema=DOC_SCHEMA) -> DataFrame:

@@ -89,7 +89,9 @@ SELECT (SELECT b - a + 1 FROM nb) AS total_lines, (SELECT least(100, b - a + 1)
        count(*) FILTER (WHERE kind = 'bad') / (SELECT least(100, b - a + 1) FROM nb) < 0.01 AS is_valid,
        CASE WHEN bool_or(kind = 'ok' AND NOT no_source) THEN 'doc_id,domain,lang,source,text,tokens,ts_raw'
             WHEN bool_or(kind = 'ok') THEN 'doc_id,domain,lang,text,tokens,ts_raw' ELSE '' END AS schema_fields,
-       coalesce(bool_or(kind = 'ok' AND regexp_matches(coalesce(text, ''), '[가-힯ᄀ-ᇿ㄰-㆏]')), false) AS is_korean_content
+       coalesce(bool_or(kind = 'ok' AND regexp_matches(coalesce(text, ''), '[가-힯ᄀ-ᇿ㄰-㆏]')), false) AS is_korean_content,
+       coalesce(string_agg((line_no - (SELECT a FROM nb) + 1)::VARCHAR, ',' ORDER BY line_no) FILTER (WHERE kind = 'bad'), '') AS error_lines,
+       coalesce(array_to_string(list_slice(list(line_no - (SELECT a FROM nb) + 1 ORDER BY line_no) FILTER (WHERE kind = 'ok'), 1, 5), ','), '') AS sample_lines
 FROM w""")
 def validate_jsonl_report(spark, sf):
     return va.jsonl_report(read_lines(spark, jsonl_dir(spark, sf)), 100)
