@@ -37,7 +37,8 @@ def jsonl_to_parquet(spark, sf):
     return df.select("text", F.size("tokens").alias("n_tokens"), "source", "lang", "domain")
 
 
-@query("schema_listing")
+@query("schema_listing", """SELECT * FROM (VALUES ('text', 'string'), ('tokens', 'array<string>'), ('source', 'string'),
+                             ('lang', 'string'), ('domain', 'string')) AS t(name, type)""")
 def schema_listing(spark, sf):
     _, out = _converted(spark, sf)
     return spark.read.text(out.rstrip("/") + "_schema").select(
