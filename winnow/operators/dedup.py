@@ -19,6 +19,7 @@ Scale notes
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -209,6 +210,8 @@ def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longes
     Unknown strategies fall back to longest."""
     from winnow.functions import scoring
 
+    if strategy not in ("longest", "newest", "highest_quality"):
+        logging.getLogger(__name__).warning("Unknown strategy %s, using 'longest'", strategy)
     cols = docs.columns
     d = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
     length = doc_length("tokens", "text", cols).alias("_len")
