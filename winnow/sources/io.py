@@ -47,7 +47,8 @@ def jsonl_page(parsed: DataFrame, start_line: int, batch_size: int) -> DataFrame
 def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal") -> DataFrame:
     """1-based rank by ``order_col`` without a single-task window: range
     partition, count per partition (a table bounded by the partition count),
-    offset each partition, number rows inside it."""
+    offset each partition, number rows inside it.  The frame is
+    checkpointed, so pass the key columns only and join/filter back."""
     from pyspark.sql import Window
     part = df.repartitionByRange(range_parts(df), order_col).withColumn("_pid", F.spark_partition_id())
     from winnow.session import checkpoint_dir
@@ -62,9 +63,15 @@ def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal") -> DataFr
 
 
 def jsonl_page_valid(parsed: DataFrame, start: int, batch_size: int) -> DataFrame:
-    """Skip ``start`` valid documents, take the next ``batch_size``."""
-    o = with_ordinal(parsed, "line_no", "_ord")
-    return o.where((F.col("_ord") > start) & (F.col("_ord") <= start + batch_size)).drop("_ord")
+    """Skip ``start`` valid documents, take the next ``batch_size``.
+
+    Only the line numbers are ranked (a narrow table); the page's first and
+    last line numbers then filter the parsed rows directly -- ranks are
+    monotone in the line number, so no join and no copy of the documents."""
+    o = with_ordinal(parsed.select("line_no"), "line_no", "_ord")
+    page = o.where((F.col("_ord") > start) & (F.col("_ord") <= start + batch_size))
+    bounds = page.select(F.struct(F.min("line_no").alias("lo"), F.max("line_no").alias("hi"))).scalar()
+    return parsed.where(F.col("line_no").between(bounds["lo"], bounds["hi"]))
 
 
 def to_jsonl(df: DataFrame) -> DataFrame:
