@@ -151,7 +151,8 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
             break
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"greedy_seeds did not converge in {max_rounds} rounds")
-        ms = m.join(state, "doc_id")
+        # round 1: everything is undecided, so the state join is skipped
+        ms = m.withColumn("st", F.lit(U)) if rounds == 0 else m.join(state, "doc_id")
         per_bucket = ms.groupBy(*BUCKET).agg(
             F.min(F.when(F.col("st") != N, F.col("doc_id"))).alias("min_live"),
             F.max(F.col("st") == S).alias("has_seed"),
