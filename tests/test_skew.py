@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_hot_group(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     n = docs.count()
-    copies = docs.select((F.col("doc_id") + 1_000_000).alias("doc_id")).limit(n // 2)
+    copies = docs.where(F.col("doc_id") < n // 2).select((F.col("doc_id") + 1_000_000).alias("doc_id"))
     text0 = docs.where("doc_id = 0").first().text
     copies = copies.select("doc_id", F.lit(text0).alias("text"))
     corpus = docs.unionByName(copies)
