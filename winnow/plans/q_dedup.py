@@ -65,7 +65,7 @@ def dedup_stats(spark, sf):
 
 @query("cluster_stats", CHAIN + """
 , sizes AS (SELECT cid, count(*) AS n FROM clusters GROUP BY cid)
-SELECT count(*) AS total_clusters, sum(n) AS total_documents_in_clusters, round(avg(n), 6) AS avg_cluster_size,
+SELECT count(*) AS total_clusters, sum(n)::BIGINT AS total_documents_in_clusters, round(avg(n), 6) AS avg_cluster_size,
        max(n) AS max_cluster_size, min(n) AS min_cluster_size,
        count(*) FILTER (WHERE n = 2) AS size_2, count(*) FILTER (WHERE n BETWEEN 3 AND 5) AS size_3_5,
        count(*) FILTER (WHERE n BETWEEN 6 AND 10) AS size_6_10, count(*) FILTER (WHERE n > 10) AS size_10_plus
@@ -112,7 +112,7 @@ HASH = f"('0x' || substr(md5(s), 1, 8))::BIGINT % {mh.MERSENNE_P}"
 
 
 @query("shingles", "WITH " + O.docs_cte() + O.signature_ctes() +
-       f"\nSELECT doc_id, count(*) AS n_shingles, sum({HASH}) AS hash_sum FROM sh GROUP BY doc_id")
+       f"\nSELECT doc_id, count(*) AS n_shingles, sum({HASH})::BIGINT AS hash_sum FROM sh GROUP BY doc_id")
 def shingles(spark, sf):
     e = shingle_table(spark, sf).select("doc_id", F.explode("shingles").alias("s"))
     return e.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_shingles"), F.sum(mh.base_hash_expr("s")).alias("hash_sum"))
@@ -121,7 +121,7 @@ def shingles(spark, sf):
 @query("word_ngrams", "WITH " + O.docs_cte() + f"""
 , tok AS (SELECT doc_id, {O.quirk_tokens('text')} AS tq FROM docs),
 g AS (SELECT doc_id, unnest({O.word_grams('tq')}) AS s FROM tok)
-SELECT doc_id, count(*) AS n_grams, sum({HASH}) AS hash_sum FROM g GROUP BY doc_id""")
+SELECT doc_id, count(*) AS n_grams, sum({HASH})::BIGINT AS hash_sum FROM g GROUP BY doc_id""")
 def word_ngrams(spark, sf):
     d = normalized(spark, sf)
     e = d.select("doc_id", F.explode(tx.word_ngrams("text", 5)).alias("s"))
@@ -135,7 +135,7 @@ HANGUL_SQL = "SELECT doc_id, " + O.norm_text(_HANGUL_TEXT) + " AS text FROM docu
 @query("jamo_ngrams", f"""WITH h AS ({HANGUL_SQL}),
 tok AS (SELECT doc_id, string_split({O.jamo_text('text')}, '') AS cs FROM h),
 g AS (SELECT doc_id, unnest({O.char_grams('cs')}) AS s FROM tok)
-SELECT doc_id, count(*) AS n_grams, sum({HASH}) AS hash_sum FROM g GROUP BY doc_id""")
+SELECT doc_id, count(*) AS n_grams, sum({HASH})::BIGINT AS hash_sum FROM g GROUP BY doc_id""")
 def jamo_ngrams(spark, sf):
     h = fx.hangul(spark, sf).select("doc_id", tx.collapse_ws("text").alias("text"))
     e = h.select("doc_id", F.explode(tx.jamo_ngrams("text", 3)).alias("s"))
@@ -321,7 +321,7 @@ def dedup_chunked(spark, sf):
 SELECT chunk, original_count, deduplicated_count, original_count - deduplicated_count AS removed_count, duplicate_clusters,
        round((original_count - deduplicated_count) / original_count, 6) AS deduplication_rate FROM per
 UNION ALL
-SELECT NULL, sum(original_count), sum(deduplicated_count), sum(original_count - deduplicated_count), sum(duplicate_clusters),
+SELECT NULL, sum(original_count)::BIGINT, sum(deduplicated_count)::BIGINT, sum(original_count - deduplicated_count)::BIGINT, sum(duplicate_clusters)::BIGINT,
        round(sum(original_count - deduplicated_count) / sum(original_count), 6) FROM per""")
 def dedup_chunk_stats(spark, sf):
     d, res = _chunked(spark, sf)

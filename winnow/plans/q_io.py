@@ -31,7 +31,7 @@ def _converted(spark, sf):
 
 
 @query("jsonl_to_parquet", "WITH " + LINES_SQL + """
-SELECT text, len(tokens) AS n_tokens, source, lang, domain FROM parsed""")
+SELECT text, len(tokens)::INTEGER AS n_tokens, source, lang, domain FROM parsed""")
 def jsonl_to_parquet(spark, sf):
     df, _ = _converted(spark, sf)
     return df.select("text", F.size("tokens").alias("n_tokens"), "source", "lang", "domain")
@@ -68,7 +68,7 @@ def parquet_footer(spark, sf):
     return io.parquet_footers(spark, out)
 
 
-@query("parquet_rewrite", "SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY lang")
+@query("parquet_rewrite", "SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang")
 def parquet_rewrite(spark, sf):
     out = scratch_path(spark, "rewrite")
     io.rewrite_parquet(table(spark, sf, "documents"), out, 100_000, sort_col="doc_id")
@@ -83,7 +83,7 @@ def _by_domain(spark, sf):
     return memo(spark, ("bydomain", sf), build)
 
 
-@query("write_by_domain", "WITH " + CORPUS_SQL + "\nSELECT domain, count(*) AS n, sum(length(text)) AS chars FROM corpus GROUP BY domain")
+@query("write_by_domain", "WITH " + CORPUS_SQL + "\nSELECT domain, count(*) AS n, sum(length(text))::BIGINT AS chars FROM corpus GROUP BY domain")
 def write_by_domain(spark, sf):
     out = _by_domain(spark, sf)
     return spark.read.parquet(out).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
@@ -129,7 +129,7 @@ def parse_uri(spark, sf):
     return u.select("page_id", "uri", bucket.alias("bucket"), key.alias("key"))
 
 
-@query("write_jsonl", "WITH " + CORPUS_SQL + "\nSELECT doc_id, text, domain, len(tokens) AS n_tokens, ts_raw FROM corpus")
+@query("write_jsonl", "WITH " + CORPUS_SQL + "\nSELECT doc_id, text, domain, len(tokens)::INTEGER AS n_tokens, ts_raw FROM corpus")
 def write_jsonl(spark, sf):
     out = scratch_path(spark, "jsonl-out")
     io.write_jsonl(fx.corpus(spark, sf), out, "doc_id")
@@ -180,7 +180,7 @@ def corpus_manifest(spark, sf):
 
 @query("curate_flow", O.dedup_chain() + """
 SELECT ['main_data','textbook','assembly','web','social'][(doc_id % 5)::INT + 1] AS domain, count(*) AS kept_documents,
-       sum(length(text)) AS kept_chars
+       sum(length(text))::BIGINT AS kept_chars
 FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM dropped) GROUP BY ALL""")
 def curate_flow(spark, sf):
     """clean -> dedup -> per-domain totals of the kept corpus."""

@@ -36,7 +36,7 @@ def deltas(spark, sf):
     return out
 
 
-@query("vector_diff", "WITH " + PARAMS_SQL + "\nSELECT model, name, pos, round(d, 6) AS delta FROM delta")
+@query("vector_diff", "WITH " + PARAMS_SQL + "\nSELECT model, name, pos::INTEGER AS pos, round(d, 6) AS delta FROM delta")
 def vector_diff(spark, sf):
     d = deltas(spark, sf)
     return d.select("model", "name", F.posexplode("vec").alias("pos", "delta")).select(
@@ -51,7 +51,7 @@ def diff_stats(spark, sf):
 
 @query("merge_weighted", "WITH " + PARAMS_SQL + """
 , s AS (SELECT d.name, d.pos, sum(w.weight * d.d) AS add FROM delta d JOIN weights w USING (model) GROUP BY ALL)
-SELECT b.name, b.pos, round(b.x + coalesce(s.add, 0), 6) AS value FROM ex b LEFT JOIN s USING (name, pos) WHERE b.model = 'base'""")
+SELECT b.name, b.pos::INTEGER AS pos, round(b.x + coalesce(s.add, 0), 6) AS value FROM ex b LEFT JOIN s USING (name, pos) WHERE b.model = 'base'""")
 def merge_weighted(spark, sf):
     base, _ = _base_tuned(spark, sf)
     m = pa.merge_weighted(base, deltas(spark, sf), fx.model_weights(spark))
@@ -114,7 +114,7 @@ ov AS (SELECT coalesce(ch.pair_id, cr.pair_id) AS pair_id, coalesce(ch.n, cr.n)
 
 
 BLEU_SQL = "WITH " + PAIRS_SQL + _overlap_sql(BLEU_TOK.format(x="prediction"), BLEU_TOK.format(x="reference"), range(1, 5)) + """
-, lens AS (SELECT sum(len(h)) AS sys_len, sum(len(r)) AS ref_len FROM tl),
+, lens AS (SELECT sum(len(h))::BIGINT AS sys_len, sum(len(r))::BIGINT AS ref_len FROM tl),
 agg AS (SELECT """ + ", ".join(f"coalesce(sum(matches) FILTER (WHERE n = {k}), 0) AS m{k}, coalesce(sum(hyp_total) FILTER (WHERE n = {k}), 0) AS t{k}"
                               for k in range(1, 5)) + """ FROM ov),
 pr AS (SELECT *,

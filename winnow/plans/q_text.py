@@ -130,7 +130,7 @@ def schema_check(spark, sf):
 
 
 @query("clean_to_schema", "WITH " + LINES_SQL + """
-SELECT line_no, text, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text, source, lang, domain
+SELECT line_no, text, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens_text, source, lang, domain
 FROM parsed WHERE NOT no_source AND text IS NOT NULL AND trim(text) <> ''""")
 def clean_to_schema(spark, sf):
     c = va.clean_to_schema(parsed_lines(spark, sf))
@@ -148,7 +148,7 @@ def contains_korean(spark, sf):
     return d.unionByName(h)
 
 
-@query("strip_emoji", "SELECT doc_id, length(text) - length(regexp_replace(text, '\\p{So}', '', 'g')) AS removed_chars FROM documents")
+@query("strip_emoji", "SELECT doc_id, (length(text) - length(regexp_replace(text, '\\p{So}', '', 'g')))::INTEGER AS removed_chars FROM documents")
 def strip_emoji(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", (F.length("text") - F.length(tx.strip_emoji("text"))).alias("removed_chars"))
@@ -190,8 +190,8 @@ def field_stats(spark, sf):
 
 @query("text_stats", "WITH " + CORPUS_SQL + """
 SELECT count(*) AS total_documents, round(avg(length(text)) FILTER (WHERE text <> ''), 6) AS avg_length,
-       min(length(text)) FILTER (WHERE text <> '') AS min_length, max(length(text)) FILTER (WHERE text <> '') AS max_length,
-       sum(length(text)) FILTER (WHERE text <> '') AS total_characters FROM corpus HAVING count(*) > 0""")
+       (min(length(text)) FILTER (WHERE text <> ''))::INTEGER AS min_length, (max(length(text)) FILTER (WHERE text <> ''))::INTEGER AS max_length,
+       (sum(length(text)) FILTER (WHERE text <> ''))::BIGINT AS total_characters FROM corpus HAVING count(*) > 0""")
 def text_stats(spark, sf):
     return st.text_stats(fx.corpus(spark, sf))
 
