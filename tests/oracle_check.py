@@ -29,6 +29,12 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark simple type -> DuckDB type name, for the schema part of the check
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+            "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT",
+            "smallint": "SMALLINT", "date": "DATE"}
+
+
 def norm_value(v):
     if v is None:
         return None
@@ -63,6 +69,7 @@ def compare(spark, sf_dir, names=None, con=None):
         try:
             df = qs[name](spark, sf_dir)
             s_cols = df.columns
+            s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
             s_rows = [tuple(r) for r in df.collect()]
         except Exception as e:  # pragma: no cover - reporting
             results[name] = ("SPARK-ERROR", str(e).splitlines()[0][:300])
@@ -74,6 +81,7 @@ def compare(spark, sf_dir, names=None, con=None):
         try:
             rel = con.sql(sql[name])
             d_cols = rel.columns
+            d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
             d_rows = rel.fetchall()
         except Exception as e:  # pragma: no cover - reporting
             results[name] = ("DUCK-ERROR", str(e).splitlines()[0][:300])
@@ -81,6 +89,9 @@ def compare(spark, sf_dir, names=None, con=None):
         t2 = time.time()
         if sorted(s_cols) != sorted(d_cols):
             results[name] = ("COLS", f"spark {s_cols} duck {d_cols}")
+        elif any(TYPE_MAP.get(t, t) != d_types.get(c) for c, t in s_types.items()):
+            results[name] = ("TYPES", str({c: (t, d_types.get(c)) for c, t in s_types.items()
+                                           if TYPE_MAP.get(t, t) != d_types.get(c)}))
         elif len(s_rows) != len(d_rows):
             results[name] = ("COUNT", f"spark {len(s_rows)} duck {len(d_rows)}")
         else:
