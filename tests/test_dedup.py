@@ -147,3 +147,12 @@ def test_exact_copies_collapse(spark):
     res = dd.deduplicate(dd.normalize_docs(docs))
     kept = sorted(r.doc_id for r in res.kept.collect())
     assert 0 in kept and 1 not in kept and 2 in kept
+
+
+def test_chunk_local_dedup_keeps_cross_chunk_copies(spark):
+    rows = [(0, "a", 0), (1, "a", 1), (2, "같은 문장이 반복됩니다 여기", 2), (3, "같은 문장이 반복됩니다 여기", 3),
+            (4, "같은 문장이 반복됩니다 여기", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, chunk long")
+    res = dd.deduplicate(docs, dd.DedupConfig(scope_col="chunk"), normalized=False)
+    # copies in different chunks survive; the copy inside chunk 3 collapses
+    assert sorted(r.doc_id for r in res.kept.collect()) == [0, 1, 2, 3]
