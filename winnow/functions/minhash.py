@@ -23,7 +23,7 @@ MERSENNE_P = 2147483647
 NUM_PERM = 128
 DEFAULT_BANDS, DEFAULT_ROWS = 9, 13  # optimum of 0.5*FP + 0.5*FN at threshold 0.8, 128 perms
 PERM_SEED = 20240601
-SLICE_VALUES = 1 << 22  # hashes per numpy slice inside the signature helper
+SLICE_VALUES = 1 << 16  # hashes per numpy slice: ~512 KB arrays stay in cache across the 128 passes
 
 
 def perm_constants(num_perm: int = NUM_PERM, seed: int = PERM_SEED) -> list[tuple[int, int]]:
@@ -84,8 +84,8 @@ def _signature_fn(num_perm: int, seed: int):
         t = np.empty_like(vals)
         for i in range(num_perm):
             # (a*h + b) mod (2^31 - 1) by Mersenne folding instead of '%':
-            # x < 2^63 folds to < 2^32 + 1, a second fold and one
-            # conditional subtraction give the exact residue.
+            # two folds bring x < 2^63 into [0, P + 2], one conditional
+            # subtraction gives the exact residue.
             np.multiply(vals, a_s[i], out=v)
             v += b_s[i]
             np.right_shift(v, 31, out=t)
@@ -94,7 +94,10 @@ def _signature_fn(num_perm: int, seed: int):
             np.right_shift(v, 31, out=t)
             v &= MERSENNE_P
             v += t
-            v[v >= MERSENNE_P] -= MERSENNE_P
+            # v is now in [0, P + 2]: min(v, v - P) as unsigned picks v - P
+            # exactly when v >= P (otherwise v - P wraps to a huge value)
+            np.subtract(v, MERSENNE_P, out=t)
+            np.minimum(v.view(np.uint64), t.view(np.uint64), out=v.view(np.uint64))
             out[:, i] = np.minimum.reduceat(v, starts)
 
     def sign(hashes: pa.Array) -> pa.Array:
