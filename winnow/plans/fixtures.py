@@ -74,12 +74,12 @@ def jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(model, name, vec array<double>): base = vec_id 0..99, tuned m1..m3 =
-    vec_id 100..399 with name 'w' || vec_id % 100."""
-    e = table(spark, sf_dir, "embeddings").where(F.col("vec_id") < 400)
-    g = F.floor(F.col("vec_id") / 100).cast("int")
-    model = _case(g, ["base", "m1", "m2", "m3"])
-    return e.select(model.alias("model"), F.concat(F.lit("w"), (F.col("vec_id") % 100).cast("string")).alias("name"),
+    """(model, name, vec array<double>) over the whole embeddings table:
+    model = base, m1, m2, m3 by vec_id % 4, name = 'w' || vec_id / 4, so
+    every name has one base and three tuned vectors."""
+    e = table(spark, sf_dir, "embeddings")
+    model = _case((F.col("vec_id") % 4).cast("int"), ["base", "m1", "m2", "m3"])
+    return e.select(model.alias("model"), F.concat(F.lit("w"), F.floor(F.col("vec_id") / 4).cast("string")).alias("name"),
                     F.col("embedding").cast("array<double>").alias("vec"))
 
 

@@ -11,9 +11,9 @@ from winnow.plans.registry import query
 from winnow.session import table
 
 PARAMS_SQL = """params AS (
-  SELECT CASE vec_id // 100 WHEN 0 THEN 'base' WHEN 1 THEN 'm1' WHEN 2 THEN 'm2' ELSE 'm3' END AS model,
-         'w' || (vec_id % 100)::VARCHAR AS name, embedding::DOUBLE[] AS vec
-  FROM embeddings WHERE vec_id < 400),
+  SELECT CASE vec_id % 4 WHEN 0 THEN 'base' WHEN 1 THEN 'm1' WHEN 2 THEN 'm2' ELSE 'm3' END AS model,
+         'w' || (vec_id // 4)::VARCHAR AS name, embedding::DOUBLE[] AS vec
+  FROM embeddings),
 ex AS (SELECT model, name, unnest(range(0, len(vec))) AS pos, unnest(vec) AS x FROM params),
 delta AS (SELECT t.model, t.name, t.pos, t.x - b.x AS d FROM ex t JOIN ex b ON b.model = 'base' AND b.name = t.name AND b.pos = t.pos
           WHERE t.model <> 'base'),
