@@ -326,8 +326,12 @@ def connected_groups(linked: DataFrame) -> DataFrame:
     with a pointer-jumping step (label <- label of label) each round."""
     m = _reliable(linked.select("doc_id", *BUCKET))
     lab = _reliable(m.select("doc_id").distinct().withColumn("label", F.col("doc_id")))
+    first = True
     while True:
-        bl = m.join(lab, "doc_id").groupBy(*BUCKET).agg(F.min("label").alias("bl"))
+        # round 1: every label is the doc's own id, so no join is needed
+        ml = m.withColumn("label", F.col("doc_id")) if first else m.join(lab, "doc_id")
+        first = False
+        bl = ml.groupBy(*BUCKET).agg(F.min("label").alias("bl"))
         dl = m.join(bl, BUCKET).groupBy("doc_id").agg(F.min("bl").alias("nl"))
         step = lab.join(dl, "doc_id", "left").select(
             "doc_id", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("nl"), F.col("label").alias("old"))
