@@ -93,16 +93,17 @@ def ngram_overlap(pairs: DataFrame, hyp: Column, ref: Column, orders) -> DataFra
 
 def bleu_corpus(pairs: DataFrame, hyp_col: str = "prediction", ref_col: str = "reference") -> DataFrame:
     """Corpus BLEU (13a tokens, one reference, exponential smoothing): one
-    row with bleu, brevity penalty, lengths and the four precisions.
-    Corpus lengths enter as scalar subqueries of the same pair table."""
+    row with bleu, brevity penalty, lengths and the four precisions."""
     p = pairs.where(F.col(ref_col).isNotNull() & F.col(hyp_col).isNotNull())
     h = bleu_tokenize(F.col(hyp_col))
     r = bleu_tokenize(F.col(ref_col))
     ov = ngram_overlap(p, h, r, range(1, MAX_ORDER + 1))
-    sys_len = F.coalesce(p.select(F.sum(_ntok(h))).scalar(), F.lit(0))
-    ref_len = F.coalesce(p.select(F.sum(_ntok(r))).scalar(), F.lit(0))
+    # corpus lengths are the unigram totals of the same aggregate (no second
+    # tokenization pass): sum of hypothesis / reference 1-grams
     row = ov.agg(*[F.coalesce(F.sum(F.when(F.col("n") == k, F.col(c))), F.lit(0)).alias(f"{a}{k}")
-                   for k in range(1, MAX_ORDER + 1) for c, a in (("matches", "m"), ("hyp_total", "t"))])
+                   for k in range(1, MAX_ORDER + 1) for c, a in (("matches", "m"), ("hyp_total", "t"))],
+                 F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("ref_total"))), F.lit(0)).alias("_ref_len"))
+    sys_len, ref_len = F.col("t1"), F.col("_ref_len")
     # exponential smoothing: the k-th zero-match order gets 100 / (2^k * total);
     # an order with no n-grams at all ends the product (precision 0).
     precs, zeros, stop = [], F.lit(0), F.lit(False)
