@@ -80,6 +80,12 @@ def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str =
     checked = total if max_lines is None else F.least(F.lit(max_lines), total)
     start = F.coalesce(first, F.lit(0))
     win = p.where((F.col(order_col) >= start) & (F.col(order_col) < start + checked))
+    if max_lines is not None:
+        # the sample window is at most max_lines rows: materialise it once so
+        # the three aggregates below do not each re-read the whole input
+        from winnow.session import checkpoint_dir
+        checkpoint_dir(lines.sparkSession)
+        win = win.checkpoint(eager=True)
     valid = F.col("_v").isNotNull() & ~F.col("_blank")
     keys = F.when(valid & F.col("_obj"), F.json_object_keys(F.to_json(F.col("_v"))))
     text = F.when(valid & F.col("_obj"), F.try_variant_get(F.col("_v"), "$.text", "string"))
