@@ -274,22 +274,27 @@ def deduplicate(docs: DataFrame, cfg: DedupConfig = DEFAULT, strategy: str = "lo
     else:
         reps = representatives(members, docs, strategy, cfg.id_col)
     rep_ids = reps.select(F.col("rep_id").alias("doc_id")).distinct()
-    drop = members.select("doc_id").distinct().join(rep_ids, "doc_id", "left_anti")
+    drop = _reliable(members.select("doc_id").distinct().join(rep_ids, "doc_id", "left_anti"))
     idc = cfg.id_col
     kept = docs.join(drop.withColumnRenamed("doc_id", idc), idc, "left_anti")
     removed = docs.join(drop.withColumnRenamed("doc_id", idc), idc, "left_semi")
-    return DedupResult(kept, removed, members, reps, linked, seeds)
+    return DedupResult(kept, removed, members, reps, linked, seeds, {"dropped_ids": drop})
 
 
 def dedup_stats(docs: DataFrame, res: DedupResult) -> DataFrame:
     """original, kept, removed, clusters, rate (0 on an empty corpus).
     One union of tagged rows and a single global aggregate."""
-    tag = lambda df, o, k, c: df.select(F.lit(o).alias("o"), F.lit(k).alias("k"), c.cast("bigint").alias("c"))
+    # removed ids are a subset of the input, so kept = original - removed:
+    # one count of the input plus counts of two small tables, no anti-join
+    tag = lambda df, o, r, c: df.select(F.lit(o).alias("o"), F.lit(r).alias("r"), c.cast("bigint").alias("c"))
+    dropped = res.extra.get("dropped_ids", res.removed.select("doc_id"))
     u = (tag(docs, 1, 0, F.lit(None))
-         .unionByName(tag(res.kept, 0, 1, F.lit(None)))
+         .unionByName(tag(dropped, 0, 1, F.lit(None)))
          .unionByName(tag(res.members.select("cluster_id").distinct(), 0, 0, F.col("cluster_id"))))
-    a = u.agg(F.sum("o").alias("original_count"), F.sum("k").alias("deduplicated_count"),
-              F.count("c").alias("duplicate_clusters"))
+    a = u.agg(F.sum("o").alias("original_count"), F.sum("r").alias("_removed"),
+              F.count("c").alias("duplicate_clusters")).select(
+        "original_count", (F.col("original_count") - F.coalesce(F.col("_removed"), F.lit(0))).alias("deduplicated_count"),
+        "duplicate_clusters")
     return a.select(
         F.coalesce(F.col("original_count"), F.lit(0)).alias("original_count"),
         F.coalesce(F.col("deduplicated_count"), F.lit(0)).alias("deduplicated_count"),
