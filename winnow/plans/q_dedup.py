@@ -210,9 +210,12 @@ SELECT round(avg(n), 6) AS before_unique_tokens,
 def diversity(spark, sf):
     res = flagship(spark, sf)
     n = F.size(F.array_distinct(tx.word_tokens("text")))
-    before = normalized(spark, sf).select(n.alias("n")).agg(F.round(F.avg("n"), 6).alias("before_unique_tokens"))
-    after = res.kept.select(n.alias("n")).agg(F.avg("n")).scalar()
-    return before.select("before_unique_tokens", F.round(after, 6).alias("after_unique_tokens"))
+    # one pass over the corpus: removed docs are flagged by a join with the
+    # (small) removed-id table, both means come from the same aggregate
+    gone = res.extra["dropped_ids"].select("doc_id", F.lit(True).alias("_gone"))
+    d = normalized(spark, sf).select("doc_id", n.alias("n")).join(gone, "doc_id", "left")
+    return d.agg(F.round(F.avg("n"), 6).alias("before_unique_tokens"),
+                 F.round(F.avg(F.when(F.col("_gone").isNull(), F.col("n"))), 6).alias("after_unique_tokens"))
 
 
 # ------------------------------------------------------------------ connected groups
