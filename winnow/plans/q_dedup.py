@@ -329,9 +329,10 @@ SELECT NULL, sum(original_count)::BIGINT, sum(deduplicated_count)::BIGINT, sum(o
 def dedup_chunk_stats(spark, sf):
     d, res = _chunked(spark, sf)
     seeds = res.seeds.where("is_seed").select("doc_id", F.lit(1).alias("_seed"))
-    kept = res.kept.select("doc_id", F.lit(1).alias("_kept"))
-    x = d.select("doc_id", "chunk").join(kept, "doc_id", "left").join(seeds, "doc_id", "left")
-    g = x.rollup("chunk").agg(F.count(F.lit(1)).alias("original_count"), F.count("_kept").alias("deduplicated_count"),
+    gone = res.extra["dropped_ids"].select("doc_id", F.lit(1).alias("_gone"))
+    x = d.select("doc_id", "chunk").join(gone, "doc_id", "left").join(seeds, "doc_id", "left")
+    g = x.rollup("chunk").agg(F.count(F.lit(1)).alias("original_count"),
+                              F.count_if(F.col("_gone").isNull()).alias("deduplicated_count"),
                               F.count("_seed").alias("duplicate_clusters"), F.grouping("chunk").alias("_g"))
     return g.select(F.when(F.col("_g") == 0, F.col("chunk")).alias("chunk"), "original_count", "deduplicated_count",
                     (F.col("original_count") - F.col("deduplicated_count")).alias("removed_count"), "duplicate_clusters",
