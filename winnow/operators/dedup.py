@@ -130,7 +130,7 @@ def _reliable(df: DataFrame) -> DataFrame:
 U, S, N = 0, 1, 2  # undecided, seed, non-seed
 
 
-def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def greedy_seeds(linked: DataFrame, max_rounds: int | None = None, materialized: bool = False) -> DataFrame:
     """(doc_id, is_seed) for every document with at least one candidate.
 
     Visiting documents in id order, an unprocessed document becomes a seed
@@ -141,8 +141,10 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None) -> DataFrame:
         every one of its buckets becomes a seed.
     Each round is one bucket aggregate and one doc aggregate over the
     memberships of buckets that still hold an undecided doc; settled buckets
-    drop out, so later rounds only touch the unresolved part of the graph."""
-    m = _reliable(linked.select("doc_id", *BUCKET))
+    drop out, so later rounds only touch the unresolved part of the graph.
+    ``materialized``: ``linked`` is already a checkpoint, do not write it again."""
+    m = linked.select("doc_id", *BUCKET)
+    m = m if materialized else _reliable(m)
     state = _reliable(m.select("doc_id").distinct().withColumn("st", F.lit(U)))
     rounds = 0
     while True:
@@ -266,7 +268,7 @@ def deduplicate(docs: DataFrame, cfg: DedupConfig = DEFAULT, strategy: str = "lo
     # than running the text pipeline a second time.
     members_all = _reliable(bucket_members(sigs, cfg))
     linked = _reliable(linked_members(members_all))
-    seeds = greedy_seeds(linked)
+    seeds = greedy_seeds(linked, materialized=True)
     members = _reliable(cluster_members(linked, seeds))
     if longest:
         lens = linked.select("doc_id", "_len").distinct()
@@ -325,11 +327,12 @@ def cluster_stats(members: DataFrame) -> DataFrame:
 # connected groups (documented policy: mutually connected docs form a group)
 # --------------------------------------------------------------------------
 
-def connected_groups(linked: DataFrame) -> DataFrame:
+def connected_groups(linked: DataFrame, materialized: bool = False) -> DataFrame:
     """(doc_id, group_id = smallest doc id of its connected component) over
     the doc-bucket graph.  Min-label propagation through bucket aggregates,
     with a pointer-jumping step (label <- label of label) each round."""
-    m = _reliable(linked.select("doc_id", *BUCKET))
+    m = linked.select("doc_id", *BUCKET)
+    m = m if materialized else _reliable(m)
     lab = _reliable(m.select("doc_id").distinct().withColumn("label", F.col("doc_id")))
     first = True
     while True:

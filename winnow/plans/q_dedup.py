@@ -224,7 +224,7 @@ def diversity(spark, sf):
 , cc(doc_id, label) AS (SELECT x, x FROM pairs UNION SELECT p.y, c.label FROM cc c JOIN pairs p ON p.x = c.doc_id)
 SELECT doc_id, min(label) AS group_id FROM cc GROUP BY doc_id""")
 def connected_clusters(spark, sf):
-    return dd.connected_groups(flagship(spark, sf).linked)
+    return dd.connected_groups(flagship(spark, sf).linked, materialized=True)
 
 
 # ------------------------------------------------------------------ representatives
