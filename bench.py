@@ -59,15 +59,19 @@ def main() -> None:
         run(qs[name](spark, warm if os.path.isdir(warm) else sf_dir))
     registry.clear_memo()
 
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         runs = []
-        for _ in range(repeats):
-            registry.clear_memo()
-            t0 = time.time()
-            run(qs[name](spark, sf_dir))
-            runs.append(time.time() - t0)
-        timings[name] = round(statistics.median(runs), 3)
+        try:
+            for _ in range(repeats):
+                registry.clear_memo()
+                t0 = time.time()
+                run(qs[name](spark, sf_dir))
+                runs.append(time.time() - t0)
+            timings[name] = round(statistics.median(runs), 3)
+        except Exception as e:  # one failing query must not lose the whole line
+            timings[name] = None
+            errors[name] = str(e).splitlines()[0][:200]
 
     # JSONL vs Parquet scan of the same documents (the baseline's load
     # comparison): both copies written from the same partitioning, then a
@@ -106,12 +110,13 @@ def main() -> None:
         except OSError:  # not a local folder
             return None
     n_docs = docs.count()
-    total = round(sum(timings.values()), 3)
+    total = round(sum(v for v in timings.values() if v is not None), 3)
     out = {
         "metric": "headline_total",
         "value": total,
         "unit": "sec",
         "queries": timings,
+        **({"errors": errors} if errors else {}),
         "sf": float(os.path.basename(sf_dir.rstrip("/")).replace("sf", "") or 0),
         "cpus": cpus,
         "repeats": repeats,
