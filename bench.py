@@ -38,6 +38,40 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def ratio(scan: dict, a: str, b: str):
+    return round(scan[a] / scan[b], 2) if scan.get(a) and scan.get(b) else None
+
+
+def scan_comparison(spark, docs, jdir, pdir, cpus, repeats):
+    from pyspark.sql import functions as F
+    from winnow.operators import validate as va
+    from winnow.sources import io as wio
+
+    same = docs.repartition(cpus)
+    same.write.mode("overwrite").json(jdir)
+    same.write.mode("overwrite").option("compression", "zstd").parquet(pdir)
+    schema = docs.schema
+
+    def jsonl_loader():
+        # the library's JSONL path: line numbers, VARIANT parse, malformed lines dropped
+        p = wio.read_jsonl(spark, jdir)
+        return p.select(*[va.field(f.name, f.dataType.simpleString()).alias(f.name) for f in schema.fields])
+
+    readers = {"jsonl": lambda: spark.read.schema(schema).json(jdir), "jsonl_loader": jsonl_loader,
+               "parquet": lambda: spark.read.parquet(pdir)}
+    scan = {}
+    for fmt, reader in readers.items():
+        for kind, proj in (("full", lambda df: df.select(*[F.col(c) for c in df.columns])),
+                           ("two_cols", lambda df: df.select("doc_id", "lang"))):
+            rs = []
+            for _ in range(repeats):
+                t0 = time.time()
+                run(proj(reader()))
+                rs.append(time.time() - t0)
+            scan[f"{fmt}_{kind}"] = round(statistics.median(rs), 3)
+    return scan
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -78,31 +112,12 @@ def main() -> None:
     # full-row load and a two-column projection of each.
     from pyspark.sql import functions as F
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
-    same = docs.repartition(cpus)
     jdir, pdir = os.path.join(ckpt, "docs-jsonl"), os.path.join(ckpt, "docs-parquet")
-    same.write.mode("overwrite").json(jdir)
-    same.write.mode("overwrite").option("compression", "zstd").parquet(pdir)
-    schema = docs.schema
-    from winnow.operators import validate as va
-    from winnow.sources import io as wio
-
-    def jsonl_loader():
-        # the library's JSONL path: line numbers, VARIANT parse, malformed lines dropped
-        p = wio.read_jsonl(spark, jdir)
-        return p.select(*[va.field(f.name, f.dataType.simpleString()).alias(f.name) for f in schema.fields])
-
-    readers = {"jsonl": lambda: spark.read.schema(schema).json(jdir), "jsonl_loader": jsonl_loader,
-               "parquet": lambda: spark.read.parquet(pdir)}
     scan = {}
-    for fmt, reader in readers.items():
-        for kind, proj in (("full", lambda df: df.select(*[F.col(c) for c in df.columns])),
-                           ("two_cols", lambda df: df.select("doc_id", "lang"))):
-            rs = []
-            for _ in range(repeats):
-                t0 = time.time()
-                run(proj(reader()))
-                rs.append(time.time() - t0)
-            scan[f"{fmt}_{kind}"] = round(statistics.median(rs), 3)
+    try:
+        scan = scan_comparison(spark, docs, jdir, pdir, cpus, repeats)
+    except Exception as e:  # reported, not fatal
+        errors["scan_comparison"] = str(e).splitlines()[0][:200]
 
     def du(path):
         try:
@@ -116,7 +131,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": timings,
-        **({"errors": errors} if errors else {}),
+
         "sf": float(os.path.basename(sf_dir.rstrip("/")).replace("sf", "") or 0),
         "cpus": cpus,
         "repeats": repeats,
@@ -124,10 +139,12 @@ def main() -> None:
         "dedup_docs_per_sec": round(n_docs / timings["dedup_keep"], 1) if timings.get("dedup_keep") else None,
         "scan_sec": scan,
         "bytes": {"jsonl": du(jdir), "parquet_zstd": du(pdir)},
-        "parquet_vs_jsonl_speedup_full": round(scan["jsonl_full"] / scan["parquet_full"], 2),
-        "parquet_vs_jsonl_speedup_two_cols": round(scan["jsonl_two_cols"] / scan["parquet_two_cols"], 2),
-        "parquet_vs_jsonl_loader_speedup_full": round(scan["jsonl_loader_full"] / scan["parquet_full"], 2),
+        "parquet_vs_jsonl_speedup_full": ratio(scan, "jsonl_full", "parquet_full"),
+        "parquet_vs_jsonl_speedup_two_cols": ratio(scan, "jsonl_two_cols", "parquet_two_cols"),
+        "parquet_vs_jsonl_loader_speedup_full": ratio(scan, "jsonl_loader_full", "parquet_full"),
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
