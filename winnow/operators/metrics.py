@@ -132,10 +132,12 @@ def rouge_n(pairs: DataFrame, hyp_col: str = "prediction", ref_col: str = "refer
     prec = F.col("matches") / F.greatest(F.col("hyp_total"), F.lit(1))
     rec = F.col("matches") / F.greatest(F.col("ref_total"), F.lit(1))
     f = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-    npairs = F.greatest(p.select(F.count(F.lit(1))).scalar(), F.lit(1))
+    # every pair has exactly one (pair, n) row per order, so the pair count
+    # comes from the same aggregate (no second pass over the texts)
     per = ov.select("n", f.alias("f"))
-    return per.agg(*[F.round(F.coalesce(F.sum(F.when(F.col("n") == k, F.col("f"))), F.lit(0.0)) / npairs, 6).alias(f"rouge{k}")
-                     for k in orders])
+    agg = per.agg(F.count_if(F.col("n") == orders[0]).alias("_np"),
+                  *[F.coalesce(F.sum(F.when(F.col("n") == k, F.col("f"))), F.lit(0.0)).alias(f"_s{k}") for k in orders])
+    return agg.select(*[F.round(F.col(f"_s{k}") / F.greatest(F.col("_np"), F.lit(1)), 6).alias(f"rouge{k}") for k in orders])
 
 
 def _lcs_len(a: list, b: list) -> int:
