@@ -143,9 +143,12 @@ SELECT doc_id, 'documents' AS src, coalesce(regexp_matches(text, '[가-힯ᄀ-
 UNION ALL
 SELECT doc_id, 'hangul', coalesce(regexp_matches(translate(lower(text), '{fx.LATIN}', '{fx.HANGUL_MAP}'), '[가-힯ᄀ-ᇿ㄰-㆏]'), false) FROM documents""")
 def contains_korean(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.lit("documents").alias("src"), tx.contains_korean("text").alias("has_korean"))
-    h = fx.hangul(spark, sf).select("doc_id", F.lit("hangul").alias("src"), tx.contains_korean("text").alias("has_korean"))
-    return d.unionByName(h)
+    # one scan: both renderings of each row come out of a two-element explode
+    d = table(spark, sf, "documents")
+    hangul_text = F.translate(F.lower("text"), fx.LATIN, fx.HANGUL_MAP)
+    both = F.array(F.struct(F.lit("documents").alias("src"), tx.contains_korean("text").alias("has_korean")),
+                   F.struct(F.lit("hangul").alias("src"), tx.contains_korean(hangul_text).alias("has_korean")))
+    return d.select("doc_id", F.explode(both).alias("r")).select("doc_id", "r.src", "r.has_korean")
 
 
 @query("strip_emoji", "SELECT doc_id, (length(text) - length(regexp_replace(text, '\\p{So}', '', 'g')))::INTEGER AS removed_chars FROM documents")
