@@ -221,13 +221,13 @@ def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longes
     if strategy == "newest" and "timestamp" in cols:
         ts = scoring.parse_timestamp_col(docs, "timestamp").alias("_ts")
         feat = d.select("doc_id", length, ts)
-        j = members.join(feat, "doc_id")
-        # any valid time in the cluster?  then newest wins, else longest.
-        any_ts = j.groupBy("cluster_id").agg(F.max(F.col("_ts").isNotNull()).alias("_has"))
-        j = j.join(any_ts, "cluster_id")
-        score = F.when(F.col("_has"), F.struct(F.col("_ts").isNotNull().alias("v"), F.col("_ts").alias("t"), F.lit(0).alias("l"))) \
-                 .otherwise(F.struct(F.lit(True).alias("v"), F.lit(None).cast("timestamp_ntz").alias("t"), F.col("_len").alias("l")))
-        return pick(j, score)
+        # one ordering covers both cases: members with a valid time beat those
+        # without (newest first, ties to the smallest id); in a cluster with
+        # no valid time at all, the length decides
+        has = F.col("_ts").isNotNull()
+        score = F.struct(has.alias("v"), F.col("_ts").alias("t"),
+                         F.when(has, F.lit(0)).otherwise(F.col("_len")).alias("l"))
+        return pick(members.join(feat, "doc_id"), score)
     if strategy == "highest_quality":
         feat = d.select("doc_id", scoring.quality_score(docs.dtypes).alias("_q"))
         return pick(members.join(feat, "doc_id"), F.col("_q"))
