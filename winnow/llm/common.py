@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.session import scratch_path
@@ -47,6 +49,17 @@ def order_cuts(df: DataFrame, col: str, parts: int) -> list[int]:
     return sorted(set(got or []))
 
 
+def bucket_of(col: Column, cuts: list[int]) -> Column:
+    """The bucket of a bigint column among cut points (null: the first)."""
+    edges = np.array(cuts, np.int64)
+
+    @F.pandas_udf("int")
+    def bucket(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="right").astype(np.int32))
+
+    return F.when(col.isNull(), 0).otherwise(bucket(F.coalesce(col, F.lit(0).cast("bigint"))))
+
+
 def process_cache(name: str) -> dict:
     """A dict that lives as long as this Python worker process, so models and
     lookups loaded by one task serve the next ones too."""

@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import simhash_vptree
+from winnow.llm import (best_fit, bloom_lm, decontaminate, densified_minhash, gru_langid, pii_transducer, shuffle_shards,
+                        simhash_vptree, token_files, zstd_toxicity)
+from winnow.llm.tokenizing import vocabulary
 from winnow.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+END_ID = 2  # appended to every document's token ids
 
 
 def query(fn: Callable) -> Callable:
@@ -25,3 +28,59 @@ def op1_simhash_vptree(spark, sf_dir):
     """Component of every document under SimHash links of at most 3 bits."""
     found = simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_pii_transducer(spark, sf_dir):
+    """Personal data of every document: counts and places."""
+    found = pii_transducer.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op3_gru_langid(spark, sf_dir):
+    """Language of every document."""
+    return gru_langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_densified_minhash(spark, sf_dir):
+    """Fingerprints of every document and its edited text, with likenesses."""
+    return densified_minhash.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_bloom_lm(spark, sf_dir):
+    """Language-model score of every document."""
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_zstd_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    return zstd_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_simhash_decontamination(spark, sf_dir):
+    """Benchmark items found in documents, one row per document and item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_token_files(spark, sf_dir):
+    """Every document's place in the token files, read back from them."""
+    return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), END_ID)
+
+
+@query
+def op9_best_fit(spark, sf_dir):
+    """Every piece's place in the packed sequences."""
+    return best_fit.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), END_ID)
+
+
+@query
+def op10_shuffle_shards(spark, sf_dir):
+    """Every document's shard and slot, read back from the written shards."""
+    out = shuffle_shards.write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", F.crc32("text").alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard")

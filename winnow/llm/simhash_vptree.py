@@ -38,7 +38,8 @@ from winnow.llm.components import connected
 
 SEED = 42          # XXH64 seed of shingle hashes
 SAMPLE = 32768     # fingerprints the routing tree is fitted on
-SHARD = 8192       # aimed entries of a shard
+SHARD = 65536      # aimed entries of a shard
+LOCAL = 2048       # entries of a set compared without a further cut
 SLICE = 1 << 16    # shingles counted at once
 FANOUT_ROWS = 64   # rows of a block compared at once
 
@@ -94,11 +95,8 @@ def fit_tree(sample: np.ndarray, leaf: int, radius: int, seed: int = 7) -> dict:
             probe = pts[rng.choice(len(pts), min(1024, len(pts)), replace=False)]
             v = max(picks, key=lambda p: np.bitwise_count(probe ^ p).std())
             d = np.bitwise_count(pts ^ v).astype(np.int64)
-            below = np.cumsum(np.bincount(d, minlength=65))
-            inward = np.append(below, [len(pts)] * radius)[radius:radius + 65]
-            worst = np.maximum(inward, len(pts) - below)
-            mu = int(np.argmin(worst))
-            if worst[mu] <= 0.95 * len(pts):
+            mu, worst = _balanced(d, radius)
+            if worst <= 0.95 * len(pts):
                 at = len(nodes)
                 nodes.append([int(v), mu, 0, 0])
                 nodes[at][2] = grow(pts[d <= mu + radius])
@@ -135,35 +133,58 @@ def route(fps: np.ndarray, tree: dict) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- one tile
 
-def forest(fps: np.ndarray, ids: np.ndarray, radius: int, block: np.ndarray | None = None) -> list[tuple[int, int]]:
+def _balanced(d: np.ndarray, radius: int) -> tuple[int, int]:
+    """(mu, size of the larger side) of the most even cut of distances ``d``,
+    the overlap counted in."""
+    below = np.cumsum(np.bincount(d, minlength=65))
+    inward = np.append(below, [len(d)] * radius)[radius:radius + 65]
+    worst = np.maximum(inward, len(d) - below)
+    mu = int(np.argmin(worst))
+    return mu, int(worst[mu])
+
+
+def forest(fps: np.ndarray, ids: np.ndarray, radius: int, block: np.ndarray | None = None,
+           local: int = LOCAL) -> list[tuple[int, int]]:
     """Spanning stars (id, smallest id of its group) over all pairs within
-    ``radius``; with ``block`` (0/1 marks) only pairs across the two blocks."""
-    n = len(fps)
-    if n < 2:
-        return []
-    d = np.bitwise_count(fps ^ fps[0]).astype(np.int64)
-    order = np.argsort(d, kind="stable")
-    fps, ids, d = fps[order], ids[order], d[order]
-    block = None if block is None else block[order]
-    lab = np.arange(n)
-    for lo in range(0, n, FANOUT_ROWS):
-        hi = min(n, lo + FANOUT_ROWS)
-        end = int(np.searchsorted(d, d[hi - 1] + radius, side="right"))  # beyond it the triangle bound exceeds radius
-        near = np.bitwise_count(fps[lo:hi, None] ^ fps[None, lo:end]) <= radius
-        i, j = np.nonzero(near)
-        keep = i < j
-        i, j = i[keep] + lo, j[keep] + lo
+    ``radius``; with ``block`` (0/1 marks) only pairs across the two blocks.
+    The members are cut further by vantage points of their own, in memory, as
+    long as that makes smaller sets; a set is then compared in the order of its
+    distances, each block of rows against the band it can reach."""
+    lab = np.arange(len(fps))
+
+    def join(i: np.ndarray, j: np.ndarray) -> None:
         if block is not None:
-            keep = block[i] != block[j]
-            i, j = i[keep], j[keep]
+            cross = block[i] != block[j]
+            i, j = i[cross], j[cross]
         while len(i):
             a, b = lab[i], lab[j]
             live = a != b
             i, j, a, b = i[live], j[live], a[live], b[live]
-            if not len(i):
-                break
-            lab[lab == max(a[0], b[0])] = min(a[0], b[0])
-    low = np.full(n, np.iinfo(np.int64).max)
+            if len(i):
+                lab[lab == max(a[0], b[0])] = min(a[0], b[0])
+
+    todo = [np.arange(len(fps))] if len(fps) > 1 else []
+    while todo:
+        rows = todo.pop()
+        picks = fps[rows[:: max(1, len(rows) // 4)][:4]]
+        probe = fps[rows[:: max(1, len(rows) // 256)]]
+        v = max(picks, key=lambda p: np.bitwise_count(probe ^ p).std())
+        d = np.bitwise_count(fps[rows] ^ v).astype(np.int64)
+        if len(rows) > local:
+            mu, worst = _balanced(d, radius)
+            if worst <= 0.8 * len(rows):
+                todo += [r for r in (rows[d <= mu + radius], rows[d > mu]) if len(r) > 1]
+                continue
+        order = np.argsort(d, kind="stable")
+        rows, d = rows[order], d[order]
+        f = fps[rows]
+        for lo in range(0, len(rows), FANOUT_ROWS):
+            hi = min(len(rows), lo + FANOUT_ROWS)
+            end = int(np.searchsorted(d, d[hi - 1] + radius, side="right"))  # beyond it the triangle bound exceeds radius
+            i, j = np.nonzero(np.bitwise_count(f[lo:hi, None] ^ f[None, lo:end]) <= radius)
+            keep = i < j
+            join(rows[i[keep] + lo], rows[j[keep] + lo])
+    low = np.full(len(fps), np.iinfo(np.int64).max)
     np.minimum.at(low, lab, ids)
     root = low[lab]
     moved = root != ids
@@ -195,7 +216,7 @@ def links(distinct: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column("fp").take(pa.array(i)), b.column("rep").take(pa.array(i)),
                                               pa.array(s, pa.int32())], names=["fp", "rep", "shard"])
 
-    entries = known.select("fp", "rep").mapInArrow(home, "fp bigint, rep bigint, shard int")
+    entries = materialize(known.select("fp", "rep").mapInArrow(home, "fp bigint, rep bigint, shard int"), "simhash-shards")
     cap = 2 * shard
     big = {r["shard"]: -(-r["n"] // cap) for r in
            entries.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap).collect()}
