@@ -22,6 +22,7 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -84,19 +85,26 @@ def minima(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=64)
+def picks(bins: int, block: int, attempts: int = 64) -> np.ndarray:
+    """(attempts, bins): the bin each bin asks at each attempt of a block."""
+    attempt = np.arange(block * attempts, (block + 1) * attempts, dtype=np.uint64)[:, None]
+    return (mix(np.arange(bins, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15) + attempt + np.uint64(1))
+            % np.uint64(bins)).astype(np.int64)
+
+
 def densify(low: np.ndarray) -> np.ndarray:
     """Fill each empty bin from the first full one among its hash choices."""
-    bins = len(low)
     full = low != EMPTY
     if not full.any() or full.all():
         return low
-    out, todo, attempt = low.copy(), np.flatnonzero(~full), 0
+    out, todo, block = low.copy(), np.flatnonzero(~full), 0
     while len(todo):
-        attempt += 1
-        pick = (mix(todo.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt)) % np.uint64(bins)).astype(np.int64)
-        hit = full[pick]
-        out[todo[hit]] = low[pick[hit]]
-        todo = todo[~hit]
+        asked = picks(len(low), block)[:, todo]
+        hit = full[asked]
+        got = hit.any(axis=0)
+        out[todo[got]] = low[asked[hit.argmax(axis=0)[got], np.flatnonzero(got)]]
+        todo, block = todo[~got], block + 1
     return out
 
 
