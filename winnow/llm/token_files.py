@@ -57,15 +57,15 @@ def _flat(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read_buffer(), dtype)
 
 
-def encode(docs: DataFrame, vocab: str, end_id: int, cuts: list[int]) -> DataFrame:
-    """(bucket, doc_id, ids binary of uint32) with the end id appended."""
+def encode(docs: DataFrame, vocab: str, end_id: int, cuts: list[int], dtype: str) -> DataFrame:
+    """(bucket, doc_id, ids binary of the file's width) with the end id appended."""
     end = array("I", [end_id]).tobytes()
     edges = np.array(cuts, np.int64)
 
     def run(batches):
         enc = encoder(vocab)
         for b in batches:
-            ids = [enc.encode(t or "") + end for t in b.column("text").to_pylist()]
+            ids = [np.frombuffer(enc.encode(t or "") + end, "<u4").astype(dtype).tobytes() for t in b.column("text").to_pylist()]
             at = np.searchsorted(edges, b.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), b.column("doc_id"), pa.array(ids, pa.binary())],
                                              names=["bucket", "doc_id", "ids"])
@@ -94,8 +94,8 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int, width
                 out = store.open_output_stream(f"{final}.bin.{tag}")
                 rows, offsets, ids, nulls = 0, array("Q", [0]), array("q"), 0
             for d, raw in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
-                out.write(np.frombuffer(raw, "<u4").astype(dtype).tobytes())
-                offsets.append(offsets[-1] + len(raw) // 4)
+                out.write(raw)
+                offsets.append(offsets[-1] + len(raw) // width)
                 ids.append(0 if d is None else d)
                 nulls += d is None
                 rows += 1
@@ -110,7 +110,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int, width
         yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "n_docs": [rows], "n_null": [nulls],
                                           "n_tokens": [offsets[-1]]})
 
-    done = (encode(docs, vocab, end_id, cuts)
+    done = (encode(docs, vocab, end_id, cuts, dtype)
             .repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("doc_id", "ids")
             .mapInArrow(run, "bucket int, n_docs bigint, n_null bigint, n_tokens bigint"))
     rows = materialize(done, "token-manifest").orderBy("bucket").collect()  # one row per bucket

@@ -15,8 +15,8 @@ from array import array
 
 from winnow.llm.common import process_cache
 
-CHUNKS = 400_000   # remembered chunks of a process
-WORDS = 500_000    # remembered words of a process
+CHUNKS = 250_000   # remembered chunks of a process
+WORDS = 300_000    # remembered words of a process
 SLICE = 1 << 22    # characters split at once
 ODD_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 CUT = re.compile(r"(?<=[^ \t\r\n])(?=[ \t\r\n])")
