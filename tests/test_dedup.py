@@ -121,11 +121,11 @@ def test_identity_without_candidates(spark, flagship):
 
 
 def test_longest_representative(spark):
-    rows = [(0, "짧은 텍스트", None), (1, "이것은 더 긴 텍스트입니다", None), (2, "가장 긴 텍스트 샘플입니다 더 많은 내용이 있습니다", None)]
+    rows = [(0, "강물", None), (1, "강물이 천천히 흐른다", None), (2, "강물이 천천히 흐르고 새가 물 위를 낮게 난다", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, tokens array<string>")
     members = spark.createDataFrame([(0, 0), (0, 1), (0, 2)], "cluster_id long, doc_id long")
     assert dd.representatives(members, docs).first().rep_id == 2
-    rows = [(0, "short", ["short"]), (1, "longer text", ["a", "b", "c", "d", "e"])]
+    rows = [(0, "a very long line of text", ["x"]), (1, "tiny", ["p", "q", "r"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, tokens array<string>")
     members = spark.createDataFrame([(0, 0), (0, 1)], "cluster_id long, doc_id long")
     assert dd.representatives(members, docs).first().rep_id == 1
@@ -142,7 +142,7 @@ def test_newest_representative_falls_back_to_longest(spark):
 
 
 def test_exact_copies_collapse(spark):
-    rows = [(0, "안녕하세요 반갑습니다"), (1, "안녕하세요 반갑습니다"), (2, "완전히 다른 텍스트입니다"), (3, "안녕하세요 반갑습니다 추가 내용")]
+    rows = [(0, "구름이 산을 넘어간다"), (1, "구름이 산을 넘어간다"), (2, "시장에서 사과를 샀다"), (3, "구름이 산을 넘어간다 그리고 사라진다")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     res = dd.deduplicate(dd.normalize_docs(docs))
     kept = sorted(r.doc_id for r in res.kept.collect())

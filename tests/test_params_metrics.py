@@ -18,27 +18,30 @@ def as_dict(df):
 
 
 def test_vector_diff(spark):
-    d = pa.vector_diff(vecs(spark, {"w1": 1.0, "w2": 2.0}), vecs(spark, {"w1": 1.5, "w2": 3.0, "extra": 9}))
-    assert as_dict(d) == {"w1": 0.5, "w2": 1.0}
+    d = pa.vector_diff(vecs(spark, {"in": -4.0, "out": 7.25}), vecs(spark, {"in": -1.0, "out": 7.0, "other": 5}))
+    assert as_dict(d) == {"in": 3.0, "out": -0.25}
 
 
 def test_vector_diff_missing_name_raises(spark):
     with pytest.raises(Exception):
-        pa.vector_diff(vecs(spark, {"w1": 1.0, "w2": 2.0}), vecs(spark, {"w1": 1.5})).collect()
+        pa.vector_diff(vecs(spark, {"in": -4.0, "out": 7.25}), vecs(spark, {"out": 3.0})).collect()
+    two = vecs(spark, {"in": 1.0, "out": 2.0}).withColumn("model", F.lit("a")).unionByName(vecs(spark, {"in": 1.0}).withColumn("model", F.lit("b")))
+    with pytest.raises(Exception):
+        pa.vector_diff(vecs(spark, {"in": -4.0, "out": 7.25}), two).collect()
 
 
 def test_merge(spark):
-    base = vecs(spark, {"w1": 1.0, "w2": 2.0})
-    d1 = vecs(spark, {"w1": 0.2, "w2": -0.5}).withColumn("model", F.lit("a"))
-    d2 = vecs(spark, {"w1": -0.1, "w2": 0.3}).withColumn("model", F.lit("b"))
-    w = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "model string, weight double")
-    assert as_dict(pa.merge_weighted(base, d1.unionByName(d2), w)) == {"w1": 1.1, "w2": 1.8}
+    base = vecs(spark, {"in": 10.0, "out": -3.0})
+    d1 = vecs(spark, {"in": 4.0, "out": 6.0}).withColumn("model", F.lit("a"))
+    d2 = vecs(spark, {"in": -8.0}).withColumn("model", F.lit("b"))
+    w = spark.createDataFrame([("a", 0.5), ("b", 0.25)], "model string, weight double")
+    assert as_dict(pa.merge_weighted(base, d1.unionByName(d2), w)) == {"in": 10.0, "out": 0.0}
 
 
 def test_diff_stats(spark):
-    d = pa.vector_diff(vecs(spark, {"p": 0.0}), vecs(spark, {"p": 1.0}))
+    d = pa.vector_diff(vecs(spark, {"p": 2.0, "q": 0.0}), vecs(spark, {"p": 5.0, "q": -4.0}))
     r = pa.diff_stats(d).first()
-    assert (r.norm, r.max, r.min) == (1.0, 1.0, 1.0)
+    assert (r.norm, r.max, r.min) == (5.0, 3.0, -4.0)
 
 
 def pairs(spark, rows):
@@ -46,8 +49,8 @@ def pairs(spark, rows):
 
 
 def test_identical_pairs_score(spark):
-    p = pairs(spark, [("The cat sat on the mat today.", "The cat sat on the mat today."),
-                      ("A quick brown fox jumps over the lazy dog.", "A quick brown fox jumps over the lazy dog.")])
+    p = pairs(spark, [("Rain fell on seven tin roofs all night.", "Rain fell on seven tin roofs all night."),
+                      ("No gardener plants onions under an old walnut tree.", "No gardener plants onions under an old walnut tree.")])
     assert me.bleu_corpus(p).first().bleu == pytest.approx(100.0)
     assert me.rouge_l(p).first().rougeL == pytest.approx(1.0)
     r = me.rouge_n(p).first()
@@ -55,8 +58,8 @@ def test_identical_pairs_score(spark):
 
 
 def test_bleu_tokenizer(spark):
-    df = spark.createDataFrame([("Hello, world. It costs 3.50 (USD)-ish!",)], "t string")
-    assert df.select(me.bleu_tokenize(F.col("t")).alias("x")).first().x == "Hello , world . It costs 3.50 ( USD ) -ish !"
+    df = spark.createDataFrame([("Well, sailors. Paid 12.75 [net]-like?",)], "t string")
+    assert df.select(me.bleu_tokenize(F.col("t")).alias("x")).first().x == "Well , sailors . Paid 12.75 [ net ] -like ?"
 
 
 def test_lcs_matches_dynamic_programming():
@@ -74,8 +77,8 @@ def test_lcs_matches_dynamic_programming():
 def test_reference_fallback(spark):
     p = spark.createDataFrame([(0, None, "base")], "pair_id long, reference string, base_output string")
     assert me.reference_fallback(p).first().reference_used == "base"
-    p = spark.createDataFrame([(0, "Hello", "base"), (1, None, "b2")], "pair_id long, reference string, base_output string")
-    assert [r.reference_used for r in me.reference_fallback(p).orderBy("pair_id").collect()] == ["Hello", None]
+    p = spark.createDataFrame([(0, "Ahoy", "base"), (1, None, "b2")], "pair_id long, reference string, base_output string")
+    assert [r.reference_used for r in me.reference_fallback(p).orderBy("pair_id").collect()] == ["Ahoy", None]
 
 
 def test_chunked_merge_equals_whole(spark):
@@ -89,3 +92,10 @@ def test_chunked_merge_equals_whole(spark):
     parts = pa.merge_weighted(pa.chunk_vectors(base, 3), pa.chunk_vectors(d, 3), w).orderBy("chunk").collect()
     assert [c.chunk for c in parts] == [0, 1, 2, 3]
     assert sum((p.vec for p in parts), []) == pytest.approx(whole)
+
+
+def test_group_without_one_side_is_kept(spark):
+    rows = [(1, 0, [1.0, 0.0]), (1, 1, [1.0, 0.0]), (2, 0, [0.0, 1.0])]
+    v = spark.createDataFrame(rows, "g long, side int, embedding array<double>")
+    got = {r.g: (r.precision, r.recall, r.f1) for r in me.greedy_match_f1(v, "g", "side").collect()}
+    assert got == {1: (1.0, 1.0, 1.0), 2: (0.0, 0.0, 0.0)}

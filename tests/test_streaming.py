@@ -14,12 +14,15 @@ def test_stream_ingest_restart(spark, tmpdir_session):
         with open(os.path.join(src, f"part-{k:05d}.jsonl"), "w", encoding="utf-8") as f:
             for i in range(4):
                 d = k * 4 + i
-                f.write(json.dumps({"doc_id": d, "text": f"문서 {d}", "source": "s", "lang": "ko", "domain": "web"},
+                f.write(json.dumps({"doc_id": d, "text": f"문서 {d}", "source": "s", "lang": "ko", "domain": "web",
+                                    "tokens": ["t"], "extra": {"n": d}},
                                    ensure_ascii=False) + "\n")
             f.write("{bad\n\n")
     out = os.path.join(tmpdir_session, "stream_out")
     first = ingest.stream_jsonl_to_parquet(spark, src, out, max_files_per_trigger=1)
     assert sorted(r.doc_id for r in first.collect()) == list(range(12))
+    assert all(json.loads(r.rest) == {"extra": {"n": r.doc_id}} and r.tokens == ["t"] for r in first.collect())
+    assert [r.value for r in ingest.quarantined(spark, out).collect()] == ["{bad"] * 3
     again = ingest.stream_jsonl_to_parquet(spark, src, out, max_files_per_trigger=1)
     assert again.count() == 12
     with open(os.path.join(src, "part-00003.jsonl"), "w", encoding="utf-8") as f:

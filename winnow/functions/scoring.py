@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, VariantType
 
 from winnow.functions import text as tx
 
@@ -24,7 +24,8 @@ DEFAULT_SOURCE_SCORE = 0.1
 # Metadata fields whose presence adds to the score.
 METADATA_FIELDS = ["source", "domain", "lang", "tokens"]
 # Accepted timestamp layouts (strings), tried in this order.
-TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd"]
+# One-letter fields take padded and unpadded numbers.
+TIMESTAMP_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d"]
 HANGUL_SCORE_CLASS = "[가-힯]"
 
 
@@ -88,6 +89,16 @@ def parse_timestamp(c: Column, numeric: bool = False) -> Column:
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS]).cast("timestamp_ntz")
 
 
+def parse_timestamp_variant(v: Column) -> Column:
+    """A parsed JSON value: numbers are epoch seconds, strings are read by
+    layout, anything else is null."""
+    number = F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(number, parse_timestamp(F.try_variant_get(v, "$", "double"), numeric=True)) \
+            .otherwise(parse_timestamp(F.try_variant_get(v, "$", "string")))
+
+
 def parse_timestamp_col(df, name: str) -> Column:
     t = df.schema[name].dataType
+    if isinstance(t, VariantType):
+        return parse_timestamp_variant(F.col(name))
     return parse_timestamp(F.col(name), numeric=isinstance(t, NumericType))

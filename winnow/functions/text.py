@@ -1,7 +1,7 @@
 """Text column functions: normalization, script tests, n-gram shingles.
 
 All of these are Spark column expressions except two Arrow helpers with no
-Spark SQL built-in: NFKC (rows already normal pass through) and Hangul
+Spark SQL built-in: preprocessing (NFKC and white space) and Hangul
 syllable decomposition (numpy over the batch's code points; batches without
 Hangul pass through untouched).
 """
@@ -30,25 +30,23 @@ KOREAN_CLASS = "[가-힯ᄀ-ᇿ㄰-㆏]"
 HANGUL_SYLLABLE_CLASS = "[가-힣]"
 HANGUL_FIRST = 0xAC00
 N_LEAD, N_VOWEL, N_TAIL = 19, 21, 28
-LEADS = "".join(chr(0x1100 + i) for i in range(N_LEAD))
-VOWELS = "".join(chr(0x1161 + i) for i in range(N_VOWEL))
-TAILS = "".join(chr(0x11A8 + i) for i in range(N_TAIL - 1))
-
-
-@F.arrow_udf(StringType())
-def _nfkc(texts: pa.Array) -> pa.Array:
-    # pyarrow's utf8_normalize returns decomposed text for NFKC in the baked-in
-    # version, so use the standard library; already-normal rows are passed
-    # through after the C-level quick check.
-    out = [s if s is None or s.isascii() or unicodedata.is_normalized("NFKC", s)
-           else unicodedata.normalize("NFKC", s) for s in texts.to_pylist()]
+
+
+def _preprocess_batch(texts: pa.Array) -> pa.Array:
+    """NFKC and white-space collapse of one Arrow batch.  ASCII and already
+    normal rows skip the normalization."""
+    out = []
+    for s in texts.to_pylist():
+        if s is not None and not s.isascii() and not unicodedata.is_normalized("NFKC", s):
+            s = unicodedata.normalize("NFKC", s)
+        out.append(None if s is None else " ".join(s.split()))
     return pa.array(out, type=pa.string())
 
 
-def nfkc(c) -> Column:
-    """NFKC; pure-ASCII rows (already normal) never leave the JVM."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(_nfkc(F.when(col.rlike(r"[^\x00-\x7F]"), col)), col)
+# Declared nondeterministic though it is not: the optimizer then neither pushes
+# filters on its result below an exchange nor inlines it into each use, so the
+# text is processed once per row.
+_preprocess = F.arrow_udf(_preprocess_batch, StringType()).asNondeterministic()
 
 
 def _c(c) -> Column:
@@ -66,8 +64,9 @@ def strip_ws(c) -> Column:
 
 
 def preprocess(c) -> Column:
-    """NFKC, collapse whitespace, strip (shared by normalize and shingling)."""
-    return collapse_ws(nfkc(c))
+    """NFKC, collapse whitespace, strip (shared by normalize and shingling):
+    one helper call, one pass over the text."""
+    return _preprocess(_c(c))
 
 
 def contains_korean(c) -> Column:

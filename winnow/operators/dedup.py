@@ -10,8 +10,8 @@ Scale notes
   (doc, bucket) membership table: per-bucket aggregates joined back to
   members, then per-doc aggregates.  Work per round is O(memberships), even
   when one bucket holds a third of the corpus (a k-member bucket would give
-  k^2/2 pairs).  Hot buckets only meet partial aggregation (map-side
-  combine) and AQE skew-join splitting.
+  k^2/2 pairs).  Hot buckets meet partial aggregation (map-side combine)
+  and joins salted by document (``salted_join``).
 * Iterative loops (greedy seeds, connected groups) cut lineage every round
   with reliable ``checkpoint()`` into the session's checkpoint folder and stop
   on a zero count of undecided/changed documents.
@@ -107,15 +107,29 @@ def bucket_members(sigs: DataFrame, cfg: DedupConfig = DEFAULT) -> DataFrame:
                     *extra)
 
 
+SALTS = 16  # pieces a hot bucket or label is cut into
+
+
+def salted_join(rows: DataFrame, keyed: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
+    """Inner join of many ``rows`` with ``keyed``, which has one row per key: the
+    rows of a key are dealt to SALTS tasks by a hash of ``spread_by`` and the
+    key's one row is sent to each, so a hot key does not meet in one task.  (The
+    engine's own skew rule cannot split such a join: the keyed side is an
+    aggregate on the same key.)"""
+    many = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    one = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.join(one, [*keys, "_salt"]).drop("_salt")
+
+
 def linked_members(members: DataFrame) -> DataFrame:
     """Memberships of buckets that hold at least two documents, with the
     bucket's size and first (smallest) document id.  Per-bucket statistics
     come from a partially aggregated groupBy; the join back to the members is
-    the only place a hot bucket meets a shuffle join (AQE splits it)."""
+    salted, so a hot bucket is spread over tasks."""
     stats = (members.groupBy(*BUCKET)
              .agg(F.count(F.lit(1)).alias("bucket_size"), F.min("doc_id").alias("bucket_first"))
              .where(F.col("bucket_size") >= 2))
-    return members.join(stats, BUCKET, "inner")
+    return salted_join(members, stats, BUCKET, "doc_id")
 
 
 def _reliable(df: DataFrame) -> DataFrame:
@@ -159,7 +173,7 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None, materialized:
             F.min(F.when(F.col("st") != N, F.col("doc_id"))).alias("min_live"),
             F.max(F.col("st") == S).alias("has_seed"),
             F.max(F.col("st") == U).alias("open"))
-        x = _reliable(ms.join(per_bucket.where("open"), BUCKET))
+        x = _reliable(salted_join(ms, per_bucket.where("open"), BUCKET, "doc_id"))
         per_doc = (x.where(F.col("st") == U).groupBy("doc_id")
                    .agg(F.max("has_seed").alias("near_seed"),
                         F.min(F.col("min_live") == F.col("doc_id")).alias("first_everywhere")))
@@ -172,6 +186,7 @@ def greedy_seeds(linked: DataFrame, max_rounds: int | None = None, materialized:
                  .otherwise(F.lit(U)).alias("st")))
         m = x.select("doc_id", *BUCKET)  # only buckets that were still open
         rounds += 1
+    logging.getLogger(__name__).info("greedy seeds: %d rounds", rounds)
     return state.select("doc_id", (F.col("st") == S).alias("is_seed"))
 
 
@@ -208,7 +223,7 @@ def pick(members: DataFrame, score: Column, score_name: str = "_score") -> DataF
 
 
 def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longest",
-                    id_col: str = "doc_id") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(cluster_id, rep_id) by strategy: longest | newest | highest_quality.
     Unknown strategies fall back to longest."""
     from winnow.functions import scoring
@@ -217,7 +232,7 @@ def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longes
         logging.getLogger(__name__).warning("Unknown strategy %s, using 'longest'", strategy)
     cols = docs.columns
     d = docs.withColumnRenamed(id_col, "doc_id") if id_col != "doc_id" else docs
-    length = doc_length("tokens", "text", cols).alias("_len")
+    length = doc_length("tokens", text_col, cols).alias("_len")
     if strategy == "newest" and "timestamp" in cols:
         ts = scoring.parse_timestamp_col(docs, "timestamp").alias("_ts")
         feat = d.select("doc_id", length, ts)
@@ -229,7 +244,7 @@ def representatives(members: DataFrame, docs: DataFrame, strategy: str = "longes
                          F.when(has, F.lit(0)).otherwise(F.col("_len")).alias("l"))
         return pick(members.join(feat, "doc_id"), score)
     if strategy == "highest_quality":
-        feat = d.select("doc_id", scoring.quality_score(docs.dtypes).alias("_q"))
+        feat = d.select("doc_id", scoring.quality_score(docs.dtypes, text_col).alias("_q"))
         return pick(members.join(feat, "doc_id"), F.col("_q"))
     feat = d.select("doc_id", length)
     return pick(members.join(feat, "doc_id"), F.col("_len"))
@@ -274,7 +289,7 @@ def deduplicate(docs: DataFrame, cfg: DedupConfig = DEFAULT, strategy: str = "lo
         lens = linked.select("doc_id", "_len").distinct()
         reps = pick(members.join(lens, "doc_id"), F.col("_len"))
     else:
-        reps = representatives(members, docs, strategy, cfg.id_col)
+        reps = representatives(members, docs, strategy, cfg.id_col, cfg.text_col)
     rep_ids = reps.select(F.col("rep_id").alias("doc_id")).distinct()
     drop = _reliable(members.select("doc_id").distinct().join(rep_ids, "doc_id", "left_anti"))
     idc = cfg.id_col
@@ -340,13 +355,13 @@ def connected_groups(linked: DataFrame, materialized: bool = False) -> DataFrame
         ml = m.withColumn("label", F.col("doc_id")) if first else m.join(lab, "doc_id")
         first = False
         bl = ml.groupBy(*BUCKET).agg(F.min("label").alias("bl"))
-        dl = m.join(bl, BUCKET).groupBy("doc_id").agg(F.min("bl").alias("nl"))
+        dl = salted_join(m, bl, BUCKET, "doc_id").groupBy("doc_id").agg(F.min("bl").alias("nl"))
         step = lab.join(dl, "doc_id", "left").select(
             "doc_id", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("nl"), F.col("label").alias("old"))
-        # pointer jumping: adopt the label of my label
-        jump = step.alias("a").join(step.select(F.col("doc_id").alias("p"), F.col("nl").alias("pl")),
-                                     F.col("a.nl") == F.col("p"), "left") \
-            .select("doc_id", F.least(F.col("nl"), F.coalesce(F.col("pl"), F.col("nl"))).alias("label"), "old")
+        # pointer jumping: adopt the label of my label; labels are looked up once each, then sent to their holders
+        step = _reliable(step)
+        ends = (step.select("nl").distinct().join(step.select(F.col("doc_id").alias("nl"), F.col("nl").alias("pl")), "nl"))
+        jump = salted_join(step, ends, ["nl"], "doc_id").select("doc_id", F.least("nl", "pl").alias("label"), "old")
         jump = _reliable(jump)
         changed = jump.where(F.col("label") != F.col("old")).count()
         lab = jump.select("doc_id", "label")

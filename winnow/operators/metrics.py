@@ -210,6 +210,7 @@ def greedy_match_f1(vectors: DataFrame, group_col: str, side_col: str) -> DataFr
         return F.aggregate(best, F.lit(0.0), lambda s, v: s + v) / F.size(xs)
 
     p, r = best_mean(F.col("c"), F.col("r")), best_mean(F.col("r"), F.col("c"))
-    out = g.where((F.size("c") > 0) & (F.size("r") > 0)).select(group_col, p.alias("p"), r.alias("r"))
+    both = (F.size("c") > 0) & (F.size("r") > 0)  # a group without one side matches nothing: all zero
+    out = g.select(group_col, F.when(both, p).otherwise(0.0).alias("p"), F.when(both, r).otherwise(0.0).alias("r"))
     f1 = F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
     return out.select(group_col, F.round("p", 6).alias("precision"), F.round("r", 6).alias("recall"), F.round(f1, 6).alias("f1"))

@@ -29,14 +29,20 @@ def chunk_vectors(df: DataFrame, size: int = 4096) -> DataFrame:
 
 
 def vector_diff(base: DataFrame, tuned: DataFrame) -> DataFrame:
-    """(name, chunk, vec = tuned - base) for every base parameter; a base
-    parameter missing from the tuned set raises; extra tuned names are ignored."""
+    """([model,] name, chunk, vec = tuned - base) for every base parameter of
+    every tuned model, all models in one join.  A base parameter that a model
+    lacks raises; extra tuned names are ignored."""
+    by = [c for c in ("model",) if c in tuned.columns]
     b = _keyed(base).select(*KEY, F.col("vec").alias("b"))
-    t = _keyed(tuned).select(*KEY, F.col("vec").alias("t"))
-    j = b.join(t, KEY, "left")
+    t = _keyed(tuned).select(*by, *KEY, F.col("vec").alias("t"))
+    want = b
+    if by:  # names of the models: one short row each, bounded by the number of models
+        models = [r["model"] for r in tuned.select("model").distinct().collect()]
+        want = b.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models]).cast("array<string>")))
+    j = want.join(t, [*by, *KEY], "left")
     delta = F.when(F.col("t").isNull(), F.raise_error(F.concat(F.lit("parameter missing in tuned model: "), F.col("name")))) \
              .otherwise(F.zip_with("t", "b", lambda x, y: x - y))
-    return j.select(*KEY, delta.cast("array<double>").alias("vec"))
+    return j.select(*by, *KEY, delta.cast("array<double>").alias("vec"))
 
 
 def diff_stats(deltas: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -76,12 +82,13 @@ def merge_weighted(base: DataFrame, deltas: DataFrame, weights: DataFrame) -> Da
 
 def diff_outliers(deltas: DataFrame, by: list[str]) -> DataFrame:
     """Unit-norm delta per group: mean, population variance and the share of
-    values more than 3 standard deviations from the mean."""
+    values more than 3 standard deviations from the mean.  Scaling changes no
+    outlier, so one pass takes the raw moments (the norm among them) and one
+    counts the tail."""
     e = deltas.select(*by, F.explode("vec").alias("x"))
-    norm = e.groupBy(*by).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_norm"))
-    z = e.join(F.broadcast(norm), by).select(*by, (F.col("x") / F.col("_norm")).alias("z"))
-    mom = z.groupBy(*by).agg(F.avg("z").alias("mean"), F.var_pop("z").alias("variance"))
-    tail = z.join(F.broadcast(mom), by).groupBy(*by).agg(
-        F.avg((F.abs(F.col("z") - F.col("mean")) > 3 * F.sqrt(F.col("variance"))).cast("double")).alias("outlier_share"))
-    return mom.join(tail, by).select(*by, F.round("mean", 9).alias("mean"), F.round("variance", 9).alias("variance"),
-                                     F.round("outlier_share", 6).alias("outlier_share"))
+    mom = e.groupBy(*by).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("_norm"), F.avg("x").alias("_mean"),
+                             F.var_pop("x").alias("_var"))
+    far = F.abs(F.col("x") - F.col("_mean")) > 3 * F.sqrt(F.col("_var"))  # one moments row per group
+    return e.join(mom, by).groupBy(*by, "_norm", "_mean", "_var").agg(F.avg(far.cast("double")).alias("share")).select(
+        *by, F.round(F.col("_mean") / F.col("_norm"), 9).alias("mean"),
+        F.round(F.col("_var") / (F.col("_norm") * F.col("_norm")), 9).alias("variance"), F.round("share", 6).alias("outlier_share"))

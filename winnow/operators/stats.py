@@ -34,7 +34,7 @@ def field_stats(df: DataFrame, approx: bool = False) -> DataFrame:
     ``stack`` and grouped by field."""
     fields = df.dtypes
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("field"), F.when(_covered(n, t), _as_text(n, t)).alias("v")) for n, t in fields])).alias("s"))
+        F.struct(F.lit(n).alias("field"), F.when(_covered(n, t), F.unhex(F.md5(_as_text(n, t)))).alias("v")) for n, t in fields])).alias("s"))
     distinct = F.approx_count_distinct("s.v") if approx else F.count_distinct("s.v")
     per = long.groupBy(F.col("s.field").alias("field")).agg(
         F.count(F.lit(1)).alias("_rows"), F.count("s.v").alias("_cov"), distinct.alias("unique_values"))

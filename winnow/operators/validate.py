@@ -33,9 +33,9 @@ def field(name: str, typ: str = "string") -> Column:
 
 
 def has_key(name: str) -> Column:
-    """key present (even with a null value) in the parsed object."""
-    keys = F.json_object_keys(F.to_json(F.col("_v")))
-    return F.coalesce(F.array_contains(keys, F.lit(name)), F.lit(False))
+    """key present (even with a null value) in the parsed object: an absent key
+    is SQL NULL, a JSON null is a variant null."""
+    return F.try_variant_get(F.col("_v"), f"$.{name}", "variant").isNotNull()
 
 
 def _is_empty(name: str) -> Column:
@@ -69,50 +69,65 @@ def schema_missing(required=REQUIRED_FIELDS) -> Column:
     return F.array_join(F.array_compact(F.array(*items)), ",")
 
 
+SAMPLES = 5         # sample documents of a report
+LISTED_ERRORS = 100  # line numbers a report lists; ``jsonl_errors`` has all
+LISTED_NAMES = 1000  # field names a report lists
+
+
+def jsonl_errors(lines: DataFrame, value_col: str = "value", order_col: str = "line_no") -> DataFrame:
+    """(line number, value, error) of every line that is not JSON."""
+    p = parse(lines, value_col)
+    return p.where(F.col("_v").isNull() & ~F.col("_blank")).select(
+        order_col, value_col, F.lit("JSON parsing failed").alias("error"))
+
+
+def jsonl_samples(lines: DataFrame, n: int = SAMPLES, value_col: str = "value", order_col: str = "line_no") -> DataFrame:
+    """The first ``n`` parseable lines (line number, value)."""
+    p = parse(lines, value_col)
+    return p.where(F.col("_v").isNotNull() & ~F.col("_blank")).orderBy(order_col).limit(n).select(order_col, value_col)
+
+
 def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str = "value",
                  order_col: str = "line_no") -> DataFrame:
     """One-row format report over the first ``max_lines`` lines of the
-    whitespace-stripped content (all lines with ``max_lines=None``)."""
-    p = parse(lines, value_col)
-    bounds = p.where(~F.col("_blank")).select(F.struct(F.min(order_col).alias("a"), F.max(order_col).alias("b"))).scalar()
-    first, last = bounds["a"], bounds["b"]
-    total = F.coalesce(last - first + 1, F.lit(1))
-    checked = total if max_lines is None else F.least(F.lit(max_lines), total)
-    start = F.coalesce(first, F.lit(0))
-    win = p.where((F.col(order_col) >= start) & (F.col(order_col) < start + checked))
-    if max_lines is not None:
-        # the sample window is at most max_lines rows: materialise it once so
-        # the three aggregates below do not each re-read the whole input
-        from winnow.session import checkpoint_dir
+    whitespace-stripped content (all lines with ``max_lines=None``).  Error and
+    sample lists are the window's first LISTED_ERRORS and SAMPLES lines."""
+    from winnow.session import checkpoint_dir
+    blank = tx.strip_ws(F.col(value_col)) == ""
+    # one pass over the lines, without parsing them, bounds the content
+    ends = lines.where(~blank).agg(F.min(order_col).alias("a"), F.max(order_col).alias("b")).first()
+    first, last = ends["a"], ends["b"]
+    total = last - first + 1 if last is not None else 1
+    checked = total if max_lines is None else min(max_lines, total)
+    start = first or 0
+    win = parse(lines.where((F.col(order_col) >= start) & (F.col(order_col) < start + checked)), value_col)
+    if max_lines is not None:  # at most max_lines rows, read by the aggregates below
         checkpoint_dir(lines.sparkSession)
         win = win.checkpoint(eager=True)
     valid = F.col("_v").isNotNull() & ~F.col("_blank")
+    bad = F.col("_v").isNull() & ~F.col("_blank")
+    rel = (F.col(order_col) - start + 1).alias("_rel")
     keys = F.when(valid & F.col("_obj"), F.json_object_keys(F.to_json(F.col("_v"))))
     text = F.when(valid & F.col("_obj"), F.try_variant_get(F.col("_v"), "$.text", "string"))
     agg = win.agg(
-        F.count_if(valid).alias("valid_lines"),
-        F.count_if(~valid & ~F.col("_blank")).alias("invalid_lines"),
+        F.count_if(valid).alias("valid_lines"), F.count_if(bad).alias("invalid_lines"),
         F.count_if(F.col("_blank")).alias("empty_lines"),
         F.coalesce(F.max(tx.contains_korean(F.coalesce(text, F.lit("")))), F.lit(False)).alias("is_korean_content"))
-    # field names: distinct first, so only the (small) set of names is gathered
-    names = (win.select(F.explode(keys).alias("k")).distinct()
-             .agg(F.array_join(F.array_sort(F.collect_list("k")), ",")).scalar())
-    agg = agg.withColumn("schema_fields", F.coalesce(names, F.lit("")))
-    if max_lines is not None:
-        # line lists only over the bounded sample window (<= max_lines rows)
-        w2 = win.select((F.col(order_col) - start + 1).alias("_rel"), (~valid & ~F.col("_blank")).alias("_bad"),
-                        valid.alias("_ok"))
-        lists = w2.agg(
-            F.array_join(F.sort_array(F.collect_list(F.when(F.col("_bad"), F.col("_rel")))), ",").alias("error_lines"),
-            F.array_join(F.slice(F.sort_array(F.collect_list(F.when(F.col("_ok"), F.col("_rel")))), 1, 5), ",").alias("sample_lines"))
-        errors, samples = lists.select("error_lines").scalar(), lists.select("sample_lines").scalar()
-    else:
-        errors = samples = F.lit(None).cast("string")
-    rate = F.col("invalid_lines") / F.greatest(checked, F.lit(1))
-    return agg.select(total.cast("bigint").alias("total_lines"), checked.cast("bigint").alias("checked_lines"),
+
+    def listed(df: DataFrame, col: str, n: int):
+        """The first n values in order, joined: a bounded top-n, then one row."""
+        top = df.orderBy(col).limit(n)
+        return F.coalesce(top.agg(F.array_join(F.sort_array(F.collect_list(col)), ",")).scalar(), F.lit(""))
+
+    # names of at most LISTED_NAMES keys: documents may use ids as keys
+    names = listed(win.select(F.explode(keys).alias("k")).distinct(), "k", LISTED_NAMES)
+    rate = F.col("invalid_lines") / max(checked, 1)
+    return agg.select(F.lit(total).cast("bigint").alias("total_lines"), F.lit(checked).cast("bigint").alias("checked_lines"),
                       "valid_lines", "invalid_lines", "empty_lines",
                       F.round(rate, 6).alias("invalid_rate"), (rate < 0.01).alias("is_valid"),
-                      "schema_fields", "is_korean_content", errors.alias("error_lines"), samples.alias("sample_lines"))
+                      names.alias("schema_fields"), "is_korean_content",
+                      listed(win.where(bad).select(rel), "_rel", LISTED_ERRORS).alias("error_lines"),
+                      listed(win.where(valid).select(rel), "_rel", SAMPLES).alias("sample_lines"))
 
 
 def clean_to_schema(parsed: DataFrame, schema=DOC_SCHEMA) -> DataFrame:

@@ -19,17 +19,37 @@ from winnow.functions import text as tx
 from winnow.operators import dedup as dd
 from winnow.operators import validate as va
 from winnow.sources import io
-from winnow.sources.lines import read_lines
+from winnow.sources.lines import read_lines, write_lines
 
-# Default declared document fields (name, type) carried to the outputs.
-DOC_FIELDS = [("text", "string"), ("tokens", "list[string]"), ("source", "string"), ("lang", "string"),
-              ("domain", "categorical"), ("timestamp", "string")]
+# Declared document fields (name, type) that the operators look at; all other
+# keys ride along in ``rest``.  A time may be a string or a number.
+DOC_FIELDS = [("text", "string"), ("tokens", "array<string>"), ("source", "string"), ("lang", "string"),
+              ("domain", "string"), ("timestamp", "variant")]
 
 
-def _typed(parsed: DataFrame, fields) -> DataFrame:
-    schema = io.schema_from_config(fields)
-    cols = [F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
-    return parsed.select(F.col("line_no").alias("doc_id"), *cols)
+def _typed(parsed: DataFrame, fields=DOC_FIELDS) -> DataFrame:
+    """(doc_id, declared fields, rest): ``rest`` is the whole object but its
+    text, string values stripped, everything else as it was."""
+    cols = [F.try_variant_get("_v", f"$.{n}", t).alias(n) for n, t in fields]
+    whole = F.try_variant_get("_v", "$", "map<string,variant>")
+
+    def cleaned(_, v):
+        string = F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
+        return F.when(string, tx.strip_ws(F.try_variant_get(v, "$", "string")).cast("variant")).otherwise(v)
+
+    rest = F.transform_values(F.map_filter(whole, lambda k, _: k != "text"), cleaned)
+    return parsed.select(F.col("line_no").alias("doc_id"), *cols, rest.alias("rest"))
+
+
+def document_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, value): the whole document as a JSON line, with its cleaned text
+    and, unless it has a doc_id of its own, its line number."""
+    own = F.map_from_arrays(F.array(F.lit("text")), F.array(F.col("text").cast("variant")))
+    line = F.map_from_arrays(F.array(F.lit("doc_id")), F.array(F.col("doc_id").cast("variant")))
+    bare = F.map_concat(own, "rest")
+    value = F.when(F.map_contains_key("rest", "doc_id"), F.to_json(bare, {"ignoreNullFields": "false"})) \
+             .otherwise(F.to_json(F.map_concat(line, own, "rest"), {"ignoreNullFields": "false"}))
+    return docs.select("doc_id", value.alias("value"))
 
 
 def dedup_job(spark: SparkSession, inputs, out_dir: str, required=("text",), fields=DOC_FIELDS,
@@ -39,20 +59,24 @@ def dedup_job(spark: SparkSession, inputs, out_dir: str, required=("text",), fie
     and an appended run-log row.  Returns the stats (one small row)."""
     t0 = time.time()
     out = out_dir.rstrip("/")
+    inputs = [inputs] if isinstance(inputs, str) else list(inputs)
+    for path in inputs:  # every input is checked, not the first lines of their concatenation
+        report = va.jsonl_report(read_lines(spark, path), sample_lines).first()
+        if not report.is_valid:
+            raise ValueError(f"{path} failed the format check: {report.asDict()}")
     lines = read_lines(spark, inputs)
-    report = va.jsonl_report(lines, sample_lines).first()
-    if not report.is_valid:
-        raise ValueError(f"input failed the format check: {report.asDict()}")
     parsed = va.parse(lines).where(~F.col("_blank") & F.col("_v").isNotNull())
     ok, _ = va.row_validity(list(required))
     docs = dd.normalize_docs(_typed(parsed.where(ok), fields))
     docs = dd._reliable(docs)  # read by the cleaned copy, the index and the outputs
 
-    io.write_jsonl(docs, f"{out}/dedup_ready", "doc_id")
-    io.to_jsonl(docs.orderBy("doc_id").limit(5)).coalesce(1).write.mode("overwrite").text(f"{out}/sample_preview")
+    write_lines(document_lines(docs), f"{out}/dedup_ready", "doc_id")
+    document_lines(docs.orderBy("doc_id").limit(5)).select("value").coalesce(1).write.mode("overwrite").text(f"{out}/sample_preview")
 
     res = dd.deduplicate(docs, cfg, strategy)
-    io.write_jsonl(res.kept, f"{out}/kept", "doc_id")
+    write_lines(document_lines(res.kept), f"{out}/kept", "doc_id")
+    if spark.read.text(f"{out}/kept").limit(1).count() == 0:
+        raise RuntimeError(f"no document was kept in {out}/kept")  # output gate
     pairs = res.members.where(F.col("doc_id") != F.col("cluster_id")).select(
         F.col("cluster_id").alias("seed"), F.col("doc_id").alias("cand"))
     pairs.write.mode("overwrite").json(f"{out}/candidates")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.functions import minhash as mh
-from winnow.functions import scoring
 from winnow.functions import text as tx
 from winnow.operators import dedup as dd
 from winnow.plans import fixtures as fx
@@ -145,18 +144,18 @@ def jamo_ngrams(spark, sf):
 # ------------------------------------------------------------------ similarity on candidate pairs
 
 def _pair_jaccard(spark, sf) -> DataFrame:
-    """Exact Jaccard of every (seed, cand) pair by joining exploded shingle
-    sets on (doc, shingle): no cross join, work ~ sum of pair shingle counts."""
+    """Exact Jaccard of every (seed, cand) pair.  Only documents in pairs are
+    shingled, once each, as hashed sets; the sets join the pairs by id and are
+    intersected per pair."""
     pairs = candidate_pairs(spark, sf)
-    sh = shingle_table(spark, sf).select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    sizes = sh.select("doc_id", "n").distinct()
-    a = pairs.join(sh.select(F.col("doc_id").alias("seed"), "s"), "seed")
-    inter = a.join(sh.select(F.col("doc_id").alias("cand"), "s"), ["cand", "s"]).groupBy("seed", "cand").agg(F.count(F.lit(1)).alias("i"))
-    j = (pairs.join(inter, ["seed", "cand"], "left")
-         .join(sizes.select(F.col("doc_id").alias("seed"), F.col("n").alias("na")), "seed")
-         .join(sizes.select(F.col("doc_id").alias("cand"), F.col("n").alias("nb")), "cand"))
-    i = F.coalesce(F.col("i"), F.lit(0))
-    u = F.col("na") + F.col("nb") - i
+    wanted = pairs.select(F.explode(F.array("seed", "cand")).alias("doc_id")).distinct()
+    docs = normalized(spark, sf).join(wanted, "doc_id", "left_semi")
+    sets = memo(spark, ("pair-shingles", sf), lambda: dd._reliable(
+        dd.shingle_sets(docs, preprocessed=True).select("doc_id", F.transform("shingles", lambda x: F.xxhash64(x)).alias("h"))))
+    j = (pairs.join(sets.select(F.col("doc_id").alias("seed"), F.col("h").alias("a")), "seed")
+         .join(sets.select(F.col("doc_id").alias("cand"), F.col("h").alias("b")), "cand"))
+    i = F.size(F.array_intersect("a", "b"))
+    u = F.size("a") + F.size("b") - i
     return j.select("seed", "cand", F.round(F.when(u == 0, 1.0).otherwise(i / u), 6).alias("jaccard"))
 
 
@@ -264,12 +263,17 @@ def rep_newest(spark, sf):
     return dd.representatives(flagship(spark, sf).members, corpus_norm(spark, sf), "newest")
 
 
+# Fixed values, restated for the oracle: source weights in their order.
+SOURCE_WEIGHTS = [("wikipedia", 0.9), ("news", 0.8), ("book", 0.8), ("academic", 0.9), ("government", 0.7), ("social", 0.3),
+                  ("web", 0.4), ("forum", 0.2)]
+
+
 def quality_sql(text: str = "text", source: str = "source", meta: str = "4") -> str:
     """DuckDB form of the quality score (metadata count given as SQL)."""
     n = f"length({text})"
     src = f"lower(coalesce({source}, ''))"
     w = "0.1"
-    for name, weight in reversed(scoring.SOURCE_WEIGHTS):
+    for name, weight in reversed(SOURCE_WEIGHTS):
         w = f"CASE WHEN contains({src}, '{name}') THEN {weight * 0.2!r} ELSE {w} END"
     endings = f"({n} - length(regexp_replace({text}, '[.!?]', '', 'g')))"
     avg = f"({n} / greatest({endings}, 1))"
@@ -339,6 +343,13 @@ def dedup_chunk_stats(spark, sf):
                     F.round((F.col("original_count") - F.col("deduplicated_count")) / F.col("original_count"), 6).alias("deduplication_rate"))
 
 
+# Letters written full-width, so that NFKC changes every text.
+FULL_WIDTH = ("aeino", "\uff41\uff45\uff49\uff4e\uff4f")
+
+
 @query("normalize_docs", "WITH " + O.docs_cte("TRUE") + "\nSELECT doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text, lang, source, n_chars FROM docs")
 def normalize_docs(spark, sf):
-    return dd.normalize_docs(table(spark, sf, "documents")).select(*DOC_COLS)
+    """Cleaned copy of the documents with some letters made full-width, which
+    NFKC turns back."""
+    d = table(spark, sf, "documents").withColumn("text", F.translate("text", *FULL_WIDTH))
+    return dd.normalize_docs(d).select(*DOC_COLS)

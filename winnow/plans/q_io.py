@@ -3,10 +3,9 @@ listings, JSONL write-back, run logs and the end-to-end curation flow."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
+from winnow.functions import scoring
 from winnow.operators import validate as va
 from winnow.plans import fixtures as fx
 from winnow.plans import oracle as O
@@ -15,6 +14,7 @@ from winnow.plans.q_text import CORPUS_SQL, LINES_SQL, jsonl_dir
 from winnow.plans.registry import memo, query
 from winnow.session import scratch_path, table
 from winnow.sources import io
+from winnow.sources.lines import write_lines
 
 
 @query("parquet_project", "SELECT doc_id, lang, n_chars FROM documents")
@@ -144,20 +144,59 @@ def preview5(spark, sf):
     return normalized(spark, sf).orderBy("doc_id").limit(5).select("doc_id", "text", "lang", "source")
 
 
-@query("run_log")
+# ------------------------------------------------------------------ the dedup job on whole documents
+
+def job_lines(spark, sf):
+    """One JSON line per document with keys the job does not declare, nested
+    values, and times that are numbers, unpadded and padded text by doc_id."""
+    d = table(spark, sf, "documents")
+    i = F.col("doc_id")
+    fields = ["doc_id", "text", "lang", "source", F.concat(F.lit("u/"), i).alias("url"),
+              F.struct((i * 2).alias("score"), F.array(i % 3, i % 5).alias("tags")).alias("meta")]
+    number = F.to_json(F.struct(*fields, (F.lit(1700000000) + i).alias("timestamp")))
+    text = F.to_json(F.struct(*fields, F.when(i % 3 == 1, "2024-1-5").otherwise("2024-01-05 10:00:00").alias("timestamp")))
+    return d.select((i + 1).alias("line_no"), F.when(i % 3 == 0, number).otherwise(text).alias("value"))
+
+
+def job_output(spark, sf):
+    """Run the job once per session; its output folder."""
+    def build():
+        from winnow.plans import curate
+        src, out = scratch_path(spark, "job-in"), scratch_path(spark, "job-out")
+        write_lines(job_lines(spark, sf), src, "line_no")
+        curate.dedup_job(spark, [src], out)
+        return out
+    return memo(spark, ("job", sf), build)
+
+
+KEPT_SQL = O.dedup_chain() + ", kept AS (SELECT * FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM dropped))"
+
+
+@query("job_kept", KEPT_SQL + """
+SELECT doc_id, text, lang, source, 'u/' || doc_id AS url, doc_id * 2 AS score, '[' || doc_id % 3 || ',' || doc_id % 5 || ']' AS tags,
+       CASE doc_id % 3 WHEN 0 THEN (1700000000 + doc_id)::VARCHAR WHEN 1 THEN '"2024-1-5"' ELSE '"2024-01-05 10:00:00"' END AS time_json,
+       CASE doc_id % 3 WHEN 0 THEN make_timestamp((1700000000 + doc_id) * 1000000) WHEN 1 THEN TIMESTAMP '2024-01-05'
+                       ELSE TIMESTAMP '2024-01-05 10:00:00' END AS time,
+       'doc_id,lang,meta,source,text,timestamp,url' AS keys FROM kept""")
+def job_kept(spark, sf):
+    """Every field of the documents that the dedup job kept, declared or not."""
+    v = F.parse_json("value").alias("_v")
+    kept = spark.read.text(job_output(spark, sf) + "/kept").select(v, "value")
+    get = lambda path, typ: F.try_variant_get("_v", path, typ)
+    return kept.select(get("$.doc_id", "bigint").alias("doc_id"), *[get(f"$.{c}", "string").alias(c) for c in ("text", "lang", "source", "url")],
+                       get("$.meta.score", "bigint").alias("score"), F.to_json(get("$.meta.tags", "variant")).alias("tags"),
+                       F.to_json(get("$.timestamp", "variant")).alias("time_json"),
+                       scoring.parse_timestamp_variant(get("$.timestamp", "variant")).alias("time"),
+                       F.array_join(F.array_sort(F.json_object_keys("value")), ",").alias("keys"))
+
+
+@query("run_log", KEPT_SQL + """
+SELECT (SELECT count(*) FROM docs) AS before_count, (SELECT count(*) FROM kept) AS after_count, true AS timed""")
 def run_log(spark, sf):
-    """Append one (timestamp, input, output, before, after, seconds) row to a
-    CSV log table and return the log."""
-    t0 = time.time()
-    res = flagship(spark, sf)
-    before = normalized(spark, sf).count()
-    after = res.kept.count()
-    secs = round(time.time() - t0, 2)
-    path = memo(spark, ("runlog", sf), lambda: scratch_path(spark, "runlog"))
-    row = spark.createDataFrame([(time.strftime("%Y-%m-%d %H:%M:%S"), f"{sf}/documents.parquet", "kept", before, after, secs)],
-                                "timestamp string, input_file string, output_file string, before_count long, after_count long, processing_time double")
-    row.write.mode("append").option("header", True).csv(path)
-    return spark.read.option("header", True).schema(row.schema).csv(path)
+    """The job's log row: documents before and after, and whether it was timed."""
+    log = spark.read.option("header", True).csv(job_output(spark, sf) + "/dedup_log")
+    return log.select(F.col("before_count").cast("bigint").alias("before_count"), F.col("after_count").cast("bigint").alias("after_count"),
+                      (F.col("processing_time").cast("double") > 0).alias("timed"))
 
 
 @query("training_batches", "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM documents WHERE text IS NOT NULL")
@@ -168,14 +207,14 @@ def training_batches(spark, sf):
     return o.select("doc_id", F.floor((F.col("rank") - 1) / 16).cast("bigint").alias("batch"))
 
 
-@query("corpus_manifest")
+@query("corpus_manifest", "WITH " + CORPUS_SQL + """
+SELECT domain, count(*) AS documents, min(doc_id) AS sample_id, sum(length(text))::BIGINT AS chars FROM corpus GROUP BY domain""")
 def corpus_manifest(spark, sf):
-    """Per written file of the cleaned copy: documents and a sample id."""
-    out = memo(spark, ("ready", sf), lambda: scratch_path(spark, "ready"))
-    io.write_jsonl(normalized(spark, sf), out, "doc_id")
-    p = io.read_jsonl(spark, out)
-    return p.groupBy(F.regexp_extract("path", r"([^/]*)$", 1).alias("file")).agg(
-        F.count(F.lit(1)).alias("documents"), F.min(va.field("doc_id", "bigint")).alias("sample_id"))
+    """Per domain of the written layout: documents, smallest id and characters."""
+    out = memo(spark, ("by-domain-manifest", sf), lambda: scratch_path(spark, "manifest"))
+    io.write_by_domain(fx.corpus(spark, sf), out)
+    return spark.read.parquet(out).groupBy("domain").agg(
+        F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("sample_id"), F.sum(F.length("text")).alias("chars"))
 
 
 @query("curate_flow", O.dedup_chain() + """

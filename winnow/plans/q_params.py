@@ -28,12 +28,7 @@ def _base_tuned(spark, sf):
 def deltas(spark, sf):
     """(model, name, chunk, vec) deltas of every tuned model against the base."""
     base, tuned = _base_tuned(spark, sf)
-    models = [m for m, _ in fx.MODEL_WEIGHTS]
-    out = None
-    for m in models:
-        d = pa.vector_diff(base, tuned.where(F.col("model") == m)).withColumn("model", F.lit(m))
-        out = d if out is None else out.unionByName(d)
-    return out
+    return pa.vector_diff(base, tuned)
 
 
 @query("vector_diff", "WITH " + PARAMS_SQL + "\nSELECT model, name, pos::INTEGER AS pos, round(d, 6) AS delta FROM delta")
@@ -160,9 +155,10 @@ WITH v AS (SELECT vec_id, vec_id // 8 AS grp, (vec_id % 8) >= 4 AS is_ref,
            FROM embeddings),
 pr AS (SELECT a.grp, a.is_ref, max(list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2]))) AS best
        FROM v a JOIN v b ON a.grp = b.grp AND a.is_ref <> b.is_ref GROUP BY a.grp, a.is_ref, a.vec_id),
-pq AS (SELECT grp, avg(best) FILTER (WHERE NOT is_ref) AS p, avg(best) FILTER (WHERE is_ref) AS r FROM pr GROUP BY grp)
+pq AS (SELECT g.grp, coalesce(avg(best) FILTER (WHERE NOT is_ref), 0) AS p, coalesce(avg(best) FILTER (WHERE is_ref), 0) AS r
+       FROM (SELECT DISTINCT grp FROM v) g LEFT JOIN pr USING (grp) GROUP BY g.grp)
 SELECT grp, round(p, 6) AS "precision", round(r, 6) AS recall,
-       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM pq WHERE p IS NOT NULL AND r IS NOT NULL""")
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM pq""")
 def greedy_match_f1(spark, sf):
     e = table(spark, sf, "embeddings")
     v = e.select(F.floor(F.col("vec_id") / 8).cast("bigint").alias("grp"),

@@ -27,7 +27,11 @@ LINES_SQL = """lines AS (
          doc_id % 83 <> 0 AND doc_id % 79 = 0 AS no_source,
          CASE WHEN doc_id % 83 <> 0 AND doc_id % 79 <> 0 AND doc_id % 73 = 0 THEN (doc_id % 7)::VARCHAR ELSE lang END AS lang,
          ['main_data','textbook','assembly','web','social'][(doc_id % 5)::INT + 1] AS domain,
-         CASE WHEN text IS NULL OR """ + O.norm_text("text") + """ = '' THEN [] ELSE string_split(""" + O.norm_text("text") + """, ' ') END AS tokens
+         CASE WHEN text IS NULL OR """ + O.norm_text("text") + """ = '' THEN [] ELSE string_split(""" + O.norm_text("text") + """, ' ') END AS tokens,
+         CASE doc_id % 5 WHEN 0 THEN strftime(DATE '2024-01-01' + (doc_id % 365)::INT, '%Y-%m-%d') || ' 12:34:56'
+                         WHEN 1 THEN strftime(DATE '2024-01-01' + (doc_id % 365)::INT, '%Y-%m-%d') || 'T08:00:00'
+                         WHEN 2 THEN strftime(DATE '2024-01-01' + (doc_id % 365)::INT, '%Y-%m-%d')
+                         WHEN 3 THEN 'not a date' END AS ts_raw
   FROM documents),
 parsed AS (SELECT * FROM lines WHERE kind = 'ok')"""
 
@@ -55,10 +59,14 @@ def read_jsonl(spark, sf):
     return doc_fields(parsed_lines(spark, sf))
 
 
-@query("stream_jsonl", "WITH " + LINES_SQL + "\nSELECT doc_id, text, source, lang, domain FROM parsed")
+@query("stream_jsonl", "WITH " + LINES_SQL + """
+SELECT doc_id, text, source, lang, domain, array_to_string(tokens, ' ') AS tokens_text, CASE WHEN ts_raw IS NULL THEN '{"ts_raw":null}' ELSE '{"ts_raw":"' || ts_raw || '"}' END AS rest,
+       (SELECT count(*) FROM lines WHERE kind = 'bad') AS quarantined FROM parsed""")
 def stream_jsonl(spark, sf):
-    out = ingest.stream_jsonl_to_parquet(spark, jsonl_dir(spark, sf), scratch_path(spark, "stream"))
-    return out.select("doc_id", "text", "source", "lang", "domain")
+    path = scratch_path(spark, "stream")
+    out = ingest.stream_jsonl_to_parquet(spark, jsonl_dir(spark, sf), path)
+    bad = ingest.quarantined(spark, path).select(F.count(F.lit(1))).scalar()
+    return out.select("doc_id", "text", "source", "lang", "domain", F.array_join("tokens", " ").alias("tokens_text"), "rest", bad.alias("quarantined"))
 
 
 @query("jsonl_page", "WITH " + LINES_SQL + "\nSELECT line_no, doc_id, text FROM parsed WHERE line_no > 150 ORDER BY line_no LIMIT 200")
@@ -76,7 +84,7 @@ def jsonl_page_valid(spark, sf):
 
 @query("line_count", "WITH " + LINES_SQL + "\nSELECT count(*) AS lines FROM lines")
 def line_count(spark, sf):
-    return read_lines(spark, jsonl_dir(spark, sf)).agg(F.count(F.lit(1)).alias("lines"))
+    return spark.read.text(jsonl_dir(spark, sf)).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query("validate_jsonl_report", "WITH " + LINES_SQL + """
@@ -114,7 +122,7 @@ def validate_rows(spark, sf):
 SELECT (text IS NOT NULL AND text <> '' AND source IS NOT NULL AND source <> '' AND lang IS NOT NULL AND lang <> ''
         AND domain IS NOT NULL AND domain <> '') AS valid, count(*) AS n FROM parsed GROUP BY ALL""")
 def valid_counts(spark, sf):
-    p = parsed_lines(spark, sf)
+    p = io.parsed_jsonl(spark, jsonl_dir(spark, sf))
     ok, _ = va.row_validity()
     return p.groupBy(ok.alias("valid")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -151,10 +159,18 @@ def contains_korean(spark, sf):
     return d.select("doc_id", F.explode(both).alias("r")).select("doc_id", "r.src", "r.has_korean")
 
 
-@query("strip_emoji", "SELECT doc_id, (length(text) - length(regexp_replace(text, '\\p{So}', '', 'g')))::INTEGER AS removed_chars FROM documents")
+# Letters turned into symbols so that every text has some.
+SYMBOLS = ("eao", "\u2600\u263a\u2605")
+
+
+@query("strip_emoji", f"""
+SELECT doc_id, replace(replace(replace(text, 'e', ''), 'a', ''), 'o', '') AS text,
+       (length(text) - length(replace(replace(replace(text, 'e', ''), 'a', ''), 'o', '')))::INTEGER AS removed_chars FROM documents""")
 def strip_emoji(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", (F.length("text") - F.length(tx.strip_emoji("text"))).alias("removed_chars"))
+    """Symbols out of texts whose letters e, a and o were made symbols."""
+    d = table(spark, sf, "documents").select("doc_id", F.translate("text", *SYMBOLS).alias("text"))
+    clean = tx.strip_emoji("text")
+    return d.select("doc_id", clean.alias("text"), (F.length("text") - F.length(clean)).alias("removed_chars"))
 
 
 # ------------------------------------------------------------------ statistics over the corpus projection
@@ -216,17 +232,41 @@ def size_estimate(spark, sf):
     return st.size_estimate(fx.corpus(spark, sf))
 
 
-@query("quality_score", "WITH " + CORPUS_SQL + f"""
+# Source names given out by doc_id % 9 (the last matches none).
+NAMED = ["Wikipedia dump", "daily news", "book scans", "academic", "government", "social", "web crawl", "forum posts", "other"]
+
+QUALITY_INPUT_SQL = f"""
+, q AS (SELECT doc_id, lang, domain, tokens, [{', '.join(repr(n) for n in NAMED)}][(doc_id % 9)::INT + 1] AS source,
+         CASE WHEN doc_id % 4 = 0 THEN translate(lower(text), '{fx.LATIN}', '{fx.HANGUL_MAP}') ELSE text END AS text FROM corpus)"""
+
+
+@query("quality_score", "WITH " + CORPUS_SQL + QUALITY_INPUT_SQL + f"""
 SELECT doc_id, round({quality_sql('text', 'source', "(CASE WHEN coalesce(source, '') <> '' THEN 1 ELSE 0 END) + (CASE WHEN coalesce(domain, '') <> '' THEN 1 ELSE 0 END) + (CASE WHEN coalesce(lang, '') <> '' THEN 1 ELSE 0 END) + (CASE WHEN len(tokens) > 0 THEN 1 ELSE 0 END)")}, 6) AS score
-FROM corpus""")
+FROM q""")
 def quality_score(spark, sf):
-    c = fx.corpus(spark, sf)
+    """Scores with every source name in use and a quarter of the texts in Hangul."""
+    i = F.col("doc_id")
+    c = fx.corpus(spark, sf).withColumns({
+        "source": F.element_at(F.array(*[F.lit(n) for n in NAMED]), (i % 9 + 1).cast("int")),
+        "text": F.when(i % 4 == 0, F.translate(F.lower("text"), fx.LATIN, fx.HANGUL_MAP)).otherwise(F.col("text"))})
     return c.select("doc_id", F.round(scoring.quality_score(c.dtypes), 6).alias("score"))
 
 
 @query("parse_timestamps", "WITH " + CORPUS_SQL + """
 SELECT doc_id, coalesce(try_strptime(ts_raw, '%Y-%m-%d %H:%M:%S'), try_strptime(ts_raw, '%Y-%m-%dT%H:%M:%S'),
-                        try_strptime(ts_raw, '%Y-%m-%d')) AS ts FROM corpus""")
+                        try_strptime(ts_raw, '%Y-%m-%d')) AS ts,
+       make_timestamp((1700000000 + doc_id * 3601) * 1000000) AS from_number,
+       CASE WHEN doc_id % 2 = 0 THEN make_timestamp((1700000000 + doc_id * 3601) * 1000000)
+            ELSE make_timestamp(2024, (1 + doc_id % 12)::INT, (1 + doc_id % 28)::INT, (doc_id % 24)::INT, 5, 9) END AS from_json FROM corpus""")
 def parse_timestamps(spark, sf):
+    """Text layouts, epoch numbers, and JSON values that are one or the other
+    (unpadded text on odd ids)."""
     c = fx.corpus(spark, sf)
-    return c.select("doc_id", scoring.parse_timestamp(F.col("ts_raw")).alias("ts"))
+    i = F.col("doc_id")
+    number = F.lit(1700000000) + i * 3601
+    loose = F.format_string("2024-%d-%d %d:5:9", 1 + i % 12, 1 + i % 28, i % 24)
+    value = F.when(i % 2 == 0, F.to_json(F.struct(number.alias("t")))).otherwise(F.to_json(F.struct(loose.alias("t"))))
+    c = c.withColumn("_t", F.variant_get(F.parse_json(value), "$.t", "variant"))
+    return c.select("doc_id", scoring.parse_timestamp(F.col("ts_raw")).alias("ts"),
+                    scoring.parse_timestamp(number, numeric=True).alias("from_number"),
+                    scoring.parse_timestamp_variant(F.col("_t")).alias("from_json"))

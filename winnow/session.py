@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,18 +35,25 @@ def get_session(master: str = "local[8]", partitions: int = 8, app: str = "winno
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and tasks in one process, so a local folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; we read it
-    and only fall back to a fresh scratch folder when nothing is configured
-    (local tests)."""
+    The cluster names a shared folder in ``spark.checkpoint.dir``.  Where it is
+    unset, a local master gets a fresh scratch folder (tests); any other master
+    raises, since a machine-local folder is not seen by other executors."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="winnow-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -54,7 +62,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory for written tables."""
     base = checkpoint_dir(spark)
-    import uuid
     return f"{base.rstrip('/')}/winnow-{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -17,6 +17,7 @@ from winnow.operators import validate as va
 from winnow.operators.partitioning import range_parts
 from winnow.sources.lines import read_lines
 
+# Declared type names and their Spark types.
 TYPE_MAP = {"string": StringType(), "list[string]": ArrayType(StringType()), "categorical": StringType()}
 
 
@@ -32,6 +33,12 @@ def read_jsonl(spark: SparkSession, paths, max_lines: int | None = None) -> Data
     return p.where(~F.col("_blank") & F.col("_v").isNotNull())
 
 
+def parsed_jsonl(spark: SparkSession, paths) -> DataFrame:
+    """Parsed JSONL rows without line numbers: one scan, no join."""
+    p = va.parse(spark.read.text(paths))
+    return p.where(~F.col("_blank") & F.col("_v").isNotNull())
+
+
 def quarantine(spark: SparkSession, paths) -> DataFrame:
     """Malformed, non-blank lines with their numbers."""
     p = va.parse(read_lines(spark, paths))
@@ -58,7 +65,7 @@ def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal") -> DataFr
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                                             F.lit(0)).alias("_off"))
     inner = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
-    return (part.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_off") + inner)
+    return (part.join(offs, "_pid").withColumn(name, F.col("_off") + inner)
             .drop("_pid", "_off"))
 
 
@@ -101,7 +108,7 @@ def schema_listing(spark: SparkSession, schema: StructType) -> DataFrame:
 def convert_jsonl_to_parquet(spark: SparkSession, src, out: str, cfg, compression: str = "zstd",
                              max_records_per_file: int = 0) -> DataFrame:
     """JSONL -> Parquet with an explicit schema.  Absent keys become null;
-    malformed lines are skipped.  Writes ``out`` and ``out/_schema`` (one
+    malformed lines are skipped.  Writes ``out`` and ``out``_schema (one
     ``name:type`` line per column) and returns the read-back table."""
     schema = schema_from_config(cfg)
     lines = spark.read.text(src)
@@ -143,10 +150,10 @@ def _footer_rows(batches):
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            try:
+            if p.startswith("file:"):
+                fs, rel = pafs.LocalFileSystem(), "/" + p[5:].lstrip("/")
+            else:  # a scheme that the worker cannot open is an error
                 fs, rel = pafs.FileSystem.from_uri(p)
-            except Exception:  # e.g. a Hadoop-only scheme: fall back to a local path
-                fs, rel = pafs.LocalFileSystem(), (p[5:] if p.startswith("file:") else p)
             with fs.open_input_file(rel) as fh:
                 md = pq.ParquetFile(fh).metadata
             out.append((p, md.num_rows, md.num_row_groups, md.num_columns, md.serialized_size))
@@ -174,14 +181,18 @@ def rewrite_parquet(df: DataFrame, out: str, row_group_rows: int = 100_000, sort
 
 
 def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_records: int = 100_000) -> None:
-    """One directory per domain (missing -> 'unknown'), files of at most
-    ``max_records`` rows; readers prune partitions by domain."""
-    # No shuffle by domain: a few domains (one may hold a third of the rows)
-    # would funnel the corpus through a few tasks.  Every task writes its own
-    # rows into the domain folders; maxRecordsPerFile bounds file size.
+    """One directory per domain (missing -> 'unknown'), files of about
+    ``max_records`` rows at most; readers prune partitions by domain.
+
+    Rows are dealt by (domain, salt) with as many salts as the domain needs
+    files, so a domain with a third of the rows is written by many tasks and a
+    small one by a single task."""
     d = df.withColumn(domain_col, F.coalesce(F.col(domain_col), F.lit("unknown")))
-    (d.write.mode("overwrite").partitionBy(domain_col)
-       .option("maxRecordsPerFile", max_records).parquet(out))
+    files = d.groupBy(domain_col).agg(F.ceil(F.count(F.lit(1)) / max_records).alias("_files"))
+    salt = F.floor(F.rand(7) * F.col("_files")).cast("int")
+    dealt = d.join(files, domain_col).withColumn("_salt", salt).drop("_files")
+    (dealt.repartition(domain_col, "_salt").drop("_salt").select(*d.columns)
+     .write.mode("overwrite").partitionBy(domain_col).option("maxRecordsPerFile", max_records).parquet(out))
 
 
 # ---------------------------------------------------------------- files

@@ -31,7 +31,7 @@ def read_lines(spark: SparkSession, paths, per_file: bool = False) -> DataFrame:
     splits = splits.select("path", "_pid", "_r0",
                            (F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
     splits = splits.select("path", "_pid", "_r0", F.coalesce("_off", F.lit(0)).alias("_off"))
-    out = raw.join(F.broadcast(splits), ["path", "_pid"])
+    out = raw.join(splits, ["path", "_pid"])  # one row per split: broadcast only below the size threshold
     return out.select("path", (F.col("_off") + F.col("_rec") - F.col("_r0") + 1).alias("line_no"), "value")
 
 

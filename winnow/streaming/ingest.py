@@ -1,12 +1,11 @@
 """Structured Streaming ingest of JSONL folders.
 
-A streaming text source picks up new files as they land; each micro-batch
-is parsed with the same VARIANT expressions as the batch reader, blank and
-malformed lines are dropped, and rows are appended to a Parquet sink with a
-checkpoint in the shared checkpoint folder (exactly-once file sink).
-``availableNow`` drains everything present and stops, which is how the
-batch-equivalent check runs; a long-running job would use a processing-time
-trigger instead.
+A streaming text source picks up new files as they land; each micro-batch is
+parsed with the same VARIANT expressions as the batch reader and appended to a
+Parquet sink with a checkpoint beside it (exactly-once file sink).  Declared
+keys become typed columns, all other keys stay in ``rest``; malformed lines go
+to a quarantine sink of their own.  ``availableNow`` drains everything present
+and stops; a long-running job would use a processing-time trigger instead.
 """
 
 from __future__ import annotations
@@ -16,26 +15,47 @@ from pyspark.sql import functions as F
 
 from winnow.functions import text as tx
 
-DOC_FIELDS = [("doc_id", "bigint"), ("text", "string"), ("source", "string"), ("lang", "string"), ("domain", "string")]
+DOC_FIELDS = [("doc_id", "bigint"), ("text", "string"), ("source", "string"), ("lang", "string"), ("domain", "string"),
+              ("tokens", "array<string>")]
+BAD_SCHEMA = "value string"
 
 
-def parse_stream(lines: DataFrame, fields=DOC_FIELDS) -> DataFrame:
+def _parsed(lines: DataFrame) -> DataFrame:
     v = tx.strip_ws(F.col("value"))
-    p = lines.where(v != "").select(F.try_parse_json(v).alias("_v")).where(F.col("_v").isNotNull())
-    return p.select(*[F.try_variant_get("_v", f"$.{n}", t).alias(n) for n, t in fields])
+    return lines.where(v != "").select("value", F.try_parse_json(v).alias("_v"))
+
+
+def parse_stream(lines: DataFrame, fields=DOC_FIELDS) -> DataFrame:
+    """Typed declared keys and ``rest``, the JSON text of all other keys."""
+    names = F.array(*[F.lit(n) for n, _ in fields])
+    whole = F.try_variant_get("_v", "$", "map<string,variant>")
+    rest = F.to_json(F.map_filter(whole, lambda k, _: ~F.array_contains(names, k)), {"ignoreNullFields": "false"})
+    return _parsed(lines).where(F.col("_v").isNotNull()).select(
+        *[F.try_variant_get("_v", f"$.{n}", t).alias(n) for n, t in fields], rest.alias("rest"))
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    return _parsed(lines).where(F.col("_v").isNull()).select("value")
+
+
+def _drain(df: DataFrame, out_dir: str) -> None:
+    (df.writeStream.format("parquet").option("checkpointLocation", out_dir.rstrip("/") + "_checkpoint")
+     .outputMode("append").trigger(availableNow=True).start(out_dir).awaitTermination())
 
 
 def stream_jsonl_to_parquet(spark: SparkSession, src_dir: str, out_dir: str, fields=DOC_FIELDS,
                             max_files_per_trigger: int = 64, glob: str | None = None) -> DataFrame:
-    """Drain ``src_dir`` through a streaming query into Parquet at ``out_dir``
-    and return the sink as a batch DataFrame."""
+    """Drain ``src_dir`` into Parquet at ``out_dir`` (malformed lines at
+    ``out_dir``_quarantine) and return the sink as a batch DataFrame."""
     reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(src_dir)
-    q = (parse_stream(lines, fields).writeStream.format("parquet")
-         .option("checkpointLocation", out_dir.rstrip("/") + "_checkpoint")
-         .outputMode("append").trigger(availableNow=True).start(out_dir))
-    q.awaitTermination()
-    schema = ", ".join(f"{n} {t}" for n, t in fields)
-    return spark.read.schema(schema).parquet(out_dir)
+    _drain(parse_stream(lines, fields), out_dir)
+    _drain(bad_lines(lines), out_dir.rstrip("/") + "_quarantine")
+    return spark.read.schema(", ".join(f"{n} {t}" for n, t in [*fields, ("rest", "string")])).parquet(out_dir)
+
+
+def quarantined(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The malformed lines that ``stream_jsonl_to_parquet`` set aside."""
+    return spark.read.schema(BAD_SCHEMA).parquet(out_dir.rstrip("/") + "_quarantine")
