@@ -99,3 +99,29 @@ def test_group_without_one_side_is_kept(spark):
     v = spark.createDataFrame(rows, "g long, side int, embedding array<double>")
     got = {r.g: (r.precision, r.recall, r.f1) for r in me.greedy_match_f1(v, "g", "side").collect()}
     assert got == {1: (1.0, 1.0, 1.0), 2: (0.0, 0.0, 0.0)}
+
+
+def test_files_to_pairs(spark, tmpdir_session):
+    import os
+    from winnow.sources import io
+    for name, lines in (("refs", ["one", "", " two "]), ("preds", ["uno", "dos"]), ("short", ["uno"])):
+        with open(os.path.join(tmpdir_session, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    load = lambda n, side: io.read_texts(spark, os.path.join(tmpdir_session, n), side)
+    got = me.align_pairs(load("refs", "reference"), load("preds", "prediction")).orderBy("pair_id").collect()
+    assert [tuple(r) for r in got] == [(1, "one", "uno"), (2, "two", "dos")]
+    with pytest.raises(Exception, match="counts do not match"):
+        me.align_pairs(load("refs", "reference"), load("short", "prediction")).collect()
+
+
+def test_prompts(spark, tmpdir_session):
+    import os
+    from winnow.sources import io
+    path = os.path.join(tmpdir_session, "prompts.jsonl")
+    with open(path, "w") as f:
+        f.write('{"prompt": "tide?", "reference": "high"}\n{"prompt": "wind?"}\n')
+    assert [tuple(r) for r in io.read_prompts(spark, path).orderBy("line_no").collect()] == [(1, "tide?", "high"), (2, "wind?", None)]
+    with open(path, "a") as f:
+        f.write("{oops\n")
+    with pytest.raises(Exception):
+        io.read_prompts(spark, path).collect()

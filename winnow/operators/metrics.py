@@ -177,6 +177,20 @@ def rouge_l(pairs: DataFrame, hyp_col: str = "prediction", ref_col: str = "refer
     return x.agg(F.round(F.coalesce(F.sum(f), F.lit(0.0)) / F.greatest(F.count(F.lit(1)), F.lit(1)), 6).alias("rougeL"))
 
 
+# Header rows of the comparison table.
+COMPARISON_HEAD = ["| Prompt | Base | Merged |", "| --- | --- | --- |"]
+
+
+def comparison_rows(pairs: DataFrame) -> DataFrame:
+    """(pair_id, row): Markdown rows | prompt | base | merged |, newlines
+    folded; the header rows have the ids -2 and -1."""
+    fold = lambda c: F.replace(F.col(c), F.lit("\n"), F.lit(" "))
+    bar = F.lit(" | ")
+    row = F.concat(F.lit("| "), F.col("prompt"), bar, fold("base_output"), bar, fold("prediction"), F.lit(" |"))
+    head = pairs.sparkSession.createDataFrame(list(zip((-2, -1), COMPARISON_HEAD)), "pair_id bigint, row string")
+    return head.unionByName(pairs.select(F.col("pair_id").cast("bigint"), row.alias("row")))
+
+
 def reference_fallback(pairs: DataFrame, ref_col: str = "reference", base_col: str = "base_output") -> DataFrame:
     """Use the references when any is non-empty (remaining nulls stay),
     otherwise the base model outputs."""

@@ -8,7 +8,9 @@ from winnow.operators import metrics as me
 from winnow.operators import params as pa
 from winnow.plans import fixtures as fx
 from winnow.plans.registry import query
-from winnow.session import table
+from winnow.session import scratch_path, table
+from winnow.sources import io
+from winnow.sources.lines import read_lines, write_lines
 
 PARAMS_SQL = """params AS (
   SELECT CASE vec_id % 4 WHEN 0 THEN 'base' WHEN 1 THEN 'm1' WHEN 2 THEN 'm2' ELSE 'm3' END AS model,
@@ -173,15 +175,37 @@ def reference_fallback(spark, sf):
     return me.reference_fallback(fx.pairs(spark, sf))
 
 
+@query("eval_files", ROUGE_SQL)
+def eval_files(spark, sf):
+    """The path from files to a metric row: reference and prediction lines are
+    written and loaded, their counts checked, scored, and the row is written as
+    CSV and JSON; both are read back and must agree."""
+    p = fx.pairs(spark, sf).where(F.col("reference").isNotNull() & F.col("prediction").isNotNull())
+    sides = {}
+    for side in ("reference", "prediction"):
+        path = scratch_path(spark, f"eval-{side}")
+        write_lines(p.select("pair_id", F.regexp_replace(side, r"\s+", " ").alias("value")), path, "pair_id")
+        sides[side] = io.read_texts(spark, path, side)
+    pairs = me.align_pairs(sides["reference"], sides["prediction"])
+    out = scratch_path(spark, "eval")
+    io.write_metrics(me.rouge_n(pairs), out)
+    schema = "rouge1 double, rouge2 double"
+    csv = spark.read.schema(schema).option("header", True).csv(f"{out}/csv")
+    return csv.intersect(spark.read.schema(schema).json(f"{out}/json"))
+
+
 @query("prompt_comparison", "WITH " + PAIRS_SQL + """
+SELECT -2::BIGINT AS pair_id, '| Prompt | Base | Merged |' AS row UNION ALL SELECT -1, '| --- | --- | --- |' UNION ALL
 SELECT pair_id, '| ' || prompt || ' | ' || replace(base_output, chr(10), ' ') || ' | ' || replace(prediction, chr(10), ' ') || ' |' AS row
 FROM pairs""")
 def prompt_comparison(spark, sf):
-    """Markdown table rows | prompt | base | merged | (newlines folded)."""
-    p = fx.pairs(spark, sf)
-    row = F.concat(F.lit("| "), F.col("prompt"), F.lit(" | "), F.replace("base_output", F.lit("\n"), F.lit(" ")), F.lit(" | "),
-                   F.replace("prediction", F.lit("\n"), F.lit(" ")), F.lit(" |"))
-    return p.select("pair_id", row.alias("row"))
+    """The Markdown table, read back from its file: two header rows, then
+    | prompt | base | merged | in prompt order (newlines folded)."""
+    path = scratch_path(spark, "comparison")
+    write_lines(me.comparison_rows(fx.pairs(spark, sf)), path, "pair_id", "row")
+    back = read_lines(spark, path).select("line_no", F.col("value").alias("row"))
+    ids = io.with_ordinal(me.comparison_rows(fx.pairs(spark, sf)).select("pair_id"), "pair_id", "line_no")
+    return back.join(ids, "line_no").select("pair_id", "row")
 
 
 @query("perplexity", """

@@ -93,6 +93,32 @@ def write_jsonl(df: DataFrame, path: str, order_col: str | None = None) -> None:
     out.write.mode("overwrite").text(path)
 
 
+# ---------------------------------------------------------------- evaluation inputs
+
+def read_prompts(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, prompt, reference) of a JSONL prompt file; a line that is not
+    JSON raises when read (there is no skipping here), references may lack."""
+    v = F.parse_json(F.col("value"))
+    return read_lines(spark, path).where(tx.strip_ws("value") != "").select(
+        "line_no", F.try_variant_get(v, "$.prompt", "string").alias("prompt"),
+        F.try_variant_get(v, "$.reference", "string").alias("reference"))
+
+
+def read_texts(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """(pair_id, ``name``): the stripped non-blank lines of a file, numbered
+    from 1 without gaps."""
+    lines = read_lines(spark, path).select("line_no", tx.strip_ws("value").alias(name)).where(F.col(name) != "")
+    order = with_ordinal(lines.select("line_no"), "line_no", "pair_id")
+    return lines.join(order, "line_no").select("pair_id", name)
+
+
+def write_metrics(row: DataFrame, out: str) -> None:
+    """One metric row as CSV (with header) and as JSON below ``out``."""
+    one = row.coalesce(1)
+    one.write.mode("overwrite").option("header", True).csv(f"{out}/csv")
+    one.write.mode("overwrite").json(f"{out}/json")
+
+
 # ---------------------------------------------------------------- schema
 
 def schema_from_config(cfg: list[tuple[str, str]]) -> StructType:
