@@ -49,9 +49,9 @@ BASE = 1.5                 # quantisation of counts
 LEVELS = 110               # BASE ** 109 exceeds any 64-bit count
 MU = 8.0                   # weight of the unigram in the smoothing
 BITS, PROBES = 10, 5       # filter bits and hash functions a member
-BLOCK = 1 << 22            # tokens of a block, about
+BLOCK = 1 << 20            # tokens of a block, about
 GROUP_TOKENS = 1 << 19     # corpus tokens behind a hash range, about
-SHARD_BYTES = 64 << 20     # filter bytes broadcast at once
+SHARD_BYTES = 32 << 20     # filter bytes broadcast at once
 END = b" "                 # the end token: no word holds a blank
 SEED = 42
 
