@@ -16,8 +16,8 @@ How it runs, one narrow pass over the texts and shuffles of packed numbers only:
 3. Bigram groups sum theirs and write their range of the filter; a range is
    sized by its members, so the filter grows with the corpus.
 4. The filter is broadcast in shards of at most SHARD_BYTES (one, if it fits);
-   each shard answers the requests of its ranges.  Work stays linear in the
-   requests whatever the number of shards.
+   each shard answers the requests of its ranges.  Probes are made once each;
+   every further shard costs one more read of the packed request table.
 5. Answers meet their block, and documents are scored.
 
 Group counts follow the measured size of the texts.  All rows cover all tokens:
