@@ -38,7 +38,7 @@ from winnow.llm.densified_minhash import WordHashes, shingle_hashes
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 11, 4
-GROWTH = 1.12          # ratio of neighbouring window sizes
+GROWTH = 1.45          # ratio of neighbouring window sizes
 SLICE = 1 << 12        # windows of a text counted at once
 SHIFT = 3              # words an aligned window may be off
 ITEM_BYTES = 16 << 20  # benchmark text of one pass
@@ -98,10 +98,13 @@ class HammingIndex:
 
     def probe(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probe, stored) index pairs within RADIUS bits."""
-        hit = self.tables[0][self.block(fps, 0)]
+        blocks = np.ascontiguousarray(fps).view("<u2").reshape(-1, 4).T.astype(np.intp)
+        hit = self.tables[0].take(blocks[0], mode="clip")
         for k in range(1, BLOCKS):
-            hit |= self.tables[k][self.block(fps, k)]
+            hit |= self.tables[k].take(blocks[k], mode="clip")
         at = np.flatnonzero(hit)
+        if not len(at):
+            return (np.empty(0, np.int64),) * 2
         i, j = [], []
         for lo in range(0, len(at), SLICE):
             part = at[lo:lo + SLICE]
@@ -109,7 +112,7 @@ class HammingIndex:
                 a, b = np.nonzero(np.bitwise_count(fps[part][:, None] ^ self.fps[None, s:s + 1024]) <= RADIUS)
                 i.append(part[a])
                 j.append(b + s)
-        return (np.concatenate(i), np.concatenate(j)) if i else (np.empty(0, np.int64),) * 2
+        return np.concatenate(i), np.concatenate(j)
 
 
 def size_class(n: int) -> int:
