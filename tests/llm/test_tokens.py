@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from winnow.llm import best_fit, token_files
-from winnow.llm.tokenizing import ChunkIds, vocabulary
+from winnow.llm.tokenizing import Encoder, vocabulary
 
 SF = "/root/testdata/sf0.001"
 TRICKY = ["", " ", "a", "  two  spaces ", "tab\tand\nnew\n\nlines \n x", "don't WE'LL it's 's", "naïve Café ÉÑÜß", "1234 5.6 7",
@@ -16,13 +16,13 @@ TRICKY = ["", " ", "a", "  two  spaces ", "tab\tand\nnew\n\nlines \n x", "don't
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_chunked_ids_equal_the_library(spark, name, monkeypatch):
-    tok, enc = Tokenizer.from_file(vocabulary(name)), ChunkIds(vocabulary(name))
+    tok, enc = Tokenizer.from_file(vocabulary(name)), Encoder(vocabulary(name))
     texts = TRICKY + [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     for t in texts:
         assert enc.encode(t) == array("I", tok.encode(t, add_special_tokens=False).ids).tobytes(), t[:80]
     monkeypatch.setattr("winnow.llm.tokenizing.SLICE", 7)
-    monkeypatch.setattr("winnow.llm.tokenizing.CHUNKS", 50)
-    monkeypatch.setattr("winnow.llm.tokenizing.WORDS", 50)
+    for table in (enc.words, enc.chunks, enc.after_blank):
+        table.limit = 50
     for t in texts[:60]:
         assert enc.encode(t) == array("I", tok.encode(t, add_special_tokens=False).ids).tobytes(), t[:80]
 

@@ -2,8 +2,8 @@
 
 Both public vocabularies start a new pre-token wherever white space follows
 other text, so a text's ids are its chunks' ids in a row.  A worker process
-remembers the ids of chunks and of single words it has met (bounded, emptied
-when full); only unknown ones go through the library.  A text with white space
+remembers the ids of chunks and of single words it has met (bounded, in two
+generations); only unknown ones go through the library.  A text with white space
 beyond space, tab, CR and LF, or with one of the vocabulary's special strings,
 is encoded whole by the library.
 """
@@ -12,16 +12,20 @@ from __future__ import annotations
 
 import re
 from array import array
+from operator import attrgetter
 
 from winnow.llm.common import process_cache
 
-CHUNKS = 250_000   # remembered chunks of a process
-WORDS = 300_000    # remembered words of a process
+CHUNKS = 100_000   # remembered chunks of a process, a generation
+WORDS = 150_000    # remembered words of a process, a generation
 SLICE = 1 << 22    # characters split at once
 ODD_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 CUT = re.compile(r"(?<=[^ \t\r\n])(?=[ \t\r\n])")
 GLUED = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")  # a chunk with the white space before it
+BLANK_RUN = re.compile(r"[ \t\r\n] ")  # a blank behind other white space
 PLAIN_END = frozenset(".,;:!?")
+LINE_END = re.compile(r"[^ \t\r\n]+\n[^ \t\r\n]+")  # one line end between two words
+ID = attrgetter("id")
 LATIN_END = chr(0x200)  # precomposed Latin letters lie below
 
 
@@ -34,70 +38,93 @@ def _byte_letters() -> dict[int, str]:
 
 
 LETTERS = _byte_letters()
+BLANK = LETTERS[32]
 
 
-def _bytes_as_letters(s: str) -> str:
-    return s if s.isascii() and s.isalpha() else s.encode().decode("latin-1").translate(LETTERS)
+class Remembered(dict):
+    """A filled-on-demand table of bounded size: when ``limit`` entries are new,
+    the older generation is dropped and the new one becomes the older."""
 
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
 
-class ChunkIds(dict):
-    """chunk -> its ids as little-endian uint32 bytes, filled on demand."""
+    def __missing__(self, key: str) -> bytes:
+        got = self.older.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+class Encoder:
+    """Ids of texts as little-endian uint32 bytes (add_special_tokens=False)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.keeps_space = self.tok.normalizer is None
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-
-    def word(self, letters: str) -> bytes:
-        got = self.words.get(letters)
-        if got is None:
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            got = self.words[letters] = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
-        return got
-
-    def pieces(self, chunk: str) -> list[str]:
-        """The chunk's pre-tokens in the byte-level alphabet.  Plain Latin
-        words, with or without one sign behind, need no call of the library."""
-        lead, body = ("", chunk)
-        if self.keeps_space and chunk[0] == " ":
-            lead, body = LETTERS[32], chunk[1:]
-        stem, end = (body[:-1], body[-1:]) if body[-1:] in PLAIN_END else (body, "")
-        if stem.isalpha() and max(stem) < LATIN_END:
+        tokenize = self.tok.model.tokenize
+        self.words = Remembered(lambda w: array("I", map(ID, tokenize(w))).tobytes(), WORDS)
+        self.chunks = Remembered(self.chunk, CHUNKS)
+        self.after_blank = Remembered(lambda c: self.chunk(" " + c), CHUNKS)
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of one chunk.  Plain Latin words, with or without one sign behind
+        or a line end between two, are pre-tokenized here, all else by the
+        library."""
+        spaced = self.keeps_space and chunk[0] == " "
+        body = chunk[1:] if spaced else chunk
+        stem, end = (body[:-1], body[-1]) if body[-1:] in PLAIN_END else (body, "")
+        if stem.isascii():
+            if stem.isalpha():
+                low = stem if self.keeps_space else stem.lower()
+                word = self.words[BLANK + low if spaced else low]
+                return word + self.words[end] if end else word
+        elif stem.isalpha() and max(stem) < LATIN_END:
             low = stem if self.keeps_space else stem.lower()
             if low.isalpha():
-                return [lead + _bytes_as_letters(low)] + ([end] if end else [])
+                letters = low.encode().decode("latin-1").translate(LETTERS)
+                word = self.words[BLANK + letters if spaced else letters]
+                return word + self.words[end] if end else word
+        if self.keeps_space and LINE_END.fullmatch(body):
+            left, right = body.split("\n")
+            return (self.after_blank if spaced else self.chunks)[left] + self.words[LETTERS[10]] + self.chunks[right]
         text = chunk if self.keeps_space else self.tok.normalizer.normalize_str(chunk)
-        return [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+        return b"".join([self.words[p] for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)])
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CHUNKS:
-            self.clear()
-        got = self[chunk] = b"".join([self.word(p) for p in self.pieces(chunk)])
-        return got
+    def _part(self, text: str) -> bytes:
+        if not self.keeps_space:
+            return b"".join(map(self.chunks.__getitem__, text.split()))
+        if BLANK_RUN.search(text):
+            return b"".join(map(self.chunks.__getitem__, GLUED.findall(text)))
+        # every blank follows other text, so a chunk starts at each
+        first, *rest = text.split(" ")
+        return b"".join([self.chunks[first] if first else b"", *map(self.after_blank.__getitem__, rest)])
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text (add_special_tokens=False) as uint32 bytes."""
         if ODD_SPACE.search(text) or any(s in text for s in self.special):
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(text) <= SLICE:
+            return self._part(text) if text else b""
         out, lo = [], 0
         while lo < len(text):
-            cut = CUT.search(text, lo + SLICE) if len(text) - lo > SLICE else None
+            cut = CUT.search(text, lo + SLICE)
             hi = cut.start() if cut else len(text)
-            part = text[lo:hi]
-            out.append(b"".join(map(self.__getitem__, GLUED.findall(part) if self.keeps_space else part.split())))
+            out.append(self._part(text[lo:hi]))
             lo = hi
-        return out[0] if len(out) == 1 else b"".join(out)
+        return b"".join(out)
 
 
-def encoder(path: str) -> ChunkIds:
+def encoder(path: str) -> Encoder:
     """The process's encoder for a vocabulary file."""
     cache = process_cache("tokenizers")
     if path not in cache:
-        cache[path] = ChunkIds(path)
+        cache[path] = Encoder(path)
     return cache[path]
 
 
