@@ -110,3 +110,34 @@ def test_empty_and_null(spark, make_docs, monkeypatch):
     texts = [f"x y a{i} b{i} c{i} d{i} e{i} f{i} z" for i in range(40)]
     monkeypatch.setattr(dc, "ITEM_BYTES", 200)  # several passes find the same
     assert {(r["doc_id"], r["item_id"]) for r in dc.contaminated(make_docs(texts), many).collect()} == {(i, i) for i in range(40)}
+
+
+def edited(rng, words, kind):
+    """A copy of an item with about as many edits as a similarity of 0.8 allows."""
+    w = list(words)
+    for _ in range(max(1, len(w) // 50)):
+        at = {"middle": len(w) // 2, "ends": rng.choice([0, len(w) - 1])}.get(kind, rng.randrange(len(w)))
+        if kind == "drop":
+            del w[at]
+        elif kind == "insert":
+            w.insert(at, prose(rng, 1))
+        else:
+            w[at] = prose(rng, 1)
+    return w
+
+
+def test_all_edited_copies_are_found():
+    rng = random.Random(11)
+    items = [prose(rng, n).split() for n in [*range(15, 60, 2), 59, 59, 90, 140]]
+    items += [(prose(rng, 6).split() * 8)[:n] for n in (20, 45)]  # shingles that repeat
+    index = dc.Items([(i, " ".join(w).encode()) for i, w in enumerate(items)])
+    table, at_limit = dc.WordHashes(), 0
+    for kind in ("middle", "ends", "anywhere", "drop", "insert"):
+        for i, w in enumerate(items):
+            for pad in (0, 40):
+                text = " ".join([prose(rng, pad), *edited(rng, w, kind), prose(rng, pad)])
+                want = best_similarity(text, " ".join(w))
+                got = {m: s for m, _, _, s in index.matches(text.encode(), table)}
+                assert got == ({i: pytest.approx(want)} if want >= 0.8 else {}), (kind, len(w), want)
+                at_limit += 0.8 <= want < 0.9
+    assert at_limit > 60

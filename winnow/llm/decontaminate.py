@@ -6,9 +6,14 @@ has every window of that size of every document (one-word steps, sums from a
 running count).  Multi-index hashing finds all window fingerprints within
 RADIUS bits of an item's: of BLOCKS blocks of 16 bits one differs in at most
 RADIUS // BLOCKS bits, which a 65,536-entry table per block answers; survivors
-are compared in full.  A hit is verified exactly: the weighted Jaccard
-similarity (repeats counted) of the item's shingles with those of the document
-window of the item's own length around it must reach 0.8.
+are compared in full.
+
+A fingerprint of 64 bits misses some edited copies, so the search is completed
+exactly: a window of similarity 0.8 shares at least 0.8 of an item's shingles and
+therefore holds one of any choice of more than the rest (``Anchors``).  All
+windows of the item's own length around a hit of either kind are verified: the
+weighted Jaccard similarity (repeats counted) of the shingles must reach 0.8.
+Every copy at or above 0.8 is found, at its best window.
 
 Words are runs of letters, digits and non-ASCII bytes, lower-cased A-Z; other
 ASCII separates.  Items of fewer than 5 words are one shingle of all their words.
@@ -38,7 +43,8 @@ from winnow.llm.densified_minhash import WordHashes, shingle_hashes
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 11, 4
-GROWTH = 1.45          # ratio of neighbouring window sizes
+GROWTH = 1.12          # ratio of neighbouring window sizes
+SCAN = 24              # stored fingerprints compared without block tables
 SLICE = 1 << 12        # windows of a text counted at once
 SHIFT = 3              # words an aligned window may be off
 ITEM_BYTES = 16 << 20  # benchmark text of one pass
@@ -62,7 +68,7 @@ def window_hashes(shingles: np.ndarray, sizes: list[int]):
     top = max(sizes)
     for lo in range(0, n, SLICE):
         part = shingles[lo:lo + SLICE + top - 1]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64)
         # sums modulo 2**8 or 2**16 are enough for differences below that
         total = np.zeros((len(part) + 1, 64), np.uint8 if top < 256 else np.uint16 if top < 65536 else np.int64)
         np.cumsum(bits, axis=0, out=total[1:], dtype=total.dtype)
@@ -71,7 +77,7 @@ def window_hashes(shingles: np.ndarray, sizes: list[int]):
             count = min(SLICE, n - w + 1 - lo, len(part) - w + 1)
             if count > 0:
                 ones = total[w:w + count] - total[:count]
-                yield size, lo, np.packbits(ones > w // 2, axis=1, bitorder="little").view("<u8")[:, 0]
+                yield size, lo, np.packbits((ones > w // 2).ravel(), bitorder="little").view("<u8")
 
 
 # ---------------------------------------------------------------- the index
@@ -98,6 +104,12 @@ class HammingIndex:
 
     def probe(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probe, stored) index pairs within RADIUS bits."""
+        if len(self.fps) <= SCAN:
+            near = np.bitwise_count(self.fps[:, None] ^ fps[None, :]) <= RADIUS
+            if not near.any():
+                return (np.empty(0, np.int64),) * 2
+            j, i = np.nonzero(near)
+            return i, j
         blocks = np.ascontiguousarray(fps).view("<u2").reshape(-1, 4).T.astype(np.intp)
         hit = self.tables[0].take(blocks[0], mode="clip")
         for k in range(1, BLOCKS):
@@ -123,55 +135,133 @@ def size_class(n: int) -> int:
     return size
 
 
+class Anchors:
+    """Shingles of the items, some of which every copy at SIMILARITY must hold.
+
+    Such a window shares at least SIMILARITY of an item's shingles, so it cannot
+    miss any choice of more than the rest.  The item's rarest ones in the
+    benchmark are chosen."""
+
+    def __init__(self, items: list[np.ndarray]):
+        common = Counter(h for sh in items for h in set(sh.tolist()))
+        self.at: dict[int, list[int]] = {}
+        for m, sh in enumerate(items):
+            ranked = sorted(sh.tolist(), key=lambda h: (common[h], h))
+            for h in set(ranked[:len(ranked) - least_shared(len(ranked)) + 1]):
+                self.at.setdefault(h, []).append(m)
+        # hashes by their lowest bits: a table of about 64 places an anchor
+        bits = min(24, max(16, len(self.at).bit_length() + 6))
+        self.low = np.uint64((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[(np.fromiter(self.at, np.uint64, len(self.at)) & self.low).astype(np.intp)] = True
+
+    def probe(self, shingles: np.ndarray):
+        """(position, item) of every anchor in a text."""
+        for p in np.flatnonzero(self.table.take((shingles & self.low).astype(np.intp), mode="clip")).tolist():
+            for m in self.at.get(int(shingles[p]), ()):
+                yield p, m
+
+
+def least_shared(n: int) -> int:
+    """Shingles a window must share with an item of ``n`` to reach SIMILARITY."""
+    t = max(1, int(SIMILARITY * n))  # rounding must not ask for one too many
+    return t if t >= SIMILARITY * n else t + 1
+
+
 class Items:
-    """Benchmark items as shingles, by shingle length, with their index."""
+    """Benchmark items as shingles, by shingle length, with their indexes."""
 
     def __init__(self, rows: list[tuple[int, bytes]]):
         table = WordHashes()
-        self.by_length: dict[int, dict[int, tuple[list, HammingIndex]]] = {}
-        raw: dict[tuple[int, int], list] = {}
+        self.by_length: dict[int, tuple[list, dict[int, tuple[list, HammingIndex]], Anchors]] = {}
+        raw: dict[int, list] = {}
         for item, text in rows:
             w = words_of(text)
             if not w:
                 continue
             k = min(SHINGLE, len(w))
             sh = shingle_hashes(np.fromiter(map(table.__getitem__, w), np.uint64, len(w)), k)
-            size = size_class(len(sh))
-            raw.setdefault((k, size), []).append((item, sh, (len(sh) - size) // 2))
-        for (k, size), members in sorted(raw.items()):
-            fps = np.array([simhash(np.ascontiguousarray(sh[at:at + size])) for _, sh, at in members], np.uint64)
-            entry = [(item, Counter(sh.tolist()), len(sh), at) for item, sh, at in members]
-            self.by_length.setdefault(k, {})[size] = (entry, HammingIndex(fps))
+            raw.setdefault(k, []).append((item, sh))
+        for k, members in sorted(raw.items()):
+            sizes: dict[int, list] = {}
+            for m, (_, sh) in enumerate(members):
+                size = size_class(len(sh))
+                sizes.setdefault(size, []).append((m, (len(sh) - size) // 2))
+            index = {}
+            for size, inner in sorted(sizes.items()):
+                fps = np.array([simhash(np.ascontiguousarray(members[m][1][at:at + size])) for m, at in inner], np.uint64)
+                index[size] = inner, HammingIndex(fps)
+            entries = [(item, Counter(sh.tolist()), len(sh)) for item, sh in members]
+            self.by_length[k] = entries, index, Anchors([sh for _, sh in members])
 
     def matches(self, text: bytes, table: WordHashes) -> list[tuple]:
         """(item, start word, words, similarity): the best window per item."""
         w = words_of(text)
         hashed = np.fromiter(map(table.__getitem__, w), np.uint64, len(w))
         best: dict = {}
-        for k, sizes in self.by_length.items():
+        for k, (entries, sizes, anchors) in self.by_length.items():
             if len(w) < k:
                 continue
             sh = shingle_hashes(hashed, k)
-            tried = set()
+            starts: dict[int, list] = {}  # item -> first and last start of windows to verify
             for size, lo, fps in window_hashes(sh, list(sizes)):
-                entries, index = sizes[size]
-                for p, m in zip(*(x.tolist() for x in index.probe(fps))):
-                    item, weights, n, inner = entries[m]
-                    for start in range(lo + p - inner - SHIFT, lo + p - inner + SHIFT + 1):
-                        a, b = max(0, start), min(len(sh), start + n)  # the part of the window inside the text
-                        if b <= a or (size, m, a, b) in tried:
-                            continue
-                        tried.add((size, m, a, b))
-                        s = weighted_jaccard(weights, n, sh[a:b])
-                        if s >= SIMILARITY and (item not in best or (-s, a) < (-best[item][2], best[item][0])):
-                            best[item] = (a, b - a + k - 1, s)
+                inner, index = sizes[size]
+                for p, j in zip(*(x.tolist() for x in index.probe(fps))):
+                    m, at = inner[j]
+                    starts.setdefault(m, []).append((lo + p - at - SHIFT, lo + p - at + SHIFT))
+            for p, m in anchors.probe(sh):
+                starts.setdefault(m, []).append((p - entries[m][2] + 1, p))
+            for m, spans in starts.items():
+                item, weights, n = entries[m]
+                for first, last in merged(spans):
+                    found = best_window(weights, n, sh, first, last)
+                    if found and (item not in best or (-found[2], found[0]) < (-best[item][2], best[item][0])):
+                        best[item] = found[0], found[1] + k - 1, found[2]
         return [(item, *v) for item, v in best.items()]
 
 
-def weighted_jaccard(weights: Counter, total: int, shingles: np.ndarray) -> float:
-    """Sum of minima over sum of maxima of the shingles' counts."""
-    shared = sum(min(c, weights.get(h, 0)) for h, c in Counter(shingles.tolist()).items())
-    return shared / (total + len(shingles) - shared)
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Closed ranges as disjoint ones."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def best_window(weights: Counter, n: int, shingles: np.ndarray, first: int, last: int) -> tuple | None:
+    """(first shingle, shingles, similarity) of the most similar window of ``n``
+    that starts in first..last, the earliest of equals, if it reaches SIMILARITY.
+    Of a window over an end of the text the part inside counts."""
+    lo, hi = max(0, first), min(len(shingles), last + n)
+    part = shingles[lo:hi].tolist()
+    known = [h if h in weights else None for h in part]
+    if len(known) - known.count(None) < least_shared(n):
+        return None
+    have: Counter = Counter()
+    shared, a, b, best = 0, lo, lo, None
+    for start in range(first, last + 1):
+        x, y = max(0, start), min(len(shingles), start + n)
+        if y <= x:
+            continue
+        while b < y:
+            h = known[b - lo]
+            if h is not None:
+                have[h] += 1
+                shared += have[h] <= weights[h]
+            b += 1
+        while a < x:
+            h = known[a - lo]
+            if h is not None:
+                shared -= have[h] <= weights[h]
+                have[h] -= 1
+            a += 1
+        s = shared / (n + y - x - shared)
+        if s >= SIMILARITY and (best is None or s > best[2]):
+            best = x, y - x, s
+    return best
 
 
 # ------------------------------------------------------------------ operators
