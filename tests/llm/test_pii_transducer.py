@@ -101,3 +101,27 @@ def test_query_matches_plain_patterns(spark):
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in brute_base(docs[r["doc_id"]]))
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert set(base.split(",")) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("text,found,fragment", [
+    ("to j\u043ehn@example.com now", "j\u043ehn@example.com", "hn@example.com"),
+    ("to jo\u200bhn@example.com now", "jo\u200bhn@example.com", "hn@example.com"),
+    ("to john@example.c\u043em now", "john@example.c\u043em", "john@example.c"),
+    ("to john@example.co\u200bm now", "john@example.co\u200bm", "john@example.co"),
+    ("to jane@example.co[dot]uk now", "jane@example.co[dot]uk", "jane@example.co"),
+    ("to j\u043ehn@example.c\u043em now", "j\u043ehn@example.c\u043em", "hn@example.c"),
+    ("host 192.168.1.1\uff12 up", "192.168.1.1\uff12", "192.168.1.1"),
+])
+def test_identifier_around_a_base_fragment_is_found_whole(text, found, fragment):
+    base, spans = pt.find_spans(text)
+    at, inner = text.index(found), text.index(fragment)
+    kind = base[0][0]
+    assert base == [(kind, inner, inner + len(fragment))]
+    assert set(spans) == {*base, (kind, at, at + len(found))}
+    assert pt.masked(text) == text.replace(found, f"[{kind.upper()}]")
+
+
+def test_edit_beside_a_base_span_adds_nothing():
+    for t in ["a@b.com\u200b, x", "\u200ba@b.com", "\u0430 a@b.com \u043e"]:
+        base, spans = pt.find_spans(t)
+        assert spans == base and len(base) == 1

@@ -6,8 +6,9 @@ digits become ASCII, invisible characters vanish, spelled digits become digits,
 at/dot/plus disguises become their signs.  The rewriting keeps an alignment
 (copied and edited stretches), so a match in the normalised text maps back to
 the exact source characters.  A match that touches no edit is a base span
-already; one that overlaps a base span is dropped, so base spans stay as they
-are.
+already; one inside base spans adds nothing.  One that reaches beyond the base
+spans it overlaps (a base pattern often matches a fragment of a disguised
+identifier) is added beside them; base spans stay as they are.
 
 One narrow pass, no shuffle; work is linear in the text.
 
@@ -188,10 +189,17 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     found = Aligned(text)
     if not found.src:
         return base, base
-    extra, starts = [], sorted((s, e) for _, s, e in base)
+    extra, starts, ends = [], [], []  # stretches that base spans cover together
+    for s, e in sorted((s, e) for _, s, e in base):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     for kind, a, b in detect(found.text):
         s, e, edited = found.back(a, b)
-        if edited and not any(x < e and s < y for x, y in starts):
+        i = bisect_right(starts, s) - 1
+        if edited and (i < 0 or ends[i] < e):
             extra.append((kind, s, e))
     return base, sorted([*base, *extra], key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
