@@ -125,3 +125,12 @@ def test_edit_beside_a_base_span_adds_nothing():
     for t in ["a@b.com\u200b, x", "\u200ba@b.com", "\u0430 a@b.com \u043e"]:
         base, spans = pt.find_spans(t)
         assert spans == base and len(base) == 1
+
+
+def test_spelled_address_with_any_final_label():
+    for host in ("firm dot pl", "firm dot at", "firm dot jp", "mail.firm dot ca", "firm dot co dot nz", "a-b dot museum"):
+        t = f"write jane at {host}, thanks"
+        assert pt.find_spans(t)[1] == [("email", 6, len(t) - 8)], t
+    assert pt.find_spans("write jane at the dot com now")[1] == [("email", 6, 25)]  # listed: as before
+    for t in ["look at this dot as it moves", "stare at a dot in the sky", "at every dot on the map", "meet at noon dot", "jane at firm dot x"]:
+        assert pt.find_spans(t)[1] == [], t

@@ -104,18 +104,22 @@ ASCII_OUT = frozenset("@.+-()_% ") | LOCAL
 # everything beyond the accented Latin letters, with the no-break space and soft hyphen
 ODD = f"[{chr(0xA0)}{chr(0xAD)}{chr(0x2B0)}-{chr(0x10FFFF)}]"
 _words = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
-# Top-level domains that end a host whose signs are all words.
+# Top-level domains that end a host whose signs are all words, after whatever label.
 TOP_LEVEL = "com|org|net|edu|gov|info|biz|io|eu|de|fr|es|uk|ch|us|it|nl|ru"
 _open, _close = r"[\[({<]\s*", r"\s*[\])}>]"
 _label = r"[A-Za-z0-9-]+"
 _dot_word = r"dot|punkt|punto|point"
+_host = rf"{_label}(?:(?:\s+dot\s+|\.){_label})*\s+dot\s+"
+# Words before which "dot" is a noun of the sentence, not a sign.
+DETERMINERS = "the|a|an|this|that|these|those|each|every|any|some|no|one|another|my|your|his|her|its|our|their|which|what"
 SITE = re.compile(
     rf"(?P<digit>\b(?:{_words})\b)"
     rf"|(?P<at>\s*{_open}(?:at|@|arroba|arobase){_close}\s*)"
     rf"|(?P<dot>\s*{_open}(?:{_dot_word}|\.){_close}\s*)"
     rf"|(?P<plus>{_open}(?:plus|\+){_close}\s*|\bplus\s+(?=(?:{_words}|[0-9])\b))"
-    # a bare "at" counts only between a name and a host that spells its dots and ends in a top-level domain
-    rf"|(?P<bare_at>(?<=[A-Za-z0-9])\s+at\s+(?={_label}(?:(?:\s+dot\s+|\.){_label})*\s+dot\s+(?:{TOP_LEVEL})\b))"
+    # a bare "at" counts only between a name and a host that spells its last dot and ends in letters; a host that
+    # begins like a noun phrase must end in a listed top-level domain
+    rf"|(?P<bare_at>(?<=[A-Za-z0-9])\s+at\s+(?={_host}(?:{TOP_LEVEL})\b|(?!(?:{DETERMINERS})\s){_host}[A-Za-z]{{2,}}\b))"
     rf"|(?P<bare_dot>(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
     rf"|(?P<odd>{ODD})", re.IGNORECASE)
 SIGN = {"at": "@", "dot": ".", "plus": "+", "bare_at": "@", "bare_dot": "."}
