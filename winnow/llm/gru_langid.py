@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -193,20 +194,47 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return langs, train([r["t"].encode() for r in rows], np.array([index[r["lang"]] for r in rows]), len(langs))
 
 
+def tell(langs: list[str], params: dict | None, texts: list) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    some = [i for i, t in enumerate(texts) if params is not None and t and LETTER.search(t)]
+    best, score = [UND] * len(texts), [0.0] * len(texts)
+    if some:
+        prob = predict(params, [texts[i].encode() for i in some])
+        for i, row in zip(some, prob):
+            k = int(row.argmax())
+            best[i], score[i] = langs[k], min(1.0, float(row[k]))
+    return best, score
+
+
+def keep_lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the rows whose own text is null or has no letter; a row
+    without a label gets the predicted one (none, if there is no model)."""
+    langs, params = fit(docs, id_col, text_col, lang_col)
+
+    @F.pandas_udf("boolean")
+    def lettered(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: bool(t and LETTER.search(t)))
+
+    @F.pandas_udf("string")
+    def language(text: pd.Series, label: pd.Series) -> pd.Series:
+        bare = label.isna()
+        out = label.copy()
+        out[bare] = tell(langs, params, text[bare].tolist())[0]
+        return out
+
+    kept = docs.where(lettered(F.col(text_col).cast("string")))
+    if params is None or lang_col not in docs.columns:
+        return kept
+    return kept.withColumn(lang_col, language(F.col(text_col).cast("string"), F.col(lang_col).cast("string")))
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row."""
     langs, params = fit(docs, id_col, text_col, lang_col)
 
     def run(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            some = [i for i, t in enumerate(texts) if params is not None and t and LETTER.search(t)]
-            best, score = [UND] * len(texts), [0.0] * len(texts)
-            if some:
-                prob = predict(params, [texts[i].encode() for i in some])
-                for i, row in zip(some, prob):
-                    k = int(row.argmax())
-                    best[i], score[i] = langs[k], min(1.0, float(row[k]))
+            best, score = tell(langs, params, b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(best, pa.string()),
                                               pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
