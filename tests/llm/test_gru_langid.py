@@ -59,3 +59,16 @@ def test_edge_cases(spark, make_docs):
     assert gl.identify(make_docs([], lang=[]) if False else make_docs(["a"], lang=["en"]).where("false")).count() == 0
     null_id = make_docs(["hello there", "hello there"], ids=[None, None], lang=["en", "en"])
     assert [r["held_out"] for r in gl.identify(null_id).collect()] == [False, False]
+
+
+def test_every_label_is_learned_from_a_bounded_sample(spark, make_docs, monkeypatch):
+    n, each = 140, 12
+    docs = make_docs([f"words of tongue {i} " * 20 for i in range(n)] * each, lang=[f"l{i:03d}" for i in range(n)] * each)
+    seen = []
+    monkeypatch.setattr(gl, "train", lambda windows, labels, langs: seen.append(labels) or {})
+    assert gl.fit(docs)[0] == [f"l{i:03d}" for i in range(n)]
+    assert set(seen[0].tolist()) == set(range(n))
+    big = make_docs(["one two three"] * 3000, lang=["a", "b", "c"] * 1000)
+    monkeypatch.setattr(gl, "WINDOWS", 300)
+    assert gl.fit(big)[0] == ["a", "b", "c"]
+    assert (np.bincount(seen[1]) > 50).all() and len(seen[1]) < 450

@@ -6,8 +6,8 @@ document's probabilities are the mean over all its positions.  The unit has one
 gate for reset and update (a minimal gated unit), with a hard sigmoid and
 softsign, so a byte costs few numpy operations.  It is trained here, in numpy,
 by backpropagation through time with Adam on a bounded, documented sample:
-``PER_LANG`` windows a language, at hash-chosen places of hash-chosen documents
-that are not held out.  Every byte of every text is read when predicting.
+``PER_LANG`` windows a language (fewer if there are over 128), at hash-chosen
+places of hash-chosen documents that are not held out.  Every label is learned.  Every byte of every text is read when predicting.
 
 Scale: fitting reads (id, lang) and the chosen rows; predicting is one narrow
 pass with a model of a few kilobytes.
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 SPAN = 128         # bytes of a window
 HIDDEN = 8         # states a direction
 PER_LANG = 1200    # training windows a language (bound of the sample)
-MAX_LANGS = 128    # labels learned, the most frequent first
+WINDOWS = 128 * PER_LANG  # of all languages together; many languages get fewer each, but LEAST
+LEAST = 64
 EPOCHS = 12
 BLOCK = 2048       # windows run together
 LETTER = re.compile(r"[^\W\d_]")
@@ -176,10 +177,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """(languages, parameters) from the labelled rows that are not held out."""
     key = F.col(id_col).cast("bigint")
     seen = docs.where((remainder(key, 4) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (seen.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col)
-              .limit(MAX_LANGS).collect())
+    counts = seen.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a label
     if not counts:
         return [], None
+    per_lang = min(per_lang, max(LEAST, WINDOWS // len(counts)))
     share = F.create_map(*[x for r in counts for x in (F.lit(r[lang_col]), F.lit(min(1.0, per_lang / r["n"])))])
     draw = F.xxhash64(F.lit("langid"), key)
     at = F.pmod(F.xxhash64(F.lit("place"), key), F.greatest(F.lit(1), F.length(text_col) - SPAN + 1)).cast("int") + 1
