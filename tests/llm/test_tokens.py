@@ -57,6 +57,21 @@ def test_token_files_edge_cases(spark, make_docs, tmp_path):
     assert token_files.token_files(make_docs([]), vocabulary("word_bpe_49k.json"), 2, str(tmp_path / "e")).count() == 0
 
 
+def test_ids_beyond_two_bytes_are_kept(spark, make_docs, tmp_path):
+    from tokenizers import models
+    v = vocabulary("word_bpe_49k.json")
+    ids = ids_of("word_bpe_49k.json", "some words")[:-1]
+    docs = make_docs(["some words", None])
+    got = sorted(token_files.token_files(docs, v, 70000, str(tmp_path / "t")).collect(), key=lambda r: r["start"])
+    assert [r["ids_crc32"] for r in got] == [crc([*ids, 70000]), crc([70000])]
+    large = str(tmp_path / "large.json")
+    Tokenizer(models.WordLevel({f"w{i}": i for i in range(65537)}, "w0")).save(large)
+    assert [token_files.id_width(*x) for x in ((v, 2), (v, 65535), (v, 65536), (large, 2))] == [2, 2, 4, 4]
+    for end_id, width in ((65536, 2), (1 << 32, None), (-1, None)):
+        with pytest.raises(ValueError):
+            token_files.write_token_files(docs, str(tmp_path / "n"), v, end_id, width)
+
+
 def check_packing(rows, texts, size=1024):
     pieces, bins = {}, {}
     for r in rows:

@@ -57,6 +57,14 @@ def _flat(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read_buffer(), dtype)
 
 
+def id_width(vocab: str, end_id: int) -> int:
+    """Bytes of an id in the files: 2 if the vocabulary's and the end id fit, else 4."""
+    top = max([end_id, *encoder(vocab).tok.get_vocab(with_added_tokens=True).values()])
+    if end_id < 0 or top >= 1 << 32:
+        raise ValueError(f"ids must fit 4 bytes; the end id is {end_id}, the largest id {top}")
+    return 2 if top < 1 << 16 else 4
+
+
 def encode(docs: DataFrame, vocab: str, end_id: int, cuts: list[int], dtype: str) -> DataFrame:
     """(bucket, doc_id, ids binary of the file's width) with the end id appended."""
     end = array("I", [end_id]).tobytes()
@@ -73,10 +81,15 @@ def encode(docs: DataFrame, vocab: str, end_id: int, cuts: list[int], dtype: str
     return docs.mapInArrow(run, "bucket int, doc_id bigint, ids binary")
 
 
-def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int, width: int = 2,
+def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int, width: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the files below ``path``; the manifest (bucket, n_docs, n_null,
-    n_tokens, base), one row per non-empty bucket."""
+    """Write the files below ``path``, ids of ``width`` bytes (``id_width`` if not
+    given); the manifest (bucket, n_docs, n_null, n_tokens, base), one row per
+    non-empty bucket."""
+    least = id_width(vocab, end_id)
+    width = width or least
+    if width < least:
+        raise ValueError(f"ids of this vocabulary and end id {end_id} need {least} bytes, not {width}")
     spark = docs.sparkSession
     docs = id_text(docs, id_col, text_col)
     parts = shuffle_partitions(spark)
@@ -119,15 +132,15 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int, width
                                  "bucket int, n_docs bigint, n_null bigint, n_tokens bigint, base bigint")
 
 
-def read_token_files(spark: SparkSession, path: str, manifest: DataFrame, width: int = 2) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
-    dtype = {2: "<u2", 4: "<u4"}[width]
-
+def read_token_files(spark: SparkSession, path: str, manifest: DataFrame, width: int | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files,
+    whose size tells the width if it is not given."""
     def run(batches):
         for b in batches:
             for m in b.to_pylist():
                 name = f"{path}/{m['bucket']:06d}"
-                flat, off, ids = _flat(f"{name}.bin", dtype), _flat(f"{name}.off", "<u8"), _flat(f"{name}.doc", "<i8")
+                raw, off, ids = _flat(f"{name}.bin", "u1"), _flat(f"{name}.off", "<u8"), _flat(f"{name}.doc", "<i8")
+                flat = raw.view(f"<u{width or len(raw) // m['n_tokens']}")
                 for lo in range(0, m["n_docs"], READ_DOCS):
                     hi = min(m["n_docs"], lo + READ_DOCS)
                     crc = [zlib.crc32(flat[off[i]:off[i + 1]].astype("<u4").tobytes()) for i in range(lo, hi)]
