@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from winnow.functions import minhash as mh
 from winnow.functions import text as tx
 from winnow.operators import dedup as dd
+from winnow.operators import setjoin as sj
 from winnow.plans import fixtures as fx
 from winnow.plans import oracle as O
 from winnow.plans.registry import memo, query
@@ -190,6 +191,40 @@ def lsh_precision(spark, sf):
                     F.round(F.when(F.col("candidate_pairs") > 0, F.col("above_threshold") / F.col("candidate_pairs")).otherwise(0.0), 6).alias("precision"))
 
 
+# ------------------------------------------------------------------ exact near-duplicates (ground truth)
+
+def exact_join(spark, sf) -> sj.SetJoin:
+    """All documents with exact Jaccard of at least 0.8, as classes of equal sets."""
+    return memo(spark, ("setjoin", sf), lambda: sj.set_similarity_join(shingle_table(spark, sf), dd.DEFAULT.threshold))
+
+
+TRUTH_SQL = "WITH " + O.docs_cte() + O.signature_ctes() + """
+, sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+it AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+truth AS MATERIALIZED (SELECT x, y, i / (p.n + q.n - i) AS jaccard FROM it JOIN sz p ON p.doc_id = x JOIN sz q ON q.doc_id = y
+                       WHERE i / (p.n + q.n - i) >= 0.8)"""
+
+
+@query("lsh_recall", TRUTH_SQL + """
+, found AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM bands a JOIN bands b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id)
+SELECT count(*) AS true_pairs, count(f.x) AS found_pairs, round(CASE WHEN count(*) > 0 THEN count(f.x) / count(*) ELSE 1.0 END, 6) AS recall
+FROM truth t LEFT JOIN found f ON f.x = t.x AND f.y = t.y""")
+def lsh_recall(spark, sf):
+    """Share of all document pairs with Jaccard of at least 0.8 that the index
+    puts into a common bucket."""
+    return sj.pair_recall(exact_join(spark, sf), flagship(spark, sf).linked, dd.BUCKET)
+
+
+@query("similar_documents", TRUTH_SQL + """
+, ends AS (SELECT x AS doc_id, y AS other, jaccard FROM truth UNION ALL SELECT y, x, jaccard FROM truth)
+SELECT s.doc_id, least(s.doc_id, coalesce(min(e.other) FILTER (WHERE e.jaccard = 1), s.doc_id)) AS class_id, count(e.other) AS n_links
+FROM sz s LEFT JOIN ends e ON e.doc_id = s.doc_id GROUP BY s.doc_id""")
+def similar_documents(spark, sf):
+    """Every indexed document with the class of its shingle set and the number
+    of documents whose exact Jaccard is at least 0.8."""
+    return sj.linked_documents(exact_join(spark, sf))
+
+
 @query("minhash_estimate", CHAIN + """
 , pj AS (SELECT cid AS seed, m AS cand FROM clusters WHERE m <> cid)
 SELECT p.seed, p.cand, round(count(*) FILTER (WHERE a.v = b.v) / 128.0, 6) AS estimate
