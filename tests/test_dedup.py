@@ -79,6 +79,34 @@ def test_connected_groups_match_union_find(spark):
     assert got == want
 
 
+def _chain(spark, n):
+    """Documents 0..n-1, each sharing one bucket with the next: the longest chain of decisions."""
+    rows = [(d, 0, min(d, o), 1) for d in range(n) for o in (d - 1, d + 1) if 0 <= o < n]
+    return spark.createDataFrame(rows, "doc_id long, band int, k1 long, k2 long")
+
+
+def test_greedy_rounds_write_less_and_less(spark):
+    trace = []
+    seeds = dd.greedy_seeds(_chain(spark, 24), trace=trace)
+    assert sorted(r.doc_id for r in seeds.where("is_seed").collect()) == list(range(0, 24, 2))
+    assert seeds.count() == 24
+    assert len(trace) == 12 and all(a > b for a, b in zip(trace, trace[1:])) and trace[-1] == 2
+
+
+def test_contraction_shrinks_the_edges(spark):
+    trace = []
+    groups = dd.connected_groups(_chain(spark, 120), trace=trace)
+    assert {(r.doc_id, r.group_id) for r in groups.collect()} == {(d, 0) for d in range(120)}
+    assert all(a > b for a, b in zip(trace, trace[1:])) and len(trace) <= 16
+    # a hub with many leaves folds in one round
+    hub = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(0).alias("band"), F.lit(7).cast("bigint").alias("k1"),
+                                  F.lit(1).cast("bigint").alias("k2"))
+    trace = []
+    assert dd.connected_groups(hub, trace=trace).where("group_id = 0").count() == 500
+    assert trace == [499]
+    assert dd.connected_groups(hub.limit(0)).count() == dd.greedy_seeds(hub.limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def flagship(spark):
     from winnow.plans.q_dedup import flagship as fl, normalized

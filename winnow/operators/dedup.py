@@ -13,8 +13,8 @@ Scale notes
   k^2/2 pairs).  Hot buckets meet partial aggregation (map-side combine)
   and joins salted by document (``salted_join``).
 * Iterative loops (greedy seeds, connected groups) cut lineage every round
-  with reliable ``checkpoint()`` into the session's checkpoint folder and stop
-  on a zero count of undecided/changed documents.
+  with reliable ``checkpoint()`` into the session's checkpoint folder, work on
+  what is still undecided alone, and stop when nothing is left.
 """
 
 from __future__ import annotations
@@ -141,53 +141,44 @@ def _reliable(df: DataFrame) -> DataFrame:
 # greedy one-hop clustering (lexicographically-first maximal independent set)
 # --------------------------------------------------------------------------
 
-U, S, N = 0, 1, 2  # undecided, seed, non-seed
-
-
-def greedy_seeds(linked: DataFrame, max_rounds: int | None = None, materialized: bool = False) -> DataFrame:
+def greedy_seeds(linked: DataFrame, max_rounds: int | None = None, materialized: bool = False,
+                 trace: list[int] | None = None) -> DataFrame:
     """(doc_id, is_seed) for every document with at least one candidate.
 
     Visiting documents in id order, an unprocessed document becomes a seed
     and takes all of its candidates as its cluster.  Equivalently: a doc is
-    a seed iff no smaller seed shares a bucket with it.  Parallel rounds:
-      * an undecided doc sharing a bucket with a seed becomes a non-seed;
-      * an undecided doc that is the smallest undecided-or-seed member of
-        every one of its buckets becomes a seed.
-    Each round is one bucket aggregate and one doc aggregate over the
-    memberships of buckets that still hold an undecided doc; settled buckets
-    drop out, so later rounds only touch the unresolved part of the graph.
+    a seed iff no smaller seed shares a bucket with it.  Delta iteration over
+    the memberships of undecided documents alone:
+      * a document that is the smallest undecided one of all its buckets
+        becomes a seed;
+      * every other undecided document in a bucket of a new seed becomes a
+        non-seed (the new seed is the smallest of such a bucket).
+    What a round settles is written once and never touched again; the next
+    round's memberships are those of the documents still undecided, so the
+    rows written fall from round to round (``trace`` receives them).
     ``materialized``: ``linked`` is already a checkpoint, do not write it again."""
     m = linked.select("doc_id", *BUCKET)
     m = m if materialized else _reliable(m)
-    state = _reliable(m.select("doc_id").distinct().withColumn("st", F.lit(U)))
+    settled: list[DataFrame] = []
     rounds = 0
-    while True:
-        undecided = state.where(F.col("st") == U).count()
-        if undecided == 0:
-            break
+    while not m.isEmpty():
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"greedy_seeds did not converge in {max_rounds} rounds")
-        # round 1: everything is undecided, so the state join is skipped
-        ms = m.withColumn("st", F.lit(U)) if rounds == 0 else m.join(state, "doc_id")
-        per_bucket = ms.groupBy(*BUCKET).agg(
-            F.min(F.when(F.col("st") != N, F.col("doc_id"))).alias("min_live"),
-            F.max(F.col("st") == S).alias("has_seed"),
-            F.max(F.col("st") == U).alias("open"))
-        x = _reliable(salted_join(ms, per_bucket.where("open"), BUCKET, "doc_id"))
-        per_doc = (x.where(F.col("st") == U).groupBy("doc_id")
-                   .agg(F.max("has_seed").alias("near_seed"),
-                        F.min(F.col("min_live") == F.col("doc_id")).alias("first_everywhere")))
-        state = _reliable(
-            state.join(per_doc, "doc_id", "left").select(
-                "doc_id",
-                F.when(F.col("st") != U, F.col("st"))
-                 .when(F.col("near_seed"), F.lit(N))
-                 .when(F.col("first_everywhere"), F.lit(S))
-                 .otherwise(F.lit(U)).alias("st")))
-        m = x.select("doc_id", *BUCKET)  # only buckets that were still open
+        firsts = m.groupBy(*BUCKET).agg(F.min("doc_id").alias("first"))
+        x = salted_join(m, firsts, BUCKET, "doc_id")
+        seeds = x.groupBy("doc_id").agg(F.min(F.col("first") == F.col("doc_id")).alias("is_seed")).where("is_seed")
+        near = salted_join(x.where(F.col("first") != F.col("doc_id")), seeds.select(F.col("doc_id").alias("first")), ["first"], "doc_id")
+        now = _reliable(seeds.unionByName(near.select("doc_id", F.lit(False).alias("is_seed")).distinct()))
+        settled.append(now)
         rounds += 1
+        m = _reliable(m.join(now.select("doc_id"), "doc_id", "left_anti"))
+        if trace is not None:
+            trace.append(m.count() + now.count())
     logging.getLogger(__name__).info("greedy seeds: %d rounds", rounds)
-    return state.select("doc_id", (F.col("st") == S).alias("is_seed"))
+    out = linked.select("doc_id", F.lit(False).alias("is_seed")).limit(0)
+    for part in settled:
+        out = out.unionByName(part)
+    return out
 
 
 def cluster_members(linked: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -342,32 +333,45 @@ def cluster_stats(members: DataFrame) -> DataFrame:
 # connected groups (documented policy: mutually connected docs form a group)
 # --------------------------------------------------------------------------
 
-def connected_groups(linked: DataFrame, materialized: bool = False) -> DataFrame:
+def connected_groups(linked: DataFrame, materialized: bool = False, trace: list[int] | None = None) -> DataFrame:
     """(doc_id, group_id = smallest doc id of its connected component) over
-    the doc-bucket graph.  Min-label propagation through bucket aggregates,
-    with a pointer-jumping step (label <- label of label) each round."""
+    the doc-bucket graph, by contraction.
+
+    A bucket's edges are the star around its first document.  In a round every
+    node picks the first node of its closed neighbourhood -- by id in the first
+    round, which folds the buckets at once, then by a seeded hash, which folds
+    any graph by a constant share on average -- and the edges are rewritten to
+    the picked nodes; loops and repeats go, so the edge table shrinks from round
+    to round (``trace`` receives its rows) and folded nodes are never read
+    again.  The rounds' choices are then followed backwards."""
     m = linked.select("doc_id", *BUCKET)
     m = m if materialized else _reliable(m)
-    lab = _reliable(m.select("doc_id").distinct().withColumn("label", F.col("doc_id")))
-    first = True
-    while True:
-        # round 1: every label is the doc's own id, so no join is needed
-        ml = m.withColumn("label", F.col("doc_id")) if first else m.join(lab, "doc_id")
-        first = False
-        bl = ml.groupBy(*BUCKET).agg(F.min("label").alias("bl"))
-        dl = salted_join(m, bl, BUCKET, "doc_id").groupBy("doc_id").agg(F.min("bl").alias("nl"))
-        step = lab.join(dl, "doc_id", "left").select(
-            "doc_id", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("nl"), F.col("label").alias("old"))
-        # pointer jumping: adopt the label of my label; labels are looked up once each, then sent to their holders
-        step = _reliable(step)
-        ends = (step.select("nl").distinct().join(step.select(F.col("doc_id").alias("nl"), F.col("nl").alias("pl")), "nl"))
-        jump = salted_join(step, ends, ["nl"], "doc_id").select("doc_id", F.least("nl", "pl").alias("label"), "old")
-        jump = _reliable(jump)
-        changed = jump.where(F.col("label") != F.col("old")).count()
-        lab = jump.select("doc_id", "label")
-        if changed == 0:
-            break
-    return lab.select("doc_id", F.col("label").alias("group_id"))
+    firsts = m.groupBy(*BUCKET).agg(F.min("doc_id").alias("a"))
+    edges = _reliable(salted_join(m, firsts, BUCKET, "doc_id").where(F.col("a") != F.col("doc_id"))
+                      .select("a", F.col("doc_id").alias("b")).distinct())
+    picks: list[DataFrame] = []
+    while not edges.isEmpty():
+        if trace is not None:
+            trace.append(edges.count())
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        key = [F.xxhash64(F.lit(len(picks)), c) if picks else F.col(c) for c in ("a", "b")]
+        best = both.groupBy("a").agg(F.min(F.struct(key[1].alias("k"), "b")).alias("n"))
+        own = F.struct(key[0].alias("k"), F.col("a").alias("b"))
+        pick = _reliable(best.select("a", F.least("n", own)["b"].alias("to")))
+        picks.append(pick)
+        one = salted_join(edges, pick, ["a"], "b").select(F.col("to").alias("x"), "b")
+        two = salted_join(one, pick.withColumnRenamed("a", "b"), ["b"], "x").select("x", F.col("to").alias("y"))
+        edges = _reliable(two.where(F.col("x") != F.col("y"))
+                          .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    if not picks:
+        return m.select("doc_id", F.col("doc_id").alias("group_id")).distinct()
+    root = picks[-1]
+    for pick in reversed(picks[:-1]):  # what a node picked, and what that node came to
+        ahead = root.select(F.col("a").alias("to"), F.col("to").alias("end"))
+        hit = pick.select("to").distinct().join(ahead, "to", "left").select("to", F.coalesce("end", "to").alias("end"))
+        root = _reliable(salted_join(pick, hit, ["to"], "a").select("a", F.col("end").alias("to")))
+    least = root.groupBy("to").agg(F.min("a").alias("group_id"))
+    return salted_join(root, least, ["to"], "a").select(F.col("a").alias("doc_id"), "group_id")
 
 
 def normalize_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
