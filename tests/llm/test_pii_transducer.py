@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -134,3 +136,40 @@ def test_spelled_address_with_any_final_label():
     assert pt.find_spans("write jane at the dot com now")[1] == [("email", 6, 25)]  # listed: as before
     for t in ["look at this dot as it moves", "stare at a dot in the sky", "at every dot on the map", "meet at noon dot", "jane at firm dot x"]:
         assert pt.find_spans(t)[1] == [], t
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "7" * 1_000_000, "1." * 500_000, "+1" + " " * 1_000_000,
+                                  "[ " * 300_000, "a@" * 300_000, "x at " * 200_000, "a" + " " * 500_000 + "dot" + " " * 500_000, "7 " * 300_000],
+                         ids=["blanks", "lines", "digits", "dots", "phone", "brackets", "ats", "bare at", "bare dot", "card"])
+def test_time_is_linear_in_the_text(text):
+    began = time.perf_counter()
+    pt.find_spans(text)
+    whole = time.perf_counter() - began
+    assert whole < 8, whole  # a second or less on a free machine; quadratic time would take hours
+
+
+def test_digit_runs_and_blanks_are_found_as_by_the_plain_patterns():
+    """The anchored patterns give the matches of the patterns as laid down."""
+    plain_ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    gap, end = r"[\[({<]\s*", r"\s*[\])}>]"
+    plain_site = re.compile(
+        rf"(?P<digit>\b(?:{pt._words})\b)|(?P<at>\s*{gap}(?:at|@|arroba|arobase){end}\s*)"
+        rf"|(?P<dot>\s*{gap}(?:dot|punkt|punto|point|\.){end}\s*)"
+        rf"|(?P<plus>{gap}(?:plus|\+){end}\s*|\bplus\s+(?=(?:{pt._words}|[0-9])\b))"
+        rf"|(?P<bare_at>(?<=[A-Za-z0-9])\s+at\s+(?={pt._host}(?:{pt.TOP_LEVEL})\b|(?!(?:{pt.DETERMINERS})\s){pt._host}[A-Za-z]{{2,}}\b))"
+        rf"|(?P<bare_dot>(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))|(?P<odd>{pt.ODD})", re.IGNORECASE)
+    rng = random.Random(8)
+    for _ in range(4000):
+        s = "".join(rng.choice("01.. 2x") for _ in range(rng.randint(0, 40)))
+        assert [m.span() for m in pt.IP.finditer(s)] == [m.span() for m in plain_ip.finditer(s)]
+        s = "".join(rng.choice([" ", "\n", " ", "\u00a0", "\u200b", "\u0430", "[", "(", "at", "dot", "]", ")", "@", "a", "plus", "one", "Zwei", "7",
+                                "+", "com", ".", "the", "[at]", " dot ", " at "]) for _ in range(rng.randint(0, 25)))
+        assert list(pt.sites(s)) == [(*m.span(), m.lastgroup.replace("bare_", "")) for m in plain_site.finditer(s)], s
+
+
+def test_an_ip_part_with_very_many_zeros():
+    assert pt.detect("0" * 6000 + "1.2.3.4") == [("ip", 0, 6007)]
+
+
+def test_letters_that_only_fold_to_a_spelled_digit():
+    assert pt.find_spans("\u017fix eight six") == ([], [])

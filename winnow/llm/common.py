@@ -3,7 +3,10 @@ buckets, Arrow text access and per-process caches."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -65,3 +68,44 @@ def process_cache(name: str) -> dict:
     lookups loaded by one task serve the next ones too."""
     store = sys.modules["__main__"].__dict__.setdefault("_winnow_process_cache", {})
     return store.setdefault(name, {})
+
+
+LEAN_ROWS, LEAN_BYTES = 512, 4 << 20  # rows and bytes handled at once
+
+
+def slices(batch: pa.RecordBatch | pa.Array) -> Iterator:
+    """The batch in slices of at most LEAN_ROWS rows, fewer where rows are long."""
+    step = max(1, min(LEAN_ROWS, LEAN_BYTES * len(batch) // max(1, batch.nbytes)))
+    for lo in range(0, len(batch), step):
+        yield batch.slice(lo, step)
+
+
+def release() -> None:
+    """Give memory that this worker has freed back to the system: worker
+    processes live on and serve the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """A mapInArrow body that sees its batches in small slices, so Python
+    objects of a few rows exist at a time, and leaves a trimmed worker."""
+    def wrapped(batches):
+        try:
+            yield from run(s for b in batches for s in slices(b))
+        finally:
+            release()
+    return wrapped
+
+
+def per_text(fn, kind: pa.DataType):
+    """An Arrow function (texts -> one value each; null stays null), slice by slice."""
+    def run(texts: pa.Array) -> pa.Array:
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        parts = [pa.array([None if t is None else fn(t) for t in s.to_pylist()], kind) for s in slices(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+    return run

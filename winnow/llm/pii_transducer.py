@@ -22,20 +22,21 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
+from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text
+from winnow.llm.common import id_text, lean, per_text
 
 KINDS = ("email", "ip", "card", "phone")
 
 # -------------------------------------------------------------- base patterns
 # The patterns of the four kinds.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# a match begins and ends with a whole run of digits, so no run is tried from its inside
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -73,7 +74,8 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all four kinds, by start, then kind."""
     out = [(s, 0, e) for s, e in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         if 12 <= m.end() - m.start():
@@ -106,26 +108,74 @@ ODD = f"[{chr(0xA0)}{chr(0xAD)}{chr(0x2B0)}-{chr(0x10FFFF)}]"
 _words = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 # Top-level domains that end a host whose signs are all words, after whatever label.
 TOP_LEVEL = "com|org|net|edu|gov|info|biz|io|eu|de|fr|es|uk|ch|us|it|nl|ru"
-_open, _close = r"[\[({<]\s*", r"\s*[\])}>]"
 _label = r"[A-Za-z0-9-]+"
-_dot_word = r"dot|punkt|punto|point"
 _host = rf"{_label}(?:(?:\s+dot\s+|\.){_label})*\s+dot\s+"
 # Words before which "dot" is a noun of the sentence, not a sign.
 DETERMINERS = "the|a|an|this|that|these|those|each|every|any|some|no|one|another|my|your|his|her|its|our|their|which|what"
-SITE = re.compile(
-    rf"(?P<digit>\b(?:{_words})\b)"
-    rf"|(?P<at>\s*{_open}(?:at|@|arroba|arobase){_close}\s*)"
-    rf"|(?P<dot>\s*{_open}(?:{_dot_word}|\.){_close}\s*)"
-    rf"|(?P<plus>{_open}(?:plus|\+){_close}\s*|\bplus\s+(?=(?:{_words}|[0-9])\b))"
-    # a bare "at" counts only between a name and a host that spells its last dot and ends in letters; a host that
-    # begins like a noun phrase must end in a listed top-level domain
-    rf"|(?P<bare_at>(?<=[A-Za-z0-9])\s+at\s+(?={_host}(?:{TOP_LEVEL})\b|(?!(?:{DETERMINERS})\s){_host}[A-Za-z]{{2,}}\b))"
-    rf"|(?P<bare_dot>(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
-    rf"|(?P<odd>{ODD})", re.IGNORECASE)
-SIGN = {"at": "@", "dot": ".", "plus": "+", "bare_at": "@", "bare_dot": "."}
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+def _spelled() -> str:
+    """The spelled digits as whole words; one set of first letters stands in
+    front, so that a search passes over all other characters at once."""
+    firsts = sorted({w[0] for w in DIGIT_OF})
+    rest = ["(?<=" + _any_case(c) + ")(?:" + "|".join(_any_case(w[1:]) for w in sorted(DIGIT_OF, key=len, reverse=True) if w[0] == c) + ")"
+            for c in firsts]
+    return f"[{''.join(c + c.upper() for c in firsts)}](?<!\\w.)(?:{'|'.join(rest)})(?!\\w)"
+
+
+# The rewritten places, most wanted first where two begin at one character.  Every pattern begins with a set of
+# characters and looks through a run of blanks once.
+DIGIT = re.compile(_spelled())
+BRACKET = re.compile(r"[\[({<]\s*+(?:(?P<at>at|@|arroba|arobase)|(?P<dot>dot|punkt|punto|point|\.)|(?P<plus>plus|\+))\s*+[\])}>]\s*", re.IGNORECASE)
+PLUS = re.compile(rf"[pP](?<!\w.)[lL][uU][sS]\s+(?=(?i:{_words}|[0-9])\b)")
+# a bare "at" counts only between a name and a host that spells its last dot and ends in letters; a host that
+# begins like a noun phrase must end in a listed top-level domain
+BARE_AT = re.compile(rf"\s(?<=[A-Za-z0-9]\s)\s*at\s+(?={_host}(?:{TOP_LEVEL})\b|(?!(?:{DETERMINERS})\s){_host}[A-Za-z]{{2,}}\b)", re.IGNORECASE)
+BARE_DOT = re.compile(r"\s(?<=[A-Za-z0-9]\s)\s*dot\s+(?=[A-Za-z0-9])", re.IGNORECASE)
+ODD_RUN = re.compile(ODD)
+WORDED = ((DIGIT, "digit"), (BRACKET, None), (PLUS, "plus"), (BARE_AT, "at"), (BARE_DOT, "dot"))
+SIGN = {"at": "@", "dot": ".", "plus": "+"}
+
+
+def sites(text: str):
+    """(start, end, kind) of the places to rewrite, from left to right without
+    overlap.  Blanks before a bracketed at or dot belong to it."""
+    pos, never = 0, len(text) + 1
+    heads = [(-1, 0, None)] * len(WORDED)  # each pattern's next place, found again once it lies behind
+    odd = ODD_RUN.search(text)
+    while True:
+        for k, (pattern, kind) in enumerate(WORDED):
+            if heads[k][0] < pos:
+                m = pattern.search(text, pos)
+                s = m.start() if m else never
+                if m and kind is None and m.lastgroup != "plus":
+                    while s > pos and text[s - 1].isspace():
+                        s -= 1
+                heads[k] = (s, m.end(), kind or m.lastgroup) if m else (never, never, None)
+        s, e, kind = min(heads, key=lambda h: h[0])  # of equals the first
+        while odd and odd.start() < s:
+            if odd.start() >= pos:
+                yield odd.start(), odd.end(), "odd"
+                pos = odd.end()
+            odd = ODD_RUN.search(text, max(pos, odd.end()))
+        if s == never:
+            return
+        if s < pos:  # blanks of a bracket that an odd character before has taken
+            s = pos
+        yield s, e, kind
+        pos = e
+        if odd and odd.start() < pos:
+            odd = ODD_RUN.search(text, pos)
+
+
 GAP = re.compile(r"[\s-]+")
 
 
+@lru_cache(maxsize=1 << 14)
 def plain(c: str) -> str:
     """ASCII stand-in of one non-Latin character, or the character itself."""
     if c in INVISIBLE:
@@ -152,10 +202,9 @@ class Aligned:
         self.src: list[tuple[int, int, bool]] = []
         self.size = 0
         pos, digit_end = 0, -1
-        for m in SITE.finditer(text):
-            s, e, kind = m.start(), m.end(), m.lastgroup
-            out = plain(m.group()) if kind == "odd" else SIGN.get(kind) or DIGIT_OF[m.group().lower()]
-            if out == m.group():
+        for s, e, kind in sites(text):
+            out = plain(text[s:e]) if kind == "odd" else SIGN.get(kind) or DIGIT_OF[text[s:e].lower()]
+            if out == text[s:e]:
                 continue
             if s > pos:
                 gap = text[pos:s]
@@ -231,7 +280,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 names=names)
 
     return id_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_spans string, spans string")
+        lean(run), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_spans string, spans string")
 
 
 def masked(text: str) -> str:
@@ -248,11 +297,7 @@ def masked(text: str) -> str:
 def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with personal data masked; a length column, if there is one,
     follows the new text.  Null text stays null."""
-    @F.pandas_udf("string")
-    def mask(s: pd.Series) -> pd.Series:
-        return s.map(masked, na_action="ignore")
-
-    masked_text = mask(F.col(text_col).cast("string"))
+    masked_text = F.arrow_udf(per_text(masked, pa.string()), "string")(F.col(text_col).cast("string"))
     out = docs.select(*[masked_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
