@@ -1,19 +1,19 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Benchmark items fall into size classes of at most GROWTH between neighbours.  An
-item's middle window of its class's size has a SimHash over 5-word shingles; so
+item's windows of its class's size -- its head, middle and tail, so that an edit
+at one end leaves a window without it -- have SimHashes over 5-word shingles; so
 has every window of that size of every document (one-word steps, sums from a
-running count).  Multi-index hashing finds all window fingerprints within
-RADIUS bits of an item's: of BLOCKS blocks of 16 bits one differs in at most
-RADIUS // BLOCKS bits, which a 65,536-entry table per block answers; survivors
-are compared in full.
-
-A fingerprint of 64 bits misses some edited copies, so the search is completed
-exactly: a window of similarity 0.8 shares at least 0.8 of an item's shingles and
-therefore holds one of any choice of more than the rest (``Anchors``).  All
-windows of the item's own length around a hit of either kind are verified: the
+running count).  Multi-index hashing finds all window fingerprints within RADIUS
+bits of an item's: of BLOCKS blocks of 16 bits one differs in at most
+RADIUS // BLOCKS bits, so each stored fingerprint is posted under all such values
+of each block, and a probe is compared with the postings of its block values
+alone.  Around every hit all windows of the item's own length are verified: the
 weighted Jaccard similarity (repeats counted) of the shingles must reach 0.8.
-Every copy at or above 0.8 is found, at its best window.
+
+A fingerprint of 64 bits stands for a similarity with some error, so an edited
+copy near 0.8 can lie beyond the radius; the tests measure the recall against
+brute force (README states it).  An unedited copy has distance 0 and is found.
 
 Words are runs of letters, digits and non-ASCII bytes, lower-cased A-Z; other
 ASCII separates.  Items of fewer than 5 words are one shingle of all their words.
@@ -37,17 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, materialize
+from winnow.llm.common import id_text, lean, per_text
 from winnow.llm.densified_minhash import WordHashes, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 11, 4
-GROWTH = 1.12          # ratio of neighbouring window sizes
-SCAN = 24              # stored fingerprints compared without block tables
+GROWTH = 1.2           # ratio of neighbouring window sizes
 SLICE = 1 << 12        # windows of a text counted at once
-SHIFT = 3              # words an aligned window may be off
-ITEM_BYTES = 16 << 20  # benchmark text of one pass
+SHIFT = 3              # words an aligned window may be off, besides an eighth of the item
+ITEM_BYTES = 1 << 20   # benchmark text of one pass
 # Fixed value: letters, digits and bytes beyond ASCII stay, A-Z are lowered, all else separates.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -89,41 +88,50 @@ def _near_blocks(radius: int) -> np.ndarray:
 
 
 class HammingIndex:
-    """All stored fingerprints within RADIUS of a probe, by blocks."""
+    """All stored fingerprints within RADIUS of a probe, by posting lists: a
+    stored fingerprint stands under every value of a block that is within
+    RADIUS // BLOCKS bits of its own."""
 
     def __init__(self, fps: np.ndarray):
         self.fps = fps
         masks = _near_blocks(RADIUS // BLOCKS)
         self.tables = np.zeros((BLOCKS, 65536), bool)
+        self.posted = []
         for k in range(BLOCKS):
-            self.tables[k, (self.block(fps, k)[:, None] ^ masks[None, :]).ravel()] = True
+            values = (self.block(fps, k)[:, None] ^ masks[None, :]).ravel()
+            order = np.argsort(values, kind="stable")
+            first = np.zeros(65537, np.int32)
+            np.cumsum(np.bincount(values, minlength=65536), out=first[1:])
+            self.posted.append((first, (order // len(masks)).astype(np.int32)))
+            self.tables[k, values] = True
+
+    def __reduce__(self):
+        return HammingIndex, (self.fps,)  # postings are built where they are used
 
     @staticmethod
     def block(fps: np.ndarray, k: int) -> np.ndarray:
         return np.ascontiguousarray(fps).view("<u2").reshape(-1, 4)[:, k]
 
     def probe(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probe, stored) index pairs within RADIUS bits."""
-        if len(self.fps) <= SCAN:
-            near = np.bitwise_count(self.fps[:, None] ^ fps[None, :]) <= RADIUS
-            if not near.any():
-                return (np.empty(0, np.int64),) * 2
-            j, i = np.nonzero(near)
-            return i, j
+        """(probe, stored) index pairs within RADIUS bits; a pair that meets in
+        several blocks may come several times."""
+        i, j = [], []
         blocks = np.ascontiguousarray(fps).view("<u2").reshape(-1, 4).T.astype(np.intp)
-        hit = self.tables[0].take(blocks[0], mode="clip")
-        for k in range(1, BLOCKS):
-            hit |= self.tables[k].take(blocks[k], mode="clip")
-        at = np.flatnonzero(hit)
-        if not len(at):
+        for k in range(BLOCKS):
+            at = np.flatnonzero(self.tables[k].take(blocks[k], mode="clip"))
+            if not len(at):
+                continue
+            first, posted = self.posted[k]
+            lo = first[blocks[k][at]]
+            n = first[blocks[k][at] + 1] - lo
+            p = np.repeat(at, n)
+            s = posted[np.arange(len(p)) + np.repeat(lo - (np.cumsum(n) - n), n)]
+            near = np.flatnonzero(np.bitwise_count(fps[p] ^ self.fps[s]) <= RADIUS)
+            if len(near):
+                i.append(p[near])
+                j.append(s[near])
+        if not i:
             return (np.empty(0, np.int64),) * 2
-        i, j = [], []
-        for lo in range(0, len(at), SLICE):
-            part = at[lo:lo + SLICE]
-            for s in range(0, len(self.fps), 1024):
-                a, b = np.nonzero(np.bitwise_count(fps[part][:, None] ^ self.fps[None, s:s + 1024]) <= RADIUS)
-                i.append(part[a])
-                j.append(b + s)
         return np.concatenate(i), np.concatenate(j)
 
 
@@ -135,33 +143,6 @@ def size_class(n: int) -> int:
     return size
 
 
-class Anchors:
-    """Shingles of the items, some of which every copy at SIMILARITY must hold.
-
-    Such a window shares at least SIMILARITY of an item's shingles, so it cannot
-    miss any choice of more than the rest.  The item's rarest ones in the
-    benchmark are chosen."""
-
-    def __init__(self, items: list[np.ndarray]):
-        common = Counter(h for sh in items for h in set(sh.tolist()))
-        self.at: dict[int, list[int]] = {}
-        for m, sh in enumerate(items):
-            ranked = sorted(sh.tolist(), key=lambda h: (common[h], h))
-            for h in set(ranked[:len(ranked) - least_shared(len(ranked)) + 1]):
-                self.at.setdefault(h, []).append(m)
-        # hashes by their lowest bits: a table of about 64 places an anchor
-        bits = min(24, max(16, len(self.at).bit_length() + 6))
-        self.low = np.uint64((1 << bits) - 1)
-        self.table = np.zeros(1 << bits, bool)
-        self.table[(np.fromiter(self.at, np.uint64, len(self.at)) & self.low).astype(np.intp)] = True
-
-    def probe(self, shingles: np.ndarray):
-        """(position, item) of every anchor in a text."""
-        for p in np.flatnonzero(self.table.take((shingles & self.low).astype(np.intp), mode="clip")).tolist():
-            for m in self.at.get(int(shingles[p]), ()):
-                yield p, m
-
-
 def least_shared(n: int) -> int:
     """Shingles a window must share with an item of ``n`` to reach SIMILARITY."""
     t = max(1, int(SIMILARITY * n))  # rounding must not ask for one too many
@@ -173,7 +154,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, bytes]]):
         table = WordHashes()
-        self.by_length: dict[int, tuple[list, dict[int, tuple[list, HammingIndex]], Anchors]] = {}
+        self.by_length: dict[int, tuple[list, dict[int, tuple[list, HammingIndex]]]] = {}
         raw: dict[int, list] = {}
         for item, text in rows:
             w = words_of(text)
@@ -186,20 +167,27 @@ class Items:
             sizes: dict[int, list] = {}
             for m, (_, sh) in enumerate(members):
                 size = size_class(len(sh))
-                sizes.setdefault(size, []).append((m, (len(sh) - size) // 2))
+                rest = len(sh) - size
+                sizes.setdefault(size, []).extend((m, at) for at in sorted({0, rest // 2, rest}))
             index = {}
             for size, inner in sorted(sizes.items()):
                 fps = np.array([simhash(np.ascontiguousarray(members[m][1][at:at + size])) for m, at in inner], np.uint64)
                 index[size] = inner, HammingIndex(fps)
-            entries = [(item, Counter(sh.tolist()), len(sh)) for item, sh in members]
-            self.by_length[k] = entries, index, Anchors([sh for _, sh in members])
+            self.by_length[k] = [(item, Counter(sh.tolist()), len(sh)) for item, sh in members], index
 
     def matches(self, text: bytes, table: WordHashes) -> list[tuple]:
         """(item, start word, words, similarity): the best window per item."""
+        best: dict = {}
+        for item, start, n, s in self.found(text, table):
+            if item not in best or (-s, start) < (-best[item][2], best[item][0]):
+                best[item] = start, n, s
+        return [(item, *v) for item, v in best.items()]
+
+    def found(self, text: bytes, table: WordHashes):
+        """(item, start word, words, similarity) of verified windows."""
         w = words_of(text)
         hashed = np.fromiter(map(table.__getitem__, w), np.uint64, len(w))
-        best: dict = {}
-        for k, (entries, sizes, anchors) in self.by_length.items():
+        for k, (entries, sizes) in self.by_length.items():
             if len(w) < k:
                 continue
             sh = shingle_hashes(hashed, k)
@@ -208,16 +196,14 @@ class Items:
                 inner, index = sizes[size]
                 for p, j in zip(*(x.tolist() for x in index.probe(fps))):
                     m, at = inner[j]
-                    starts.setdefault(m, []).append((lo + p - at - SHIFT, lo + p - at + SHIFT))
-            for p, m in anchors.probe(sh):
-                starts.setdefault(m, []).append((p - entries[m][2] + 1, p))
+                    off = SHIFT + entries[m][2] // 8  # edits within the similarity move a window by no more
+                    starts.setdefault(m, []).append((lo + p - at - off, lo + p - at + off))
             for m, spans in starts.items():
                 item, weights, n = entries[m]
                 for first, last in merged(spans):
-                    found = best_window(weights, n, sh, first, last)
-                    if found and (item not in best or (-found[2], found[0]) < (-best[item][2], best[item][0])):
-                        best[item] = found[0], found[1] + k - 1, found[2]
-        return [(item, *v) for item, v in best.items()]
+                    hit = best_window(weights, n, sh, first, last)
+                    if hit:
+                        yield item, hit[0], hit[1] + k - 1, hit[2]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -266,23 +252,28 @@ def best_window(weights: Counter, n: int, shingles: np.ndarray, first: int, last
 
 # ------------------------------------------------------------------ operators
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, start_word, n_words, similarity): one row per document
-    and benchmark item found in it, at its best window."""
-    docs = id_text(docs, id_col, text_col)
+def item_slices(benchmark: DataFrame, item_col: str, item_text: str):
+    """The benchmark as indexes of about ITEM_BYTES of text each."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-total // ITEM_BYTES)
-    schema = "doc_id bigint, item_id bigint, start_word bigint, n_words bigint, similarity double"
-    names = ["doc_id", "item_id", "start_word", "n_words", "similarity"]
-    out = docs.sparkSession.createDataFrame([], schema)
     for part in range(passes):
         rows = (items.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == part))
                 .distinct().collect())  # at most about ITEM_BYTES of text
-        found = docs.mapInArrow(_search(Items([(r["item_id"], r["text"].encode()) for r in rows]), names), schema)
-        out = found if part == 0 else out.unionByName(found)
-    return out
+        yield Items([(r["item_id"], r["text"].encode()) for r in rows])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(doc_id, item_id, start_word, n_words, similarity): one row per document
+    and benchmark item found in it, at its best window."""
+    docs = id_text(docs, id_col, text_col)
+    schema = "doc_id bigint, item_id bigint, start_word bigint, n_words bigint, similarity double"
+    out = None
+    for items in item_slices(benchmark, item_col, item_text):
+        found = docs.mapInArrow(lean(_search(items, ["doc_id", "item_id", "start_word", "n_words", "similarity"])), schema)
+        out = found if out is None else out.unionByName(found)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def _search(items: Items, names: list[str]):
@@ -297,8 +288,15 @@ def _search(items: Items, names: list[str]):
     return run
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; rows with a
-    null id cannot be named and stay."""
-    hits = materialize(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_hit")).distinct(), "leaks")
-    return docs.join(hits, docs[id_col] == hits["_hit"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose own text holds a benchmark item: a narrow
+    filter, whatever the ids."""
+    for items in item_slices(benchmark, item_col, item_text):
+        table = WordHashes()
+
+        def clean(text: str, items=items, table=table) -> bool:
+            return next(items.found(text.encode(), table), None) is None
+
+        docs = docs.where(F.coalesce(F.arrow_udf(per_text(clean, pa.bool_()), "boolean")(F.col(text_col).cast("string")), F.lit(True)))
+    return docs
