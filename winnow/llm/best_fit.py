@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, materialize
+from winnow.llm.common import id_text, lean, materialize
 from winnow.llm.tokenizing import encoder
 
 OPEN = 1024          # open sequences of a packer
@@ -101,7 +101,7 @@ def _split_pieces(docs: DataFrame, vocab: str, end_id: int, size: int, limit: in
                 {n: pa.array([base + s for s, _ in rest] if n == "sequence_id" else [u for _, u in rest] if n == "used"
                              else [None] * len(rest), t) for n, t in zip(names, types)})
 
-    return id_text(docs).mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
+    return id_text(docs).mapInArrow(lean(run), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
                                          "sequence_id bigint, offset bigint, used int, ids binary")
 
 

@@ -22,11 +22,12 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm.common import lean, per_text, slices
+
 SPAN = 128         # bytes of a window
 HIDDEN = 8         # states a direction
 PER_LANG = 1200    # training windows a language (bound of the sample)
@@ -212,21 +213,23 @@ def keep_lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     without a label gets the predicted one (none, if there is no model)."""
     langs, params = fit(docs, id_col, text_col, lang_col)
 
-    @F.pandas_udf("boolean")
-    def lettered(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: bool(t and LETTER.search(t)))
+    lettered = F.arrow_udf(per_text(lambda t: LETTER.search(t) is not None, pa.bool_()), "boolean")
 
-    @F.pandas_udf("string")
-    def language(text: pd.Series, label: pd.Series) -> pd.Series:
-        bare = label.isna()
-        out = label.copy()
-        out[bare] = tell(langs, params, text[bare].tolist())[0]
-        return out
+    def language(texts: pa.Array, labels: pa.Array) -> pa.Array:
+        parts = []
+        for s in slices(pa.RecordBatch.from_arrays([texts, labels], names=["text", "label"])):
+            label = s.column("label").to_pylist()
+            bare = [i for i, x in enumerate(label) if x is None]
+            for i, x in zip(bare, tell(langs, params, s.column("text").take(pa.array(bare, pa.int64())).to_pylist())[0]):
+                label[i] = x
+            parts.append(pa.array(label, pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    kept = docs.where(lettered(F.col(text_col).cast("string")))
+    text = F.col(text_col).cast("string")
+    kept = docs.where(F.coalesce(lettered(text), F.lit(False)))
     if params is None or lang_col not in docs.columns:
         return kept
-    return kept.withColumn(lang_col, language(F.col(text_col).cast("string"), F.col(lang_col).cast("string")))
+    return kept.withColumn(lang_col, F.arrow_udf(language, "string")(text, F.col(lang_col).cast("string")))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -242,4 +245,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     key = F.col(id_col).cast("bigint")
     held = F.coalesce(remainder(key, 4) == 2, F.lit(False))
     return (docs.select(key.alias("doc_id"), held.alias("held_out"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double"))
+            .mapInArrow(lean(run), "doc_id bigint, held_out boolean, lang_pred string, score double"))

@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fp = np.array([fingerprint(t, shingle) for t in utf8(b)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], schema=schema)
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id bigint, fp bigint")
 
 
 # ---------------------------------------------------------------- routing tree
