@@ -20,7 +20,7 @@ Scale notes
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +58,11 @@ def config_for(threshold: float = 0.8, num_perm: int = mh.NUM_PERM, **kw) -> Ded
 DEFAULT = DedupConfig()
 
 
+def replace_id(cfg: DedupConfig, id_col: str = "doc_id") -> DedupConfig:
+    """``cfg`` for a table whose id column has been renamed."""
+    return replace(cfg, id_col=id_col)
+
+
 # --------------------------------------------------------------------------
 # shingles and signatures (narrow, per row)
 # --------------------------------------------------------------------------

@@ -9,11 +9,12 @@ from winnow.functions import minhash as mh
 from winnow.functions import text as tx
 from winnow.operators import dedup as dd
 from winnow.operators import setjoin as sj
+from winnow.operators import sigindex as si
 from winnow.plans import fixtures as fx
 from winnow.plans import oracle as O
 from winnow.plans.registry import memo, query
 from winnow.sources.io import with_ordinal
-from winnow.session import table
+from winnow.session import scratch_path, table
 
 CHAIN = O.dedup_chain()
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -85,6 +86,33 @@ def candidate_pairs(spark, sf):
     return m.where(F.col("doc_id") != F.col("cluster_id")).select(F.col("cluster_id").alias("seed"), F.col("doc_id").alias("cand"))
 
 
+# ------------------------------------------------------------------ durable index, batch by batch
+
+def indexed(spark, sf) -> si.SignatureIndex:
+    """An index on disk that got the documents in two batches by id."""
+    def build():
+        docs = normalized(spark, sf)
+        middle = table(spark, sf, "documents").agg(F.avg("doc_id")).first()[0] or 0
+        path = scratch_path(spark, "index")
+        for part in (docs.where(F.col("doc_id") <= middle), docs.where(F.col("doc_id") > middle)):
+            si.SignatureIndex(spark, path).add(part, normalized=True)
+        return si.SignatureIndex(spark, path)
+    return memo(spark, ("index", sf), build)
+
+
+@query("dedup_incremental", CHAIN + "\nSELECT doc_id, text, lang, source, n_chars FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM dropped)")
+def dedup_incremental(spark, sf):
+    """Kept documents of two batches, the second decided against the stored
+    index of the first: the same as of one run."""
+    return indexed(spark, sf).kept(normalized(spark, sf)).select(*DOC_COLS)
+
+
+@query("signature_store", "WITH " + O.docs_cte() + O.signature_ctes() + "\nSELECT doc_id, i, v FROM sig")
+def signature_store(spark, sf):
+    """The signatures of both batches, read back from the index on disk."""
+    return indexed(spark, sf).signatures().select("doc_id", F.posexplode("sig").alias("i", "v"))
+
+
 # ------------------------------------------------------------------ LSH
 
 @query("lsh_candidates", "WITH " + O.docs_cte() + O.signature_ctes() + """
