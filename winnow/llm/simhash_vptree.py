@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, materialize, utf8
+from winnow.llm.common import id_text, lean, materialize, utf8
 from winnow.llm.components import connected
 
 SEED = 42          # XXH64 seed of shingle hashes
