@@ -36,8 +36,9 @@ def test_window_hashes_equal_direct_simhash():
     sh = rng.integers(0, 2**63, 9000, dtype=np.int64).astype(np.uint64)
     for n in (3, 40, 9000):
         seen = {}
-        for size, lo, fps in dc.window_hashes(sh[:n], [2, 13, 50]):
+        for size, at, fps in dc.window_hashes(sh[:n], np.arange(n, 0, -1), [2, 13, 50]):
             seen.setdefault(size, []).extend(fps.tolist())
+            assert at.tolist() == list(range(at[0], at[0] + len(at)))
         for size in (2, 13, 50):
             w = min(size, n)
             at = range(n - w + 1) if n < 100 else list(range(0, n - w + 1, 997)) + [4095, 4096, 4097, n - w]
@@ -45,6 +46,24 @@ def test_window_hashes_equal_direct_simhash():
             assert all(seen[size][i] == dc.simhash(np.ascontiguousarray(sh[i:i + w])) for i in at)
 
 
+def test_windows_of_texts_laid_end_to_end():
+    """Each text's windows are what they are alone, across slices too."""
+    rng = np.random.default_rng(2)
+    sizes = [1, 4, 7, 40, 300, 4090, 1, 1, 13, 5000]
+    texts = [rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) for n in sizes]
+    ends = np.cumsum(sizes)
+    room = np.repeat(ends, sizes) - np.arange(ends[-1])
+    got = {}
+    for size, at, fps in dc.window_hashes(np.concatenate(texts), room, [4, 13, 260]):
+        got.setdefault(size, {}).update(zip(at.tolist(), fps.tolist()))
+    for size in (4, 13, 260):
+        want = {}
+        for t, end in zip(texts, ends.tolist()):
+            for _, at, fps in dc.window_hashes(t, np.arange(len(t), 0, -1), [size]):
+                want |= dict(zip((at + end - len(t)).tolist(), fps.tolist()))
+        assert got[size] == want and len(want) == sum(max(1, n - size + 1) for n in sizes)
+
+
 def test_index_finds_all_within_radius():
     rng = np.random.default_rng(1)
     stored = rng.integers(0, 2**63, 50, dtype=np.int64).astype(np.uint64)
@@ -140,7 +159,7 @@ def test_recall_of_edited_copies():
             for pad in (0, 40):
                 text = " ".join([prose(rng, pad), *edited(rng, w, kind), prose(rng, pad)])
                 want = best_similarity(text, " ".join(w))
-                got = {m: s for m, _, _, s in index.matches(text.encode(), table)}
+                got = {m: v[2] for m, v in index.matches([text.encode()], table)[0].items()}
                 assert set(got) <= {i} and (not got or (want >= 0.8 and got[i] == pytest.approx(want)))
                 copies += want >= 0.8
                 caught += bool(got)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, lean, per_text
+from winnow.llm.common import id_text, lean, slices, utf8
 from winnow.llm.densified_minhash import WordHashes, shingle_hashes
 
 SHINGLE = 5
@@ -60,23 +60,36 @@ def simhash(shingles: np.ndarray) -> np.uint64:
     return np.packbits(2 * ones > len(shingles), bitorder="little").view("<u8")[0]
 
 
-def window_hashes(shingles: np.ndarray, sizes: list[int]):
-    """(size, first window, fingerprints) of all windows of all sizes, slice by
-    slice; a text shorter than a window is one window."""
-    n = len(shingles)
-    top = max(sizes)
+def window_hashes(shingles: np.ndarray, room: np.ndarray, sizes: list[int]):
+    """(size, starts, fingerprints) of all windows of all sizes over texts laid
+    end to end, slice by slice; ``room``: shingles from each place to the end of
+    its text.  A text shorter than a window is one window."""
+    n, top = len(shingles), max(sizes)
+    first = np.append(True, room[1:] >= room[:-1])  # a text begins where the room does not shrink
     for lo in range(0, n, SLICE):
         part = shingles[lo:lo + SLICE + top - 1]
         bits = np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64)
         # sums modulo 2**8 or 2**16 are enough for differences below that
         total = np.zeros((len(part) + 1, 64), np.uint8 if top < 256 else np.uint16 if top < 65536 else np.int64)
         np.cumsum(bits, axis=0, out=total[1:], dtype=total.dtype)
+        here = room[lo:lo + SLICE]
+        begins = np.flatnonzero(first[lo:lo + SLICE])
         for size in sizes:
-            w = min(size, n)
-            count = min(SLICE, n - w + 1 - lo, len(part) - w + 1)
-            if count > 0:
-                ones = total[w:w + count] - total[:count]
-                yield size, lo, np.packbits((ones > w // 2).ravel(), bitorder="little").view("<u8")
+            count = min(len(here), len(part) - size + 1)
+            if count > 0:  # windows across two texts are hashed too and dropped
+                ones = total[size:size + count] - total[:count]
+                fps = np.packbits((ones > size // 2).ravel(), bitorder="little").view("<u8")
+                inside = here[:count] >= size
+                if not inside.all():
+                    at = np.flatnonzero(inside)
+                    yield size, at + lo, fps[at]
+                else:
+                    yield size, np.arange(lo, lo + count), fps
+            short = begins[here[begins] < size]
+            if len(short):
+                w = here[short]
+                ones = total[short + w] - total[short]
+                yield size, short + lo, np.packbits((ones > (w // 2)[:, None]).ravel(), bitorder="little").view("<u8")
 
 
 # ---------------------------------------------------------------- the index
@@ -175,35 +188,47 @@ class Items:
                 index[size] = inner, HammingIndex(fps)
             self.by_length[k] = [(item, Counter(sh.tolist()), len(sh)) for item, sh in members], index
 
-    def matches(self, text: bytes, table: WordHashes) -> list[tuple]:
-        """(item, start word, words, similarity): the best window per item."""
-        best: dict = {}
-        for item, start, n, s in self.found(text, table):
-            if item not in best or (-s, start) < (-best[item][2], best[item][0]):
-                best[item] = start, n, s
-        return [(item, *v) for item, v in best.items()]
-
-    def found(self, text: bytes, table: WordHashes):
-        """(item, start word, words, similarity) of verified windows."""
-        w = words_of(text)
-        hashed = np.fromiter(map(table.__getitem__, w), np.uint64, len(w))
+    def matches(self, texts: list[bytes], table: WordHashes) -> list[dict]:
+        """Per text: item -> (start word, words, similarity) of its best window."""
+        best: list[dict] = [{} for _ in texts]
+        for d, item, start, n, s in self.found(texts, table):
+            if item not in best[d] or (-s, start) < (-best[d][item][2], best[d][item][0]):
+                best[d][item] = start, n, s
+        return best
+
+    def found(self, texts: list[bytes], table: WordHashes):
+        """(text, item, start word, words, similarity) of verified windows."""
+        hashed = []
+        for text in texts:
+            w = words_of(text)
+            hashed.append(np.fromiter(map(table.__getitem__, w), np.uint64, len(w)))
         for k, (entries, sizes) in self.by_length.items():
-            if len(w) < k:
+            of = [d for d, h in enumerate(hashed) if len(h) >= k]
+            if not of:
                 continue
-            sh = shingle_hashes(hashed, k)
-            starts: dict[int, list] = {}  # item -> first and last start of windows to verify
-            for size, lo, fps in window_hashes(sh, list(sizes)):
+            parts = [shingle_hashes(hashed[d], k) for d in of]
+            ends = np.cumsum([len(p) for p in parts])
+            sh = np.concatenate(parts)
+            room = np.repeat(ends, [len(p) for p in parts]) - np.arange(len(sh))
+            starts: dict[tuple[int, int], list] = {}  # (text, item) -> first and last start of windows to verify
+            for size, at, fps in window_hashes(sh, room, list(sizes)):
                 inner, index = sizes[size]
-                for p, j in zip(*(x.tolist() for x in index.probe(fps))):
-                    m, at = inner[j]
+                i, j = index.probe(fps)
+                if not len(i):
+                    continue
+                place = at[i]
+                text = np.searchsorted(ends, place, side="right")
+                local = place - np.append(0, ends)[text]
+                for d, p, x in zip(text.tolist(), local.tolist(), j.tolist()):
+                    m, inside = inner[x]
                     off = SHIFT + entries[m][2] // 8  # edits within the similarity move a window by no more
-                    starts.setdefault(m, []).append((lo + p - at - off, lo + p - at + off))
-            for m, spans in starts.items():
+                    starts.setdefault((d, m), []).append((p - inside - off, p - inside + off))
+            for (d, m), spans in starts.items():
                 item, weights, n = entries[m]
                 for first, last in merged(spans):
-                    hit = best_window(weights, n, sh, first, last)
+                    hit = best_window(weights, n, parts[d], first, last)
                     if hit:
-                        yield item, hit[0], hit[1] + k - 1, hit[2]
+                        yield of[d], item, hit[0], hit[1] + k - 1, hit[2]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -280,8 +305,8 @@ def _search(items: Items, names: list[str]):
     def run(batches):
         table = WordHashes()
         for b in batches:
-            rows = [(d, *m) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist())
-                    if t for m in items.matches(t, table)]
+            found = items.matches(utf8(b), table)
+            rows = [(d, item, *v) for d, best in zip(b.column("doc_id").to_pylist(), found) for item, v in best.items()]
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "similarity" else pa.int64())
                                               for n, c in zip(names, cols)], names=names)
@@ -293,10 +318,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``docs`` without the rows whose own text holds a benchmark item: a narrow
     filter, whatever the ids."""
     for items in item_slices(benchmark, item_col, item_text):
-        table = WordHashes()
+        docs = docs.where(F.arrow_udf(_clean(items), "boolean")(F.col(text_col).cast("string")))
+    return docs
 
-        def clean(text: str, items=items, table=table) -> bool:
-            return next(items.found(text.encode(), table), None) is None
 
-        docs = docs.where(F.coalesce(F.arrow_udf(per_text(clean, pa.bool_()), "boolean")(F.col(text_col).cast("string")), F.lit(True)))
-    return docs
+def _clean(items: Items):
+    """Arrow function: whether a text holds none of the items (null does not)."""
+    def clean(texts: pa.Array) -> pa.Array:
+        parts, table = [], WordHashes()
+        for s in slices(texts):
+            some = [t or b"" for t in s.cast(pa.binary()).to_pylist()]
+            held = {d for d, *_ in items.found(some, table)}
+            parts.append(pa.array([d not in held for d in range(len(some))], pa.bool_()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.bool_())
+    return clean
