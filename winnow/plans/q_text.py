@@ -14,6 +14,7 @@ from winnow.plans.q_dedup import quality_sql
 from winnow.plans.registry import memo, query
 from winnow.session import scratch_path, table
 from winnow.sources import io
+from winnow.sources.lineindex import LineIndex
 from winnow.sources.lines import read_lines, write_lines
 from winnow.streaming import ingest
 
@@ -69,17 +70,37 @@ def stream_jsonl(spark, sf):
     return out.select("doc_id", "text", "source", "lang", "domain", F.array_join("tokens", " ").alias("tokens_text"), "rest", bad.alias("quarantined"))
 
 
+def line_index(spark, sf) -> LineIndex:
+    return memo(spark, ("line-index", sf), lambda: LineIndex.build(spark, jsonl_dir(spark, sf), scratch_path(spark, "line-index")))
+
+
 @query("jsonl_page", "WITH " + LINES_SQL + "\nSELECT line_no, doc_id, text FROM parsed WHERE line_no > 150 ORDER BY line_no LIMIT 200")
 def jsonl_page(spark, sf):
-    p = io.jsonl_page(parsed_lines(spark, sf), 150, 200)
-    return doc_fields(p).select("line_no", "doc_id", "text")
+    """A page by physical lines, read through the line index."""
+    return doc_fields(line_index(spark, sf).page(150, 200)).select("line_no", "doc_id", "text")
 
 
 @query("jsonl_page_valid", "WITH " + LINES_SQL + """
 SELECT line_no, doc_id, text FROM (SELECT *, row_number() OVER (ORDER BY line_no) AS k FROM parsed) WHERE k > 150 AND k <= 350""")
 def jsonl_page_valid(spark, sf):
-    p = io.jsonl_page_valid(parsed_lines(spark, sf), 150, 200)
-    return doc_fields(p).select("line_no", "doc_id", "text")
+    """A page by valid documents, read through the line index."""
+    return doc_fields(line_index(spark, sf).page_valid(150, 200)).select("line_no", "doc_id", "text")
+
+
+@query("jsonl_head", "WITH " + LINES_SQL + "\nSELECT line_no, doc_id, text FROM parsed WHERE line_no <= 300")
+def jsonl_head(spark, sf):
+    """Documents of the first 300 physical lines (the reader's row limit is the feature)."""
+    return doc_fields(line_index(spark, sf).head(300)).select("line_no", "doc_id", "text")
+
+
+@query("line_index_files", "WITH " + LINES_SQL + """
+SELECT count(*) AS lines, count(*) FILTER (WHERE kind = 'ok') AS valid, true AS sums_fit FROM lines""")
+def line_index_files(spark, sf):
+    """Totals of the index, and whether its sums before each file fit them."""
+    f = line_index(spark, sf).files()
+    last = f.agg(F.max_by(F.struct((F.col("lines_before") + F.col("lines")).alias("l"), (F.col("valid_before") + F.col("valid")).alias("v")), "path").alias("x"),
+                 F.sum("lines").alias("lines"), F.sum("valid").alias("valid"))
+    return last.select("lines", "valid", ((F.col("x.l") == F.col("lines")) & (F.col("x.v") == F.col("valid"))).alias("sums_fit"))
 
 
 @query("line_count", "WITH " + LINES_SQL + "\nSELECT count(*) AS lines FROM lines")

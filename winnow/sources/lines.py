@@ -1,10 +1,10 @@
 """Text-line sources with stable, distributed line numbers.
 
 ``spark.read.text`` keeps line order inside a file split and numbers rows
-with ``monotonically_increasing_id`` as (partition << 33) + record.  A small
-per-(file, partition) count table (bounded by the number of input splits)
-gives every split its offset, so global line numbers are computed without a
-sort and without moving lines through one task.
+with ``monotonically_increasing_id``, which has no gap inside a split.  A small
+count table per split (file, first byte) gives every split its offset in byte
+order, however the splits are packed into tasks, so global line numbers are
+computed without a sort and without moving lines through one task.
 """
 
 from __future__ import annotations
@@ -12,27 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-REC_MASK = (1 << 33) - 1
-
-
-def read_lines(spark: SparkSession, paths, per_file: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, paths, per_file: bool = False, with_split: bool = False) -> DataFrame:
     """(path, line_no, value): 1-based physical line numbers over the files
-    taken in path order (or restarting in every file with ``per_file``)."""
+    taken in path order (or restarting in every file with ``per_file``).
+    ``with_split`` keeps the split's first byte as _block."""
     if isinstance(paths, str):
         paths = [paths]
-    raw = (spark.read.text(paths)
-           .select(F.input_file_name().alias("path"), "value",
-                   F.monotonically_increasing_id().alias("_mid")))
-    raw = raw.select("path", "value", F.shiftright("_mid", 33).alias("_pid"),
-                     (F.col("_mid").bitwiseAND(F.lit(REC_MASK))).alias("_rec"))
-    splits = raw.groupBy("path", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_rec").alias("_r0"))
+    raw = spark.read.text(paths).select(F.input_file_name().alias("path"), F.col("_metadata.file_block_start").alias("_block"), "value",
+                                        F.monotonically_increasing_id().alias("_mid"))
+    splits = raw.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # offsets over the (tiny) split table: one row per file split
-    order = Window.orderBy("path", "_pid") if not per_file else Window.partitionBy("path").orderBy("_pid")
-    splits = splits.select("path", "_pid", "_r0",
-                           (F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    splits = splits.select("path", "_pid", "_r0", F.coalesce("_off", F.lit(0)).alias("_off"))
-    out = raw.join(splits, ["path", "_pid"])  # one row per split: broadcast only below the size threshold
-    return out.select("path", (F.col("_off") + F.col("_rec") - F.col("_r0") + 1).alias("line_no"), "value")
+    order = Window.orderBy("path", "_block") if not per_file else Window.partitionBy("path").orderBy("_block")
+    ahead = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("path", "_block", "_first", ahead.alias("_off"))
+    out = raw.join(splits, ["path", "_block"])  # one row per split: broadcast only below the size threshold
+    return out.select("path", *(["_block"] if with_split else []), (F.col("_off") + F.col("_mid") - F.col("_first") + 1).alias("line_no"), "value")
 
 
 def write_lines(df: DataFrame, path: str, order_col: str, value_col: str = "value",
