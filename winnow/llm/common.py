@@ -101,11 +101,21 @@ def lean(run):
     return wrapped
 
 
-def per_text(fn, kind: pa.DataType):
-    """An Arrow function (texts -> one value each; null stays null), slice by slice."""
-    def run(texts: pa.Array) -> pa.Array:
-        if isinstance(texts, pa.ChunkedArray):
-            texts = texts.combine_chunks()
-        parts = [pa.array([None if t is None else fn(t) for t in s.to_pylist()], kind) for s in slices(texts)]
-        return pa.concat_arrays(parts) if parts else pa.array([], kind)
-    return run
+def map_rows(docs: DataFrame, fn) -> DataFrame:
+    """``docs`` with every batch slice put through ``fn`` (RecordBatch -> the
+    same columns, of changed or fewer rows).  Rows pass through the worker
+    whole, so the JVM keeps no copy of them while it waits for results."""
+    schema = docs.schema
+
+    def run(batches):
+        for b in batches:
+            yield fn(b)
+    return docs.mapInArrow(lean(run), schema)
+
+
+def replaced(batch: pa.RecordBatch, col: str, values: pa.Array) -> pa.RecordBatch:
+    """The batch with one column's values replaced, in the column's own type."""
+    at = batch.schema.get_field_index(col)
+    arrays = list(batch.columns)
+    arrays[at] = values.cast(batch.schema.field(at).type)
+    return pa.RecordBatch.from_arrays(arrays, schema=batch.schema)

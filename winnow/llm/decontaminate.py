@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, lean, slices, utf8
+from winnow.llm.common import id_text, lean, map_rows, utf8
 from winnow.llm.densified_minhash import WordHashes, shingle_hashes
 
 SHINGLE = 5
@@ -46,6 +46,7 @@ RADIUS, BLOCKS = 11, 4
 GROWTH = 1.2           # ratio of neighbouring window sizes
 SLICE = 1 << 12        # windows of a text counted at once
 SHIFT = 3              # words an aligned window may be off, besides an eighth of the item
+REMEMBERED = 1 << 17   # word hashes a task remembers
 ITEM_BYTES = 1 << 20   # benchmark text of one pass
 # Fixed value: letters, digits and bytes beyond ASCII stay, A-Z are lowered, all else separates.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -303,7 +304,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def _search(items: Items, names: list[str]):
     def run(batches):
-        table = WordHashes()
+        table = WordHashes(REMEMBERED)
         for b in batches:
             found = items.matches(utf8(b), table)
             rows = [(d, item, *v) for d, best in zip(b.column("doc_id").to_pylist(), found) for item, v in best.items()]
@@ -316,19 +317,17 @@ def _search(items: Items, names: list[str]):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text: str = "text") -> DataFrame:
     """``docs`` without the rows whose own text holds a benchmark item: a narrow
-    filter, whatever the ids."""
+    pass, whatever the ids."""
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     for items in item_slices(benchmark, item_col, item_text):
-        docs = docs.where(F.arrow_udf(_clean(items), "boolean")(F.col(text_col).cast("string")))
+        docs = map_rows(docs, _clean(items, text_col))
     return docs
 
 
-def _clean(items: Items):
-    """Arrow function: whether a text holds none of the items (null does not)."""
-    def clean(texts: pa.Array) -> pa.Array:
-        parts, table = [], WordHashes()
-        for s in slices(texts):
-            some = [t or b"" for t in s.cast(pa.binary()).to_pylist()]
-            held = {d for d, *_ in items.found(some, table)}
-            parts.append(pa.array([d not in held for d in range(len(some))], pa.bool_()))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.bool_())
+def _clean(items: Items, text_col: str):
+    table = WordHashes(REMEMBERED)  # each task's own: the function travels with it
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = {d for d, *_ in items.found(utf8(batch, text_col), table)}
+        return batch.filter(pa.array([d not in held for d in range(len(batch))], pa.bool_()))
     return clean

@@ -45,8 +45,12 @@ _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))  # fixed v
 class WordHashes(dict):
     """word -> its XXH64, remembered while there is room."""
 
+    def __init__(self, limit: int = WORDS):
+        super().__init__()
+        self.limit = limit
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
+        if len(self) >= self.limit:
             self.clear()
         got = self[word] = xxhash.xxh64_intdigest(word, SEED)
         return got

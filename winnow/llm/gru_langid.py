@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import lean, per_text, slices
+from winnow.llm.common import lean, map_rows, replaced
 
 SPAN = 128         # bytes of a window
 HIDDEN = 8         # states a direction
@@ -213,23 +213,23 @@ def keep_lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     without a label gets the predicted one (none, if there is no model)."""
     langs, params = fit(docs, id_col, text_col, lang_col)
 
-    lettered = F.arrow_udf(per_text(lambda t: LETTER.search(t) is not None, pa.bool_()), "boolean")
-
-    def language(texts: pa.Array, labels: pa.Array) -> pa.Array:
-        parts = []
-        for s in slices(pa.RecordBatch.from_arrays([texts, labels], names=["text", "label"])):
-            label = s.column("label").to_pylist()
-            bare = [i for i, x in enumerate(label) if x is None]
-            for i, x in zip(bare, tell(langs, params, s.column("text").take(pa.array(bare, pa.int64())).to_pylist())[0]):
-                label[i] = x
-            parts.append(pa.array(label, pa.string()))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
-
-    text = F.col(text_col).cast("string")
-    kept = docs.where(F.coalesce(lettered(text), F.lit(False)))
-    if params is None or lang_col not in docs.columns:
-        return kept
-    return kept.withColumn(lang_col, F.arrow_udf(language, "string")(text, F.col(lang_col).cast("string")))
+    tells = params is not None and lang_col in docs.columns
+
+    def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(text_col).to_pylist()
+        some = [bool(t and LETTER.search(t)) for t in texts]
+        batch, texts = batch.filter(pa.array(some, pa.bool_())), [t for t, keep in zip(texts, some) if keep]
+        if not tells:
+            return batch
+        label = batch.column(lang_col).to_pylist()
+        bare = [i for i, x in enumerate(label) if x is None]
+        if not bare:
+            return batch
+        for i, x in zip(bare, tell(langs, params, [texts[i] for i in bare])[0]):
+            label[i] = x
+        return replaced(batch, lang_col, pa.array(label, pa.string()))
+
+    return map_rows(docs.withColumn(text_col, F.col(text_col).cast("string")), judge)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

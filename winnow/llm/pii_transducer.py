@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, lean, per_text
+from winnow.llm.common import id_text, lean, map_rows, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -297,9 +297,10 @@ def masked(text: str) -> str:
 def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with personal data masked; a length column, if there is one,
     follows the new text.  Null text stays null."""
-    masked_text = F.arrow_udf(per_text(masked, pa.string()), "string")(F.col(text_col).cast("string"))
-    out = docs.select(*[masked_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
-    if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.length(text_col).cast(kind))
-    return out
+    def mask(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [None if t is None else masked(t) for t in batch.column(text_col).to_pylist()]
+        if length_col in batch.schema.names:
+            batch = replaced(batch, length_col, pa.array([None if t is None else len(t) for t in texts], pa.int64()))
+        return replaced(batch, text_col, pa.array(texts, pa.string()))
+
+    return map_rows(docs.withColumn(text_col, F.col(text_col).cast("string")), mask)
