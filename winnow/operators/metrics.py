@@ -4,18 +4,20 @@ BLEU and ROUGE-1/2 are n-gram count joins: grams of both sides are exploded
 per pair, counted per (pair, n, gram) -- each pair's grams come from one row,
 so the partial aggregate collapses them before the shuffle -- clipped with
 ``least`` and summed.  ROUGE-L needs an LCS per pair: a small bit-parallel
-Arrow UDF helper.  Greedy embedding matching uses array functions per row.
+Arrow UDF helper.  Greedy embedding matching multiplies tiles of the two sides.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from winnow.functions import text as tx
 from winnow.operators.partitioning import range_parts, spread
+from winnow.session import checkpoint_dir
 
 MAX_ORDER = 4
 # The public "13a" BLEU tokenizer -- entity unescapes, then
@@ -203,28 +205,64 @@ def perplexity(logprobs: DataFrame, by: str = "seq_id") -> DataFrame:
     return logprobs.groupBy(by).agg(F.round(F.exp(-F.avg("logprob")), 6).alias("perplexity"), F.count(F.lit(1)).alias("tokens"))
 
 
-def greedy_match_f1(vectors: DataFrame, group_col: str, side_col: str) -> DataFrame:
+TILE = 1024  # vectors of one side that meet in a row
+
+
+@F.arrow_udf(StructType([StructField(n, ArrayType(DoubleType())) for n in ("c", "r")]))
+def _best_of_tiles(cs: pa.Array, rs: pa.Array) -> pa.Array:
+    """Per pair of tiles: each candidate's best product with a reference, and
+    the converse."""
+    best_c, best_r = [], []
+    for c, r in zip(cs, rs):
+        a, b = (np.array(x.values.flatten().to_numpy(zero_copy_only=False)).reshape(len(x), -1) for x in (c, r))
+        m = a @ b.T
+        best_c.append(m.max(axis=1))
+        best_r.append(m.max(axis=0))
+    kind = pa.list_(pa.float64())
+    return pa.StructArray.from_arrays([pa.array(best_c, kind), pa.array(best_r, kind)], names=["c", "r"])
+
+
+def greedy_match_f1(vectors: DataFrame, group_col: str, side_col: str, tile: int = TILE) -> DataFrame:
     """Greedy cosine matching between the candidate (side = 0) and reference
     (side = 1) token vectors of each group: precision = mean over candidate
     tokens of the best cosine to a reference token, recall the converse,
-    F1 = 2PR/(P+R).  Group sizes are bounded by the caller (sentence length)."""
+    F1 = 2PR/(P+R).
+
+    A group's sides are dealt into tiles of about ``tile`` vectors, every pair
+    of tiles is one row and gives a partial best for each of its vectors, and
+    the partial bests are aggregated by max: no row or task holds a group."""
     def unit(v):
         nrm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
         return F.transform(v, lambda x: x / nrm)
 
-    g = vectors.select(group_col, side_col, unit(F.col("embedding").cast("array<double>")).alias("u")) \
-        .groupBy(group_col).agg(F.collect_list(F.when(F.col(side_col) == 0, F.col("u"))).alias("c"),
-                                F.collect_list(F.when(F.col(side_col) == 1, F.col("u"))).alias("r"))
-
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-
-    def best_mean(xs, ys):
-        best = F.transform(xs, lambda a: F.array_max(F.transform(ys, lambda b: dot(a, b))))
-        return F.aggregate(best, F.lit(0.0), lambda s, v: s + v) / F.size(xs)
-
-    p, r = best_mean(F.col("c"), F.col("r")), best_mean(F.col("r"), F.col("c"))
-    both = (F.size("c") > 0) & (F.size("r") > 0)  # a group without one side matches nothing: all zero
-    out = g.select(group_col, F.when(both, p).otherwise(0.0).alias("p"), F.when(both, r).otherwise(0.0).alias("r"))
+    checkpoint_dir(vectors.sparkSession)
+    v = vectors.select(F.col(group_col).alias("g"), F.col(side_col).cast("int").alias("side"),
+                       unit(F.col("embedding").cast("array<double>")).alias("u"))
+    v = v.withColumn("id", F.monotonically_increasing_id()).checkpoint(eager=True)  # the numbers stay as they are
+    sizes = v.groupBy("g", "side").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    dealt = v.join(sizes, ["g", "side"]).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    blocks = dealt.groupBy("g", "side", "tile").agg(F.collect_list(F.struct("id", "u")).alias("b"))  # about ``tile`` vectors
+    pick = lambda side, name: blocks.where(F.col("side") == side).select("g", F.col("tile").alias(f"t{name}"), F.col("b").alias(name))
+    pairs = pick(0, "c").join(pick(1, "r"), "g")
+    pairs = pairs.repartition(range_parts(pairs), "g", "tc", "tr").select(
+        "g", "c.id", F.col("r.id").alias("rid"), _best_of_tiles(F.col("c.u"), F.col("r.u")).alias("best"))
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.arrays_zip(F.col("id").alias("id"), F.col("best.c").alias("best")).alias("z")),
+                    F.struct(F.lit(1).alias("side"), F.arrays_zip(F.col("rid").alias("id"), F.col("best.r").alias("best")).alias("z")))
+    partial = pairs.select("g", F.explode(sides).alias("s")).select("g", "s.side", F.explode("s.z").alias("z")).select("g", "side", "z.id", "z.best")
+    best = partial.groupBy("g", "side", "id").agg(F.max("best").alias("best")).groupBy("g").agg(
+        F.avg(F.when(F.col("side") == 0, F.col("best"))).alias("p"), F.avg(F.when(F.col("side") == 1, F.col("best"))).alias("r"))
+    # a group without one side matches nothing: all zero
+    out = v.select("g").distinct().join(best, "g", "left").select(
+        F.col("g").alias(group_col), F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("r", F.lit(0.0)).alias("r"))
     f1 = F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
     return out.select(group_col, F.round("p", 6).alias("precision"), F.round("r", 6).alias("recall"), F.round(f1, 6).alias("f1"))
+
+
+def summary(pairs: DataFrame, vectors: DataFrame | None = None, group_col: str = "grp", side_col: str = "side") -> DataFrame:
+    """The metric row: bleu, rouge1, rouge2, rougeL and, with token vectors, the
+    mean greedy-match F1 (null without)."""
+    b = bleu_corpus(pairs).select("bleu").scalar()
+    rl = rouge_l(pairs).select("rougeL").scalar()
+    gm = F.lit(None).cast("double") if vectors is None else \
+        greedy_match_f1(vectors, group_col, side_col).select(F.round(F.avg("f1"), 6)).scalar()
+    return rouge_n(pairs).select(b.alias("bleu"), "rouge1", "rouge2", rl.alias("rougeL"), gm.alias("bert_score_f1"))

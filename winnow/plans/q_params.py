@@ -146,12 +146,26 @@ def rouge_n(spark, sf):
     return me.rouge_n(fx.pairs(spark, sf))
 
 
-@query("rouge_l")
+# The longest common subsequence is the longest strictly increasing run of match positions (each word's own
+# positions from the last to the first); the fold keeps the smallest end of every length.
+ROUGE_L_SQL = "WITH " + PAIRS_SQL + f"""
+, tk AS (SELECT pair_id, {ROUGE_TOK.format(x="prediction")} AS h, {ROUGE_TOK.format(x="reference")} AS r
+         FROM pairs WHERE reference IS NOT NULL AND prediction IS NOT NULL),
+tl AS (SELECT pair_id, CASE WHEN h = '' THEN [] ELSE string_split(h, ' ') END AS h, CASE WHEN r = '' THEN [] ELSE string_split(r, ' ') END AS r FROM tk),
+mt AS (SELECT pair_id, len(h) AS nh, len(r) AS nr, list_transform(flatten(list_transform(h, lambda t:
+              list_reverse(list_filter(range(1, len(r) + 1), lambda j: r[j] = t)))), lambda j: [j]) AS js FROM tl),
+ln AS (SELECT pair_id, nh, nr, CASE WHEN len(js) = 0 THEN 0 ELSE len(list_reduce(js, lambda e, j:
+              list_concat(list_append(list_filter(e, lambda x: x < j[1]), j[1]), list_filter(e, lambda x: x >= j[1])[2:]))) END AS lcs FROM mt),
+fs AS (SELECT CASE WHEN lcs = 0 THEN 0.0 ELSE 2.0 * (lcs / nh) * (lcs / nr) / (lcs / nh + lcs / nr) END AS f FROM ln)
+SELECT round(coalesce(sum(f), 0) / greatest(count(*), 1), 6) AS rougeL FROM fs"""
+
+
+@query("rouge_l", ROUGE_L_SQL)
 def rouge_l(spark, sf):
     return me.rouge_l(fx.pairs(spark, sf))
 
 
-@query("greedy_match_f1", """
+GREEDY_SQL = """
 WITH v AS (SELECT vec_id, vec_id // 8 AS grp, (vec_id % 8) >= 4 AS is_ref,
                   list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y)))) AS u
            FROM embeddings),
@@ -160,11 +174,34 @@ pr AS (SELECT a.grp, a.is_ref, max(list_sum(list_transform(list_zip(a.u, b.u), l
 pq AS (SELECT g.grp, coalesce(avg(best) FILTER (WHERE NOT is_ref), 0) AS p, coalesce(avg(best) FILTER (WHERE is_ref), 0) AS r
        FROM (SELECT DISTINCT grp FROM v) g LEFT JOIN pr USING (grp) GROUP BY g.grp)
 SELECT grp, round(p, 6) AS "precision", round(r, 6) AS recall,
-       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM pq""")
-def greedy_match_f1(spark, sf):
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1 FROM pq"""
+
+
+def token_vectors(spark, sf):
+    """Blocks of eight embeddings: four candidate and four reference vectors."""
     e = table(spark, sf, "embeddings")
-    v = e.select(F.floor(F.col("vec_id") / 8).cast("bigint").alias("grp"),
-                 (F.col("vec_id") % 8 >= 4).cast("int").alias("side"), "embedding")
+    return e.select(F.floor(F.col("vec_id") / 8).cast("bigint").alias("grp"), (F.col("vec_id") % 8 >= 4).cast("int").alias("side"), "embedding")
+
+
+@query("greedy_match_f1", GREEDY_SQL)
+def greedy_match_f1(spark, sf):
+    return me.greedy_match_f1(token_vectors(spark, sf), "grp", "side")
+
+
+@query("greedy_match_lang", """
+WITH v AS (SELECT doc.lang AS grp, vec_id % 2 AS side, vec_id,
+                  list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y)))) AS u
+           FROM embeddings JOIN (SELECT doc_id, lang FROM documents) doc ON doc.doc_id = vec_id % (SELECT count(*) FROM documents)),
+pr AS (SELECT a.grp, a.side, max(list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2]))) AS best
+       FROM v a JOIN v b ON a.grp = b.grp AND a.side <> b.side GROUP BY a.grp, a.side, a.vec_id),
+pq AS (SELECT grp, avg(best) FILTER (WHERE side = 0) AS p, avg(best) FILTER (WHERE side = 1) AS r FROM pr GROUP BY grp)
+SELECT grp, round(p, 6) AS "precision", round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM pq""")
+def greedy_match_lang(spark, sf):
+    """Few, large groups: all vectors of a language against each other, by tiles."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    n = docs.select(F.count(F.lit(1))).scalar()
+    e = table(spark, sf, "embeddings").withColumn("doc_id", F.col("vec_id") % n)
+    v = e.join(docs, "doc_id").select(F.col("lang").alias("grp"), (F.col("vec_id") % 2).alias("side"), "embedding")
     return me.greedy_match_f1(v, "grp", "side")
 
 
@@ -214,12 +251,17 @@ def perplexity(spark, sf):
     return me.perplexity(fx.token_logprobs(spark, sf))
 
 
-@query("eval_summary")
+SUMMARY_SQL = f"""
+SELECT (SELECT bleu FROM ({BLEU_SQL})) AS bleu, r.rouge1, r.rouge2, (SELECT rougeL FROM ({ROUGE_L_SQL})) AS rougeL,
+       (SELECT round(avg(f1), 6) FROM ({GREEDY_SQL})) AS bert_score_f1
+FROM ({ROUGE_SQL}) r"""
+
+
+@query("eval_summary", SUMMARY_SQL)
 def eval_summary(spark, sf):
-    """One metric row: bleu, rouge1/2/L and the greedy-match F1 mean."""
-    p = fx.pairs(spark, sf)
-    b = me.bleu_corpus(p).select("bleu").scalar()
-    r = me.rouge_n(p)
-    rl = me.rouge_l(p).select("rougeL").scalar()
-    gm = greedy_match_f1(spark, sf).select(F.round(F.avg("f1"), 6)).scalar()
-    return r.select(b.alias("bleu"), "rouge1", "rouge2", rl.alias("rougeL"), gm.alias("bert_score_f1"))
+    """The metric row as written (CSV and JSON) and read back; both must agree."""
+    out = scratch_path(spark, "eval-summary")
+    io.write_metrics(me.summary(fx.pairs(spark, sf), token_vectors(spark, sf)), out)
+    schema = "bleu double, rouge1 double, rouge2 double, rougeL double, bert_score_f1 double"
+    csv = spark.read.schema(schema).option("header", True).csv(f"{out}/csv")
+    return csv.intersect(spark.read.schema(schema).json(f"{out}/json"))
