@@ -71,7 +71,7 @@ def schema_missing(required=REQUIRED_FIELDS) -> Column:
 
 SAMPLES = 5         # sample documents of a report
 LISTED_ERRORS = 100  # line numbers a report lists; ``jsonl_errors`` has all
-LISTED_NAMES = 1000  # field names a report lists
+LISTED_NAMES = 1000  # field names a report lists; ``jsonl_field_names`` has all
 
 
 def jsonl_errors(lines: DataFrame, value_col: str = "value", order_col: str = "line_no") -> DataFrame:
@@ -87,6 +87,13 @@ def jsonl_samples(lines: DataFrame, n: int = SAMPLES, value_col: str = "value",
     return p.where(F.col("_v").isNotNull() & ~F.col("_blank")).orderBy(order_col).limit(n).select(order_col, value_col)
 
 
+def jsonl_field_names(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """(name, n) of every key of the JSON objects, with the lines that have it."""
+    p = parse(lines, value_col)
+    keys = F.when(p["_v"].isNotNull() & ~p["_blank"] & p["_obj"], F.json_object_keys(F.to_json(p["_v"])))
+    return p.select(F.explode(keys).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def jsonl_report(lines: DataFrame, max_lines: int | None = 100, value_col: str = "value",
                  order_col: str = "line_no") -> DataFrame:
     """One-row format report over the first ``max_lines`` lines of the

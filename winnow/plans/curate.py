@@ -68,13 +68,15 @@ def dedup_job(spark: SparkSession, inputs, out_dir: str, required=("text",), fie
     parsed = va.parse(lines).where(~F.col("_blank") & F.col("_v").isNotNull())
     ok, _ = va.row_validity(list(required))
     docs = dd.normalize_docs(_typed(parsed.where(ok), fields))
-    docs = dd._reliable(docs)  # read by the cleaned copy, the index and the outputs
+    docs.write.mode("overwrite").parquet(f"{out}/cleaned")  # read by the cleaned copy, the index and the outputs
+    docs = spark.read.schema(docs.schema).parquet(f"{out}/cleaned")
 
     write_lines(document_lines(docs), f"{out}/dedup_ready", "doc_id")
     document_lines(docs.orderBy("doc_id").limit(5)).select("value").coalesce(1).write.mode("overwrite").text(f"{out}/sample_preview")
 
     res = dd.deduplicate(docs, cfg, strategy)
-    write_lines(document_lines(res.kept), f"{out}/kept", "doc_id")
+    # ranges are cut by the ids of the cleaned documents, so the removal join is not run a second time to sample them
+    write_lines(document_lines(res.kept), f"{out}/kept", "doc_id", ids=docs.select("doc_id"))
     if spark.read.text(f"{out}/kept").limit(1).count() == 0:
         raise RuntimeError(f"no document was kept in {out}/kept")  # output gate
     pairs = res.members.where(F.col("doc_id") != F.col("cluster_id")).select(
@@ -104,9 +106,7 @@ def convert_job(spark: SparkSession, inputs, out_dir: str, fields=va.DOC_SCHEMA,
     schema = io.schema_from_config(fields)
     typed = parsed.select(*[F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
                             for f in schema.fields])
-    typed = typed.withColumn(domain_col, F.coalesce(F.col(domain_col), F.lit("unknown")))
-    (typed.write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", max_records)
-          .partitionBy(domain_col).parquet(out))
+    io.write_by_domain(typed, out, domain_col, max_records, compression)
     io.schema_listing(spark, schema).select(F.concat_ws(":", "name", "type").alias("value")) \
         .coalesce(1).write.mode("overwrite").text(out + "_schema")
     back = spark.read.parquet(out)

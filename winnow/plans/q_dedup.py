@@ -10,6 +10,7 @@ from winnow.functions import text as tx
 from winnow.operators import dedup as dd
 from winnow.operators import setjoin as sj
 from winnow.operators import sigindex as si
+from winnow.operators.partitioning import spread
 from winnow.plans import fixtures as fx
 from winnow.plans import oracle as O
 from winnow.plans.registry import memo, query
@@ -367,7 +368,7 @@ def _chunked(spark, sf):
     def build():
         d = valid_docs(spark, sf).select("doc_id", "text")
         o = with_ordinal(d.select("doc_id"), "doc_id", "rank")
-        d = d.join(o.select("doc_id", F.floor((F.col("rank") - 1) / 100).cast("bigint").alias("chunk")), "doc_id")
+        d = spread(d).join(o.select("doc_id", F.floor((F.col("rank") - 1) / 100).cast("bigint").alias("chunk")), "doc_id")
         cfg = dd.DedupConfig(scope_col="chunk")
         return d, dd.deduplicate(d, cfg, normalized=False)
     return memo(spark, ("chunked", sf), build)

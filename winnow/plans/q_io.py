@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from winnow.functions import scoring
 from winnow.operators import validate as va
 from winnow.plans import fixtures as fx
+from winnow.plans import flow
 from winnow.plans import oracle as O
 from winnow.plans.q_dedup import flagship, normalized
+from winnow.plans.q_params import PARAMS_SQL
 from winnow.plans.q_text import CORPUS_SQL, LINES_SQL, jsonl_dir
 from winnow.plans.registry import memo, query
 from winnow.session import scratch_path, table
@@ -199,6 +201,86 @@ def run_log(spark, sf):
                       (F.col("processing_time").cast("double") > 0).alias("timed"))
 
 
+# ------------------------------------------------------------------ all phases in one run
+
+def flow_inputs(spark, sf) -> dict:
+    """The files the phases start from: JSON lines, parameter, weight and pair tables."""
+    def build():
+        at = {n: scratch_path(spark, f"flow-{n}") for n in ("docs", "params", "weights", "pairs")}
+        write_lines(job_lines(spark, sf), at["docs"], "line_no")
+        fx.params(spark, sf).write.parquet(at["params"])
+        fx.model_weights(spark).write.parquet(at["weights"])
+        fx.pairs(spark, sf).write.parquet(at["pairs"])
+        return at
+    return memo(spark, ("flow-inputs", sf), build, fixture=True)
+
+
+def flow_run(spark, sf):
+    """(root, rows of the first run, rows of a second run on the same root)."""
+    def build():
+        root = scratch_path(spark, "flow")
+        run = lambda: flow.run_stages(spark, flow.phases(), flow_inputs(spark, sf), root).collect()
+        return root, run(), run()
+    return memo(spark, ("flow", sf), build)
+
+
+FLOW_SQL = KEPT_SQL + ", " + PARAMS_SQL + """
+SELECT 'dedup' AS phase, count(*) AS rows, true AS reused_by_a_second_run FROM kept
+UNION ALL SELECT 'convert', count(*), true FROM kept
+UNION ALL SELECT 'delta', count(*), true FROM params WHERE model <> 'base' AND name IN (SELECT name FROM params WHERE model = 'base')
+UNION ALL SELECT 'merge', count(*), true FROM params WHERE model = 'base'
+UNION ALL SELECT 'metrics', 1, true"""
+
+
+@query("flow_phases", FLOW_SQL)
+def flow_phases(spark, sf):
+    """Rows of every phase's output, and whether a second run took it from the
+    first by its manifest."""
+    _, first, second = flow_run(spark, sf)
+    rows = [(a.phase, a.rows, b.reused and not a.reused) for a, b in zip(first, second)]
+    return spark.createDataFrame(rows, "phase string, rows bigint, reused_by_a_second_run boolean")
+
+
+@query("flow_domains", KEPT_SQL + """
+SELECT 'unknown' AS domain, lang, source, count(*) AS documents, sum(length(text))::BIGINT AS chars FROM kept GROUP BY lang, source""")
+def flow_domains(spark, sf):
+    """The kept documents as the flow's second phase wrote them, by domain folder."""
+    root, _, _ = flow_run(spark, sf)
+    back = spark.read.option("recursiveFileLookup", "false").parquet(f"{root}/convert/*/parquet")
+    return back.groupBy("domain", "lang", "source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("candidate_sink", O.dedup_chain() + "\nSELECT cid AS seed, m AS cand FROM clusters WHERE m <> cid")
+def candidate_sink(spark, sf):
+    """The candidate pairs that the dedup job wrote, read back (ids are line numbers)."""
+    pairs = spark.read.schema("seed bigint, cand bigint").json(job_output(spark, sf) + "/candidates")
+    return pairs.select((F.col("seed") - 1).alias("seed"), (F.col("cand") - 1).alias("cand"))
+
+
+@query("stats_sink", KEPT_SQL + """
+SELECT count(*) AS original_count, (SELECT count(*) FROM kept) AS deduplicated_count, count(*) - (SELECT count(*) FROM kept) AS removed_count,
+       (SELECT count(*) FROM seeds) AS duplicate_clusters,
+       CASE WHEN count(*) > 0 THEN round((count(*) - (SELECT count(*) FROM kept)) / count(*), 6) ELSE 0.0 END AS deduplication_rate FROM docs""")
+def stats_sink(spark, sf):
+    """The statistics that the dedup job wrote, read back."""
+    return spark.read.schema("original_count bigint, deduplicated_count bigint, removed_count bigint, duplicate_clusters bigint, "
+                             "deduplication_rate double").json(job_output(spark, sf) + "/stats")
+
+
+@query("training_texts", """
+WITH d AS (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM documents WHERE text IS NOT NULL)
+SELECT batch, count(*) AS texts, min(doc_id) AS first_id, sum(length(text))::BIGINT AS chars, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS digest
+FROM d GROUP BY batch""")
+def training_texts(spark, sf):
+    """Batches of 16 texts in file order (the batch size is the feature), each
+    one row with its texts."""
+    docs = table(spark, sf, "documents").where(F.col("text").isNotNull()).select("doc_id", "text")
+    b = io.text_batches(docs, "doc_id", 16)
+    return b.select("batch", F.size("texts").cast("bigint").alias("texts"), "first_id",
+                    F.aggregate("texts", F.lit(0).cast("bigint"), lambda a, t: a + F.length(t)).alias("chars"),
+                    F.md5(F.array_join("texts", "\n").cast("binary")).alias("digest"))
+
+
 @query("training_batches", "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM documents WHERE text IS NOT NULL")
 def training_batches(spark, sf):
     """Texts of parseable rows in file order, numbered into batches of 16."""

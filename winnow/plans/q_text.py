@@ -126,6 +126,14 @@ def validate_jsonl_report(spark, sf):
     return va.jsonl_report(read_lines(spark, jsonl_dir(spark, sf)), 100)
 
 
+@query("jsonl_field_names", "WITH " + LINES_SQL + """
+SELECT name, count(*) AS n FROM (SELECT unnest(list_concat(['doc_id', 'text', 'lang', 'domain', 'tokens', 'ts_raw'],
+                                                          CASE WHEN no_source THEN [] ELSE ['source'] END)) AS name FROM parsed) GROUP BY name""")
+def jsonl_field_names(spark, sf):
+    """Every key of the corpus, however many there are, with its lines."""
+    return va.jsonl_field_names(spark.read.text(jsonl_dir(spark, sf)))
+
+
 @query("validate_rows", "WITH " + LINES_SQL + """
 SELECT line_no, reason = '' AS ok, reason FROM (
   SELECT line_no, CASE WHEN text IS NULL OR text = '' THEN 'Missing or empty field: text'

@@ -53,20 +53,32 @@ def jsonl_page(parsed: DataFrame, start_line: int, batch_size: int) -> DataFrame
 
 def with_ordinal(df: DataFrame, order_col: str, name: str = "ordinal") -> DataFrame:
     """1-based rank by ``order_col`` without a single-task window: range
-    partition, count per partition (a table bounded by the partition count),
-    offset each partition, number rows inside it.  The frame is
-    checkpointed, so pass the key columns only and join/filter back."""
+    partition, sort and number inside the partitions, count per partition (a
+    table bounded by the partition count), offset each partition.  One shuffle;
+    the numbered rows are checkpointed, so pass the key columns only and
+    join/filter back."""
     from pyspark.sql import Window
-    part = df.repartitionByRange(range_parts(df), order_col).withColumn("_pid", F.spark_partition_id())
+
     from winnow.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    part = part.checkpoint(eager=True)  # freeze range bounds before counting
+    part = (df.repartitionByRange(range_parts(df), order_col).sortWithinPartitions(order_col)
+            .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    part = part.withColumns({"_pid": F.shiftright("_mid", 33), "_rec": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))})
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                                            F.lit(0)).alias("_off"))
-    inner = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
-    return (part.join(offs, "_pid").withColumn(name, F.col("_off") + inner)
-            .drop("_pid", "_off"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return part.join(offs, "_pid").withColumn(name, F.col("_off") + F.col("_rec") + 1).drop("_pid", "_off", "_mid", "_rec")
+
+
+def text_batches(docs: DataFrame, id_col: str, size: int, text_col: str = "text") -> DataFrame:
+    """(batch, first_id, texts): the texts in id order, ``size`` to a batch, the
+    last one partial.  Only ids are ranked; a batch is gathered by its number,
+    ``size`` texts at most."""
+    rank = with_ordinal(docs.select(F.col(id_col).alias("_id")), "_id", "_rank")
+    batch = F.floor((F.col("_rank") - 1) / size).cast("bigint")
+    rows = docs.join(rank.select(F.col("_id").alias(id_col), batch.alias("batch")), id_col)
+    got = rows.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("i"), F.col(text_col).alias("t")))).alias("x"))
+    return got.select("batch", F.col("x")[0]["i"].alias("first_id"), F.transform("x", lambda x: x["t"]).alias("texts"))
 
 
 def jsonl_page_valid(parsed: DataFrame, start: int, batch_size: int) -> DataFrame:
@@ -206,7 +218,8 @@ def rewrite_parquet(df: DataFrame, out: str, row_group_rows: int = 100_000, sort
        .option("parquet.statistics.enabled", "true").parquet(out))
 
 
-def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_records: int = 100_000) -> None:
+def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_records: int = 100_000,
+                    compression: str = "zstd") -> None:
     """One directory per domain (missing -> 'unknown'), files of about
     ``max_records`` rows at most; readers prune partitions by domain.
 
@@ -218,7 +231,8 @@ def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_rec
     salt = F.floor(F.rand(7) * F.col("_files")).cast("int")
     dealt = d.join(files, domain_col).withColumn("_salt", salt).drop("_files")
     (dealt.repartition(domain_col, "_salt").drop("_salt").select(*d.columns)
-     .write.mode("overwrite").partitionBy(domain_col).option("maxRecordsPerFile", max_records).parquet(out))
+     .write.mode("overwrite").partitionBy(domain_col).option("compression", compression)
+     .option("maxRecordsPerFile", max_records).parquet(out))
 
 
 # ---------------------------------------------------------------- files

@@ -30,10 +30,21 @@ def read_lines(spark: SparkSession, paths, per_file: bool = False, with_split: b
 
 
 def write_lines(df: DataFrame, path: str, order_col: str, value_col: str = "value",
-                partitions: int | None = None) -> None:
-    """Write one text line per row, files and lines in ``order_col`` order
-    (range partitioning: every task writes one ordered slice)."""
+                partitions: int | None = None, ids: DataFrame | None = None) -> None:
+    """Write one text line per row, files and lines in ``order_col`` order:
+    every task writes one ordered slice.
+
+    A range partitioning samples its input, which runs a costly ``df`` twice.
+    With ``ids``, a cheap table of (at least) the values of a numeric order
+    column, the cuts come from a sketch of those instead, and ``df`` runs once."""
     from winnow.operators.partitioning import range_parts
     n = partitions or range_parts(df)
-    (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-       .select(value_col).write.mode("overwrite").text(path))
+    if ids is None:
+        out = df.repartitionByRange(n, order_col)
+    else:
+        probs = [i / n for i in range(1, n)]
+        cuts = ids.agg(F.percentile_approx(order_col, probs, 100 * n).alias("q")).first()["q"] if probs else None
+        edges = F.array(*[F.lit(c) for c in sorted(set(cuts or []))])
+        slot = F.size(F.filter(edges, lambda c: c < F.col(order_col))) if cuts else F.lit(0)
+        out = df.withColumn("_slot", slot).repartitionById(n, F.col("_slot")).drop("_slot")
+    out.sortWithinPartitions(order_col).select(value_col).write.mode("overwrite").text(path)
