@@ -77,6 +77,34 @@ def parquet_rewrite(spark, sf):
     return spark.read.parquet(out).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
+@query("parquet_clustered", """
+SELECT 'sorted' AS layout, count(*) AS rows, 'SNAPPY' AS codec, count(*) FILTER (WHERE l_partkey BETWEEN 20 AND 40 AND l_suppkey BETWEEN 2 AND 4) AS found,
+       false AS skips_more FROM lineitem
+UNION ALL SELECT 'clustered', count(*), 'SNAPPY', count(*) FILTER (WHERE l_partkey BETWEEN 20 AND 40 AND l_suppkey BETWEEN 2 AND 4), true FROM lineitem""")
+def parquet_clustered(spark, sf):
+    """A table rewritten along the Z-order curve over two columns against the
+    same rows sorted by a third: rows, codec, rows found by a filter on the two,
+    and which layout lets a reader skip more row groups."""
+    d = table(spark, sf, "lineitem")
+    wanted = {"l_partkey": (20, 40), "l_suppkey": (2, 4)}
+    group = 500
+    out = {}
+    for layout, how in (("sorted", {"sort_col": "l_orderkey"}), ("clustered", {"cluster_by": list(wanted)})):
+        path = scratch_path(spark, f"rewrite-{layout}")
+        io.rewrite_parquet(d, path, group, files=4, **how)
+        out[layout] = path
+    read = {k: io.row_groups(spark, p, wanted).agg(F.count_if("hit").alias("n"), F.sum("rows").alias("rows"), F.max("codec").alias("codec"),
+                                                   F.min("codec").alias("low")) for k, p in out.items()}
+    both = None
+    for layout, other in (("sorted", "clustered"), ("clustered", "sorted")):
+        back = spark.read.parquet(out[layout]).where(F.col("l_partkey").between(20, 40) & F.col("l_suppkey").between(2, 4))
+        row = read[layout].select(F.lit(layout).alias("layout"), "rows", F.when(F.col("codec") == F.col("low"), F.col("codec")).alias("codec"),
+                                  back.select(F.count(F.lit(1))).scalar().alias("found"),
+                                  (F.col("n") < read[other].select("n").scalar()).alias("skips_more"))
+        both = row if both is None else both.unionByName(row)
+    return both
+
+
 def _by_domain(spark, sf):
     def build():
         out = scratch_path(spark, "bydomain")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions import scoring
 from winnow.functions import text as tx
+from winnow.operators import profile as pf
 from winnow.operators import stats as st
 from winnow.operators import validate as va
 from winnow.plans import fixtures as fx
@@ -299,3 +300,47 @@ def parse_timestamps(spark, sf):
     return c.select("doc_id", scoring.parse_timestamp(F.col("ts_raw")).alias("ts"),
                     scoring.parse_timestamp(number, numeric=True).alias("from_number"),
                     scoring.parse_timestamp_variant(F.col("_t")).alias("from_json"))
+
+
+# ------------------------------------------------------------------ mergeable statistics
+
+def profile_store(spark, sf):
+    """Sketch rows per file and domain, written once; reports read only these."""
+    def build():
+        path = scratch_path(spark, "profile")
+        c = fx.corpus(spark, sf).withColumn("file", F.lit("documents.parquet"))
+        pf.profile_rows(c, ["file", "domain"], ["text", "lang", "source"], top=("lang", "source")).write.parquet(path)
+        return path
+    return memo(spark, ("profile", sf), build)
+
+
+@query("profile_merged", "WITH " + CORPUS_SQL + """
+, l AS (SELECT unnest([{'f': 'text', 'v': text}, {'f': 'lang', 'v': lang}, {'f': 'source', 'v': source}]) AS s FROM corpus),
+v AS (SELECT s.f AS field, nullif(s.v, '') AS v FROM l)
+SELECT field, count(*) AS rows, count(v) AS covered, round(count(v) / count(*), 6) AS coverage, coalesce(sum(length(v)), 0)::BIGINT AS chars,
+       min(length(v)) AS min_len, max(length(v)) AS max_len, true AS distinct_within, true AS median_within, true AS most_frequent_exact
+FROM v GROUP BY field""")
+def profile_merged(spark, sf):
+    """Statistics merged from stored sketch rows: exact figures, and whether the
+    estimates lie within their stated errors of the exact ones."""
+    rows = spark.read.parquet(profile_store(spark, sf))
+    merged = pf.report(pf.merge_rows(rows), (0.5,), 3)
+    c = fx.corpus(spark, sf).select("text", "lang", "source")
+    long = c.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.nullif(F.col(f), F.lit("")).alias("v")) for f in c.columns])).alias("s")).select("s.*")
+    exact = long.groupBy("field").agg(F.count_distinct("v").alias("d"), F.max(F.when(F.col("field") == "text", None).otherwise(F.lit(1))).alias("short"))
+    ranks = long.join(merged.select("field", F.col("length_quantiles")[0].alias("m")), "field").groupBy("field").agg(
+        F.avg((F.length("v") < F.col("m")).cast("double")).alias("below"), F.avg((F.length("v") <= F.col("m")).cast("double")).alias("upto"))
+    most = long.where("field <> 'text'").groupBy("field", "v").agg(F.count("v").alias("k")).groupBy("field").agg(F.max("k").alias("k"))
+    j = merged.join(exact, "field").join(ranks, "field").join(most, "field", "left")
+    return j.select("field", "rows", "covered", "coverage", "chars", F.col("min_len"), F.col("max_len"),
+                    (F.abs(F.col("distinct_values") - F.col("d")) <= 1 + 5 * 0.0163 * F.col("d")).alias("distinct_within"),
+                    ((F.col("below") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_within"),
+                    F.coalesce(F.get("frequent_values", F.lit(0))["count"] == F.col("k"), F.lit(True)).alias("most_frequent_exact"))
+
+
+@query("profile_by_domain", "WITH " + CORPUS_SQL + """
+SELECT domain, count(*) AS rows, sum(length(text))::BIGINT AS chars, max(length(text)) AS max_len FROM corpus GROUP BY domain""")
+def profile_by_domain(spark, sf):
+    """The same stored rows merged to domains."""
+    rows = spark.read.parquet(profile_store(spark, sf)).where("field = 'text'")
+    return pf.merge_rows(rows, ["domain"]).select("domain", "rows", "chars", "max_len")

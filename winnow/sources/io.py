@@ -181,19 +181,28 @@ def parquet_nulls(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*items)).alias("s"), "_rows").select("s.*", F.col("_rows").alias("num_rows"))
 
 
-def _footer_rows(batches):
-    import pandas as pd
+def _open(path: str):
+    """A file of a listing, opened where the task runs; a scheme that the worker
+    cannot open is an error."""
     import pyarrow.fs as pafs
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
+    fs, rel = pafs.FileSystem.from_uri(path)
+    return fs.open_input_file(rel)
+
+
+def _metadata(f):
     import pyarrow.parquet as pq
+    return pq.ParquetFile(f).metadata
+
+
+def _footer_rows(batches):
+    import pandas as pd
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            if p.startswith("file:"):
-                fs, rel = pafs.LocalFileSystem(), "/" + p[5:].lstrip("/")
-            else:  # a scheme that the worker cannot open is an error
-                fs, rel = pafs.FileSystem.from_uri(p)
-            with fs.open_input_file(rel) as fh:
-                md = pq.ParquetFile(fh).metadata
+            with _open(p) as fh:
+                md = _metadata(fh)
             out.append((p, md.num_rows, md.num_row_groups, md.num_columns, md.serialized_size))
         yield pd.DataFrame(out, columns=["path", "num_rows", "num_row_groups", "num_columns", "footer_bytes"])
 
@@ -206,18 +215,72 @@ def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_footer_rows, "path string, num_rows long, num_row_groups long, num_columns long, footer_bytes long")
 
 
+def _below(value: Column):
+    return lambda edge: edge < value
+
+
+def z_value(df: DataFrame, cols: list[str], bits: int = 10) -> Column:
+    """Place on the Z-order curve over ``cols``: every column's value becomes its
+    bucket among 2^bits (cut points from one sketch pass, at most 2^bits a
+    column), and the buckets' bits are interleaved.  Nulls come first."""
+    parts = 1 << bits
+    probs = [i / parts for i in range(1, parts)]
+    number = {c: F.col(c).cast("double") if dict(df.dtypes)[c] not in ("date", "timestamp", "timestamp_ntz") else
+              F.unix_timestamp(F.col(c).cast("timestamp")).cast("double") for c in cols}
+    cuts = df.agg(*[F.percentile_approx(number[c], probs, 10 * parts).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    z = F.lit(0).cast("bigint")
+    for i, c in enumerate(cols):
+        edges = F.array(*[F.lit(float(x)) for x in sorted(set(cuts[i] or []))]).cast("array<double>")
+        at = F.when(number[c].isNull(), 0).otherwise(F.size(F.filter(edges, _below(number[c]))))
+        for b in range(bits):
+            z = z + F.shiftleft(F.shiftright(at, b).bitwiseAND(F.lit(1)).cast("bigint"), b * len(cols) + i)
+    return z
+
+
 def rewrite_parquet(df: DataFrame, out: str, row_group_rows: int = 100_000, sort_col: str | None = None,
-                    compression: str = "snappy") -> None:
+                    compression: str = "snappy", cluster_by: list[str] | None = None, files: int | None = None) -> None:
     """Rewrite for reading: snappy, bounded row groups, dictionary and
-    statistics on, optionally clustered by ``sort_col`` for data skipping."""
-    if sort_col:
-        df = df.repartitionByRange(range_parts(df), sort_col).sortWithinPartitions(sort_col)
+    statistics on, optionally clustered for data skipping -- by ``sort_col``, or
+    by several columns along the Z-order curve, so that a filter on any of them
+    skips row groups."""
+    n = files or range_parts(df)
+    if cluster_by:
+        df = (df.withColumn("_z", z_value(df, cluster_by)).repartitionByRange(n, "_z")
+              .sortWithinPartitions("_z").drop("_z"))
+    elif sort_col:
+        df = df.repartitionByRange(n, sort_col).sortWithinPartitions(sort_col)
     (df.write.mode("overwrite").option("compression", compression)
        .option("parquet.block.row.count.limit", row_group_rows)
        .option("parquet.enable.dictionary", "true")
        .option("parquet.statistics.enabled", "true").parquet(out))
 
 
+def row_groups(spark: SparkSession, path: str, ranges: dict[str, tuple]) -> DataFrame:
+    """(path, row_group, rows, codec, hit) of every row group, from the footers
+    alone: ``hit`` tells whether its statistics let a reader with the filter
+    ``ranges`` (column -> lowest, highest) skip it or not."""
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for p in pdf["path"]:
+                with _open(p) as f:
+                    md = _metadata(f)
+                for g in range(md.num_row_groups):
+                    rg, hit, codecs = md.row_group(g), True, set()
+                    for c in range(rg.num_columns):
+                        col = rg.column(c)
+                        codecs.add(col.compression)
+                        if col.path_in_schema in ranges and col.statistics is not None and col.statistics.has_min_max:
+                            lo, hi = ranges[col.path_in_schema]
+                            hit = hit and not (col.statistics.max < lo or col.statistics.min > hi)
+                    out.append((p, g, rg.num_rows, ",".join(sorted(codecs)), hit))
+            yield pd.DataFrame(out, columns=["path", "row_group", "rows", "codec", "hit"])
+
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path"))
+    return files.mapInPandas(run, "path string, row_group int, rows bigint, codec string, hit boolean")
+
+
 def write_by_domain(df: DataFrame, out: str, domain_col: str = "domain", max_records: int = 100_000,
                     compression: str = "zstd") -> None:
     """One directory per domain (missing -> 'unknown'), files of about
