@@ -19,7 +19,8 @@ characters of each, at a hash-chosen place).  Scoring is one narrow pass over
 whole texts with a model of a few kilobytes.
 
 Defined results: null and empty text are scored like a text without evidence;
-unlabelled and null-id rows are scored but not learned from; without both
+unlabelled and null-id rows are scored but not learned from; of rows that share
+an id and a label the smallest sampled text is learned from; without both
 classes among the training rows every score is their share of label 1 (0 when
 there are none); an empty table gives no rows; other columns are not read.
 """
@@ -154,7 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         chosen.where("y = 0").orderBy(draw, "k").limit(ORDINARY))
     place = F.pmod(F.xxhash64(F.lit("place"), k), F.greatest(F.lit(1), F.length("t") - CHARS + 1)).cast("int") + 1
     rows = (d.where(F.col("t").isNotNull()).join(F.broadcast(chosen), "k")  # at most TOXIC + ORDINARY rows
-            .select(F.substring("t", place, F.lit(CHARS)).alias("t"), "y", draw.alias("o"), "k").collect())
+            .select(F.substring("t", place, F.lit(CHARS)).alias("t"), "y", draw.alias("o"), "k")
+            .groupBy("k", "y", "o").agg(F.min("t").alias("t")).collect())  # one text an id, however often it repeats
     rows.sort(key=lambda r: (r["o"], r["k"], r["t"]))
     return train([(r["t"].encode(), r["y"]) for r in rows[:TOXIC + ORDINARY]])
 
