@@ -94,7 +94,7 @@ s{k} AS MATERIALIZED (SELECT d.doc_id,
   FROM {prev} d JOIN pairs p ON p.x = d.doc_id JOIN {prev} o ON o.doc_id = p.y
   GROUP BY d.doc_id, d.st)""")
     parts.append(f""",
-seeds AS (SELECT doc_id FROM s{rounds} WHERE st = 1),
+seeds AS (SELECT CASE WHEN st = 0 THEN error('undecided after {rounds} rounds')::BIGINT ELSE doc_id END AS doc_id FROM s{rounds} WHERE st <> 2),
 clusters AS (SELECT doc_id AS cid, doc_id AS m FROM seeds
              UNION SELECT s.doc_id, p.y FROM seeds s JOIN pairs p ON p.x = s.doc_id)""")
     return "".join(parts)
