@@ -16,8 +16,8 @@ from operator import attrgetter
 
 from winnow.llm.common import process_cache
 
-CHUNKS = 100_000   # remembered chunks of a process, a generation
-WORDS = 150_000    # remembered words of a process, a generation
+CHUNKS = 250_000   # remembered chunks of a process, a generation
+WORDS = 200_000    # remembered words of a process, a generation
 SLICE = 1 << 22    # characters split at once
 ODD_SPACE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 CUT = re.compile(r"(?<=[^ \t\r\n])(?=[ \t\r\n])")
@@ -69,7 +69,8 @@ class Encoder:
         self.keeps_space = self.tok.normalizer is None
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         tokenize = self.tok.model.tokenize
-        self.words = Remembered(lambda w: array("I", map(ID, tokenize(w))).tobytes(), WORDS)
+        self.ids = lambda w: array("I", map(ID, tokenize(w))).tobytes()
+        self.words = Remembered(self.ids, WORDS)
         self.chunks = Remembered(self.chunk, CHUNKS)
         self.after_blank = Remembered(lambda c: self.chunk(" " + c), CHUNKS)
 
@@ -83,14 +84,16 @@ class Encoder:
         if stem.isascii():
             if stem.isalpha():
                 low = stem if self.keeps_space else stem.lower()
-                word = self.words[BLANK + low if spaced else low]
-                return word + self.words[end] if end else word
+                if spaced:
+                    low = BLANK + low
+                return self.words[low] + self.words[end] if end else self.ids(low)  # a bare word is remembered as a chunk
         elif stem.isalpha() and max(stem) < LATIN_END:
             low = stem if self.keeps_space else stem.lower()
             if low.isalpha():
                 letters = low.encode().decode("latin-1").translate(LETTERS)
-                word = self.words[BLANK + letters if spaced else letters]
-                return word + self.words[end] if end else word
+                if spaced:
+                    letters = BLANK + letters
+                return self.words[letters] + self.words[end] if end else self.ids(letters)
         if self.keeps_space and LINE_END.fullmatch(body):
             left, right = body.split("\n")
             return (self.after_blank if spaced else self.chunks)[left] + self.words[LETTERS[10]] + self.chunks[right]
