@@ -40,7 +40,7 @@ import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import materialize
+from winnow.llm.common import lean, materialize, trimmed
 from winnow.llm.densified_minhash import mix
 from winnow.llm.gru_langid import remainder
 from winnow.session import scratch_path
@@ -217,7 +217,7 @@ def blocks(docs: DataFrame, group_bits: int, block: int = BLOCK) -> DataFrame:
         if parts:
             yield from flush(at, numbers, parts, ids, held, train)
 
-    return docs.mapInArrow(run, BLOCK_SCHEMA)
+    return docs.mapInArrow(lean(run), BLOCK_SCHEMA)
 
 
 # ------------------------------------------------------- groups: sum and answer
@@ -276,7 +276,7 @@ def _answer_bigrams(requests: DataFrame, ranges: DataFrame, group_bits: int, sha
                                                   pa.array(found, pa.binary()), pa.array([0] * n, pa.int64())],
                                                  names=["block", "kind", "grp", "answer", "known"])
 
-        (requests.where(shard == s).select("block", "grp", "keys").mapInArrow(run, ANSWER_SCHEMA)
+        (requests.where(shard == s).select("block", "grp", "keys").mapInArrow(trimmed(run), ANSWER_SCHEMA)
          .write.mode("append").parquet(path))
         held.destroy()
     return spark.read.schema(ANSWER_SCHEMA).parquet(path)
@@ -339,5 +339,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold_
     answers = (counted.unionByName(levels).groupBy("block")
                .agg(F.collect_list(F.struct("kind", "grp", "answer")).alias("answers")))  # a block's, so bounded
     return (texts.select("block", "keys", "counts", "docs", "held", "lengths").join(answers, "block")
-            .mapInArrow(_score(n, v), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+            .mapInArrow(trimmed(_score(n, v)), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
                                       "train_tokens bigint, base_score double, score double"))

@@ -90,17 +90,22 @@ def release() -> None:
         trim(0)
 
 
-def lean(run):
-    """A mapInArrow body that sees its batches in small slices, so Python
-    objects of a few rows exist at a time, and leaves a trimmed worker."""
+def trimmed(run):
+    """A mapInArrow body that leaves a trimmed worker behind its task."""
     def wrapped(batches):
         try:
-            yield from run(s for b in batches for s in slices(b))
+            yield from run(batches)
         finally:
             release()
     return wrapped
 
 
+def lean(run):
+    """A trimmed body that sees its batches in small slices, so Python objects
+    of a few rows exist at a time."""
+    return trimmed(lambda batches: run(s for b in batches for s in slices(b)))
+
+
 def map_rows(docs: DataFrame, fn) -> DataFrame:
     """``docs`` with every batch slice put through ``fn`` (RecordBatch -> the
     same columns, of changed or fewer rows).  Rows pass through the worker
