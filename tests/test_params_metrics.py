@@ -125,3 +125,14 @@ def test_prompts(spark, tmpdir_session):
         f.write("{oops\n")
     with pytest.raises(Exception):
         io.read_prompts(spark, path).collect()
+
+
+def test_queries_on_a_table_whose_last_name_lacks_models(spark, tmp_path):
+    """Six vectors: w0 has all models, w1 the base and m1 alone."""
+    from winnow.plans import q_params as qp
+    spark.createDataFrame([(i, [float(i)]) for i in range(6)], "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    sf = str(tmp_path)
+    assert sorted(map(tuple, qp.vector_diff(spark, sf).collect())) == [("m1", "w0", 0, 1.0), ("m1", "w1", 0, 1.0), ("m2", "w0", 0, 2.0), ("m3", "w0", 0, 3.0)]
+    assert sorted(map(tuple, qp.merge_weighted(spark, sf).collect())) == [("w0", 0, 1.7), ("w1", 0, 4.5)]
+    assert sorted((r.model, r.norm) for r in qp.diff_stats(spark, sf).collect()) == [("m1", 1.414214), ("m2", 2.0), ("m3", 3.0)]
+    assert {r.model for r in qp.diff_outliers(spark, sf).collect()} == {"m1", "m2", "m3"}

@@ -28,13 +28,16 @@ def chunk_vectors(df: DataFrame, size: int = 4096) -> DataFrame:
     return df.select(*keep, F.explode(parts).alias("_c")).select(*keep, "_c.chunk", "_c.vec")
 
 
-def vector_diff(base: DataFrame, tuned: DataFrame) -> DataFrame:
+def vector_diff(base: DataFrame, tuned: DataFrame, partial: bool = False) -> DataFrame:
     """([model,] name, chunk, vec = tuned - base) for every base parameter of
     every tuned model, all models in one join.  A base parameter that a model
-    lacks raises; extra tuned names are ignored."""
+    lacks raises or, with ``partial``, has no delta of that model; extra tuned
+    names are ignored."""
     by = [c for c in ("model",) if c in tuned.columns]
     b = _keyed(base).select(*KEY, F.col("vec").alias("b"))
     t = _keyed(tuned).select(*by, *KEY, F.col("vec").alias("t"))
+    if partial:
+        return b.join(t, KEY).select(*by, *KEY, F.zip_with("t", "b", lambda x, y: x - y).cast("array<double>").alias("vec"))
     want = b
     if by:  # names of the models: one short row each, bounded by the number of models
         models = [r["model"] for r in tuned.select("model").distinct().collect()]

@@ -76,7 +76,7 @@ def jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(model, name, vec array<double>) over the whole embeddings table:
     model = base, m1, m2, m3 by vec_id % 4, name = 'w' || vec_id / 4, so
-    every name has one base and three tuned vectors."""
+    every name has one base and three tuned vectors, the last maybe fewer."""
     e = table(spark, sf_dir, "embeddings")
     model = _case((F.col("vec_id") % 4).cast("int"), ["base", "m1", "m2", "m3"])
     return e.select(model.alias("model"), F.concat(F.lit("w"), F.floor(F.col("vec_id") / 4).cast("string")).alias("name"),

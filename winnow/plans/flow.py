@@ -137,7 +137,7 @@ def _convert_gate(spark, out) -> int:
 def _delta(spark, paths, out, params):
     p = spark.read.parquet(paths["params"])
     base = params["base"]
-    pa.vector_diff(p.where(F.col("model") == base), p.where(F.col("model") != base)).write.mode("overwrite").parquet(out)
+    pa.vector_diff(p.where(F.col("model") == base), p.where(F.col("model") != base), params["partial"]).write.mode("overwrite").parquet(out)
 
 
 def _merge(spark, paths, out, params):
@@ -163,11 +163,12 @@ def _metrics_gate(spark, out) -> int:
     return 1
 
 
-def phases(strategy: str = "longest", base: str = "base", normalize: bool = False) -> list[Stage]:
-    """The reference order of phases with their parameters."""
+def phases(strategy: str = "longest", base: str = "base", normalize: bool = False, partial: bool = False) -> list[Stage]:
+    """The reference order of phases with their parameters; ``partial``: tuned
+    models may lack parameters of the base."""
     return [Stage("dedup", _dedup, _dedup_gate, ("docs",), params={"strategy": strategy}),
             Stage("convert", _convert, _convert_gate, needs=("dedup",)),
-            Stage("delta", _delta, _vector_gate, ("params",), params={"base": base}),
+            Stage("delta", _delta, _vector_gate, ("params",), params={"base": base, "partial": partial}),
             Stage("merge", _merge, _vector_gate, ("params", "weights"), ("delta",), {"base": base, "normalize": normalize}),
             Stage("metrics", _metrics, _metrics_gate, ("pairs",))]
 
