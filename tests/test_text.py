@@ -80,3 +80,15 @@ def test_parse_timestamp(spark):
     got = [r.x for r in df.select(scoring.parse_timestamp(F.col("t")).alias("x")).collect()]
     assert [g.isoformat() if g else None for g in got] == [
         "2024-01-02T03:04:05", "2024-01-02T03:04:05", "2024-01-02T00:00:00", "2024-01-02T03:04:05", "2024-01-02T00:00:00", None, None]
+
+
+def test_jamo_batch_works_in_bounded_slices():
+    """Rows of any size, nulls among them: slices stay small and the result is
+    that of every row alone."""
+    import pyarrow as pa
+    texts = pa.array(["각a", None, "", "가" * 700_000, "plain"] + ["한글 text"] * 200_000)
+    assert max(len(s) for s in tx.text_slices(texts)) < 120_000 and sum(len(s) for s in tx.text_slices(texts)) == len(texts)
+    got = tx._jamo_batch(texts)
+    assert len(got) == len(texts) and got[:3].to_pylist() == tx._jamo_batch(texts[:3]).to_pylist() == ["각a", None, ""]
+    assert got[3].as_py() == "가" * 700_000 and got[5].as_py() == got[-1].as_py() == tx._jamo_batch(pa.array(["한글 text"]))[0].as_py()
+    assert len(tx._jamo_batch(pa.array([], pa.string()))) == 0
