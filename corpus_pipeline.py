@@ -15,8 +15,8 @@ from winnow.session import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of no language (null text, or no letter in it) go; rows without a
-    label get the predicted one."""
+    """Rows of no language (null text, or no letter in it) go; every other row is
+    labelled with the predicted one, by which ``packing`` groups."""
     return gru_langid.keep_lettered(docs)
 
 
@@ -36,8 +36,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as pieces of 1024-token sequences."""
-    return best_fit.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
+    """Documents as pieces of 1024-token sequences, each of one language."""
+    return best_fit.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=2, group_col="lang")
 
 
 STAGES = [

@@ -119,3 +119,18 @@ def test_empty_documents_run_through(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_language_of_the_text_decides_labels_and_sequences(spark, make_docs):
+    texts = ["der hund und die katze " * 20, "the dog and the cat " * 20] * 30 + ["the dog and the cat " * 20]
+    docs = make_docs(texts, lang=["de", "en"] * 30 + ["de"])  # the last label is wrong
+    told = cp.language_id(spark, docs, "")
+    by = {r["doc_id"]: r["lang"] for r in told.collect()}
+    assert by == {i: ("de", "en")[i % 2] for i in range(60)} | {60: "en"}
+    seqs = {}
+    for p in cp.packing(spark, told, "").collect():
+        seqs.setdefault(p.sequence_id, []).append(p)
+    assert all(len({by[p.doc_id] for p in s}) == 1 for s in seqs.values()) and {p.doc_id for s in seqs.values() for p in s} == set(by)
+    for s in seqs.values():
+        s.sort(key=lambda p: p.offset)
+        assert [p.offset for p in s] == [sum(q.length for q in s[:i]) for i in range(len(s))] and sum(p.length for p in s) <= 1024

@@ -14,11 +14,13 @@ the same rows.
 
 Defined results: null text is empty (the end id alone); a repeated doc_id is
 packed per row; a null doc_id is kept; an empty table gives no rows; other
-columns are ignored.
+columns are ignored.  With ``group_col`` a sequence takes documents of one
+group alone (null is a group), and a split has a packer a group.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from array import array
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import id_text, lean, materialize
+from winnow.llm.common import lean, materialize
 from winnow.llm.tokenizing import encoder
 
 OPEN = 1024          # open sequences of a packer
@@ -38,8 +40,8 @@ SPLIT_BITS = 33      # low bits of a sequence id: its number within the split
 class Packer:
     """Online best-fit into bins of ``size``; ``put`` returns (bin, offset)."""
 
-    def __init__(self, size: int, limit: int):
-        self.size, self.limit, self.bins, self.open, self.mask = size, limit, 0, 0, 0
+    def __init__(self, size: int, limit: int, numbers=None):
+        self.size, self.limit, self.numbers, self.open, self.mask = size, limit, numbers or itertools.count(), 0, 0
         self.by_free: list[list[int]] = [[] for _ in range(size + 1)]
 
     def _push(self, free: int, b: int) -> None:
@@ -60,7 +62,7 @@ class Packer:
             free = n + (fits & -fits).bit_length() - 1
             b = self._pop(free)
         else:
-            b, free, self.bins = self.bins, self.size, self.bins + 1
+            b, free = next(self.numbers), self.size
         if free > n:
             self._push(free - n, b)
             if self.open > self.limit:
@@ -76,15 +78,19 @@ def _split_pieces(docs: DataFrame, vocab: str, end_id: int, size: int, limit: in
     """Pieces of every split as packed there; ``used`` marks the extra rows
     that name the split's open rests."""
     end = array("I", [end_id]).tobytes()
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "used", "ids"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "used", "ids", "grp"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.string()]
 
     def run(batches):
         from pyspark import TaskContext
-        enc, packer, base = encoder(vocab), Packer(size, limit), TaskContext.get().partitionId() << SPLIT_BITS
+        enc, numbers, base = encoder(vocab), itertools.count(), TaskContext.get().partitionId() << SPLIT_BITS
+        packers: dict = {}
         for b in batches:
             rows = []
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for d, t, g in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("grp").to_pylist()):
+                if g not in packers:
+                    packers[g] = Packer(size, limit, numbers)
+                packer = packers[g]
                 ids = enc.encode(t or "") + end
                 n = len(ids) // 4
                 lo, k = 0, 0
@@ -92,39 +98,42 @@ def _split_pieces(docs: DataFrame, vocab: str, end_id: int, size: int, limit: in
                     hi = lo + ((n - lo - 1) % size + 1)  # the remainder first, full pieces after it
                     seq, at = packer.put(hi - lo)
                     part = ids[4 * lo:4 * hi]
-                    rows.append((d, k, lo, hi - lo, zlib.crc32(part), base + seq, at, None, part if with_ids else None))
+                    rows.append((d, k, lo, hi - lo, zlib.crc32(part), base + seq, at, None, part if with_ids else None, g))
                     lo, k = hi, k + 1
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-        if rest := packer.rests():
+        if rest := [r for p in packers.values() for r in p.rests()]:
             yield pa.RecordBatch.from_pydict(
                 {n: pa.array([base + s for s, _ in rest] if n == "sequence_id" else [u for _, u in rest] if n == "used"
                              else [None] * len(rest), t) for n, t in zip(names, types)})
 
-    return id_text(docs).mapInArrow(lean(run), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
-                                         "sequence_id bigint, offset bigint, used int, ids binary")
+    return docs.mapInArrow(lean(run), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
+                                         "sequence_id bigint, offset bigint, used int, ids binary, grp string")
 
 
 def _merge(size: int, limit: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "sequence_id", "offset"], ascending=[False, True, True])
-        packer, group = Packer(size, limit), int(pdf["g"].iat[0])
-        placed = [packer.put(n) for n in pdf["length"].tolist()]
+        packers, numbers, group = {}, itertools.count(), int(pdf["g"].iat[0])
+        for x in pdf["grp"].unique():
+            packers[x] = Packer(size, limit, numbers)
+        placed = [packers[x].put(n) for x, n in zip(pdf["grp"], pdf["length"].tolist())]
         return pd.DataFrame({"sequence_id": pdf["sequence_id"].to_numpy(), "offset": pdf["offset"].to_numpy(),
                              "into": [-1 - (group << SPLIT_BITS) - b for b, _ in placed], "at": [at for _, at in placed]})
     return run
 
 
 def pack(docs: DataFrame, vocab: str, end_id: int, size: int = 1024, limit: int = OPEN, with_ids: bool = False,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", group_col: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset (and ids, uint32 bytes, ``with_ids``)."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    group = (F.col(group_col) if group_col else F.lit(None)).cast("string")
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), group.alias("grp"))
     rows = materialize(_split_pieces(docs, vocab, end_id, size, limit, with_ids), "pieces")
     rests = rows.where(F.col("used").isNotNull()).select("sequence_id")
     pieces = rows.where(F.col("used").isNull()).drop("used")
     groups = max(1, rests.count() // GROUP)
-    loose = (pieces.select("sequence_id", "offset", "length").join(rests, "sequence_id", "left_semi")
+    loose = (pieces.select("sequence_id", "offset", "length", "grp").join(rests, "sequence_id", "left_semi")
              .withColumn("g", F.pmod(F.xxhash64("sequence_id"), F.lit(groups))))
     moved = loose.groupBy("g").applyInPandas(_merge(size, limit), "sequence_id bigint, offset bigint, into bigint, at bigint")
     out = pieces.join(moved, ["sequence_id", "offset"], "left").select(

@@ -209,8 +209,9 @@ def tell(langs: list[str], params: dict | None, texts: list) -> tuple[list[str],
 
 
 def keep_lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows whose own text is null or has no letter; a row
-    without a label gets the predicted one (none, if there is no model)."""
+    """``docs`` without the rows whose own text is null or has no letter; every
+    row's label becomes the language its text is in, whatever the table said
+    (without a model labels stay)."""
     langs, params = fit(docs, id_col, text_col, lang_col)
 
     tells = params is not None and lang_col in docs.columns
@@ -221,13 +222,7 @@ def keep_lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         batch, texts = batch.filter(pa.array(some, pa.bool_())), [t for t, keep in zip(texts, some) if keep]
         if not tells:
             return batch
-        label = batch.column(lang_col).to_pylist()
-        bare = [i for i, x in enumerate(label) if x is None]
-        if not bare:
-            return batch
-        for i, x in zip(bare, tell(langs, params, [texts[i] for i in bare])[0]):
-            label[i] = x
-        return replaced(batch, lang_col, pa.array(label, pa.string()))
+        return replaced(batch, lang_col, pa.array(tell(langs, params, texts)[0], pa.string()))
 
     return map_rows(docs.withColumn(text_col, F.col(text_col).cast("string")), judge)
 
