@@ -48,3 +48,25 @@ def test_band_keys_split_signature(spark):
     df = spark.createDataFrame([(list(range(128)),)], "sig array<bigint>")
     b = df.select(F.explode(mh.band_strings("sig")).alias("b")).select("b.*").collect()
     assert len(b) == 9 and b[0].key == ",".join(str(i) for i in range(13))
+
+
+def test_text_signature_is_that_of_the_shingle_set(spark):
+    """Against the set of shingles, for long, short, Hangul, four-word and astral
+    texts, whatever the gram sizes; a long document is signed in pieces."""
+    import random
+
+    from winnow.operators import dedup as dd
+    rng = random.Random(4)
+    words = ["가각", "tree", "İstanbul", "ΟΔΟΣ", "𝔘nd", "x", "입니다", "Straße", "a.b"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(40)]
+    texts += ["하나 둘 셋 넷입니다", "one two three four", "abcdefghij", " ".join(f"w{i}" for i in range(30_000)), None, "short"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for cfg in (dd.DEFAULT, dd.DedupConfig(ngram_size=2, jamo_ngram_size=4, min_chars=3), dd.DedupConfig(ngram_size=3, jamo_ngram_size=3, min_chars=1, min_grams=1)):
+        sets = dd.shingle_sets(docs, cfg)
+        want = {r.doc_id: r.s for r in sets.select("doc_id", mh.minhash_signature("shingles").alias("s")).collect()}
+        plain = {}
+        consts = mh.perm_constants()
+        for r in sets.select("doc_id", mh.shingle_hashes("shingles").alias("h")).where("doc_id < 8").collect():
+            plain[r.doc_id] = [min((a * h + b) % mh.MERSENNE_P for h in r.h) for a, b in consts]
+        got = {r.doc_id: r.sig for r in dd.signatures(docs, cfg).collect()}
+        assert got == want and {k: got[k] for k in plain} == plain and len(got) > 40
