@@ -129,3 +129,42 @@ def test_normalize_docs(spark):
     df = spark.createDataFrame([(1, " a\u3000 b ", " en "), (2, "", "ko"), (3, None, None)], "doc_id long, text string, lang string")
     got = [(r.doc_id, r.text, r.lang) for r in dd.normalize_docs(df).orderBy("doc_id").collect()]
     assert got == [(1, "a b", "en"), (2, None, "ko"), (3, None, None)]
+
+
+def test_numbered_lines_are_not_shuffled(spark, tmp_path):
+    """Only the counts of the splits move: the lines meet them in a broadcast join."""
+    from winnow.sources.lines import read_lines
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(50)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = read_lines(spark, str(tmp_path / "a.txt"))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [(r.line_no, r.value) for r in lines.orderBy("line_no").collect()] == [(i + 1, f"line {i}") for i in range(50)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_by_domain_layout_bounds_the_bytes_of_a_task(spark, tmp_path, monkeypatch):
+    """Few, long rows: a domain is cut by its bytes, with no row lost, and no
+    shuffle brings a whole domain into one task."""
+    import glob
+    from winnow.sources import io
+    rows = [(i, "x" * 1000, ["y" * 500] * 2, "big" if i % 10 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tokens array<string>, domain string")
+    monkeypatch.setattr(io, "TASK_BYTES", 50_000, raising=False)
+    out = str(tmp_path / "out")
+    io.write_by_domain(df, out)
+    assert 10 <= len(glob.glob(out + "/domain=big/*.parquet")) <= 15 and 1 <= len(glob.glob(out + "/domain=unknown/*.parquet")) <= 2
+    assert sorted(map(tuple, spark.read.parquet(out).select("doc_id", "text", "tokens", "domain").collect())) == \
+        sorted((i, t, k, d or "unknown") for i, t, k, d in rows)
+
+
+def test_z_order_bucket_is_found_in_a_few_steps(spark):
+    from pyspark.sql import functions as F
+    from winnow.sources import io
+    for n in (0, 1, 2, 3, 6, 7):
+        edges = [float(3 * i) for i in range(n)]
+        at = io._rank(F.array(*[F.lit(x) for x in edges]).cast("array<double>"), F.col("v"), 3)
+        got = spark.createDataFrame([(float(v),) for v in range(-2, 24)] + [(float("nan"),)], "v double").select("v", at.alias("k")).collect()
+        assert [r.k for r in got] == [sum(e < v for e in edges) for v in range(-2, 24)] + [n]

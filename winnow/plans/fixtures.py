@@ -33,9 +33,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents + domain + tokens + ts_raw (three layouts, junk and null)."""
-    d = spread(documents(spark, sf_dir))
+def corpus(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """documents + domain + tokens + ts_raw (three layouts, junk and null).
+    ``docs``: the documents in an order of their own, which is kept."""
+    d = spread(documents(spark, sf_dir)) if docs is None else docs
     k = (F.col("doc_id") % 5).cast("int")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
     ds = F.date_format(day, "yyyy-MM-dd")
@@ -53,11 +54,11 @@ def hangul(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.translate(F.lower("text"), LATIN, HANGUL_MAP).alias("text"), "lang", "source")
 
 
-def jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jsonl_lines(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """(line_no, value) JSONL rendering of corpus rows with rule-broken lines:
     %97 -> '{bad', %89 -> blank, %83 -> text null, %79 -> no source key,
     %73 -> number in lang."""
-    c = corpus(spark, sf_dir)
+    c = corpus(spark, sf_dir, docs)
     i = F.col("doc_id")
     base = F.struct("doc_id", "text", "source", "lang", "domain", "tokens", "ts_raw")
     no_src = F.struct("doc_id", "text", "lang", "domain", "tokens", "ts_raw")
