@@ -70,3 +70,36 @@ def test_text_signature_is_that_of_the_shingle_set(spark):
             plain[r.doc_id] = [min((a * h + b) % mh.MERSENNE_P for h in r.h) for a, b in consts]
         got = {r.doc_id: r.sig for r in dd.signatures(docs, cfg).collect()}
         assert got == want and {k: got[k] for k in plain} == plain and len(got) > 40
+
+
+def test_gram_totals_are_those_of_the_grams(spark):
+    """Counts and hash sums without a row per gram, with repeats and as a set in
+    which a word window may equal a character window."""
+    import random
+
+    from winnow.functions import text as tx
+    from winnow.operators import dedup as dd
+    rng = random.Random(5)
+    words = ["가각", "tree", "İ", "a", "𝔘nd", "입니다", "aaa", "Straße"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(30)] + ["", "ab", "하나 둘 셋 넷입니다", "aaaaaaaaaa aaa aaa"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def summed(rows, col):
+        e = rows.select("doc_id", F.explode(col).alias("s"))
+        return {r[0]: (r[1], r[2]) for r in e.groupBy("doc_id").agg(F.count("s"), F.sum(mh.base_hash_expr("s"))).collect()}
+
+    for w, c, grams in ((5, 0, tx.word_ngrams("text", 5)), (0, 3, tx.jamo_ngrams("text", 3)), (0, 4, tx.jamo_ngrams("text", 4))):
+        got = docs.select("doc_id", mh.text_totals(F.col("text"), w, c, distinct=False).alias("t")).select("doc_id", "t.*").collect()
+        assert {r[0]: (r[1], r[2]) for r in got} == summed(docs, grams)
+    for cfg in (dd.DEFAULT, dd.DedupConfig(ngram_size=1, min_chars=1, min_grams=1), dd.DedupConfig(ngram_size=2, jamo_ngram_size=4, min_chars=3)):
+        got = dd.shingle_totals(docs, cfg).select("doc_id", "totals.*").collect()
+        want = summed(dd.shingle_sets(docs, cfg), F.col("shingles"))
+        assert {r[0]: (r[1], r[2]) for r in got} == want and len(want) > 20
+        assert {r[0]: len(set(r[1])) for r in dd.shingle_elements(docs, cfg).collect()} == {k: v[0] for k, v in want.items()}
+
+
+def test_gram_queries_make_no_row_per_gram(spark):
+    from winnow.plans import q_dedup as q
+    for query in (q.shingles, q.word_ngrams, q.jamo_ngrams):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan
