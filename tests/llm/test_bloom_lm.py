@@ -94,3 +94,10 @@ def test_edge_cases(spark, make_docs):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     only = lm.score(make_docs(["a b"], ids=[held])).collect()
     assert only[0]["train_tokens"] == 0 and only[0]["base_score"] == 0 and math.isfinite(only[0]["score"])
+
+
+def test_a_range_is_answered_where_it_is_built(spark, make_docs, monkeypatch):
+    """No part of the filter is collected or broadcast, and every request gets its level."""
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: pytest.fail("broadcast"))
+    rows = [(d, " ".join(f"w{(d * k) % 7}" for k in range(20))) for d in range(40)]
+    compare(lm.score(make_docs([t for _, t in rows], ids=[d for d, _ in rows]), block=60, group_tokens=20).collect(), brute(rows), loose=0.08)

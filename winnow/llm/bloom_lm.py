@@ -13,12 +13,10 @@ How it runs, one narrow pass over the texts and shuffles of packed numbers only:
    distinct unigram and bigram hashes with their training counts, packed by
    hash range (group).  A word or bigram leaves a block once, however hot.
 2. Unigram groups sum the requests and answer each block with exact counts.
-3. Bigram groups sum theirs and write their range of the filter; a range is
-   sized by its members, so the filter grows with the corpus.
-4. The filter is broadcast in shards of at most SHARD_BYTES (one, if it fits);
-   each shard answers the requests of its ranges.  Probes are made once each;
-   every further shard costs one more read of the packed request table.
-5. Answers meet their block, and documents are scored.
+3. Bigram groups sum theirs, write their range of the filter and answer every
+   block's requests from it, where they are: a range is sized by its members, so
+   the filter grows with the corpus and is never sent anywhere.
+4. Answers meet their block, and documents are scored.
 
 Group counts follow the measured size of the texts.  All rows cover all tokens:
 nothing is pruned, so the false-positive rate does not depend on the corpus.
@@ -43,7 +41,6 @@ from pyspark.sql import functions as F
 from winnow.llm.common import lean, materialize, trimmed
 from winnow.llm.densified_minhash import mix
 from winnow.llm.gru_langid import remainder
-from winnow.session import scratch_path
 
 BASE = 1.5                 # quantisation of counts
 LEVELS = 110               # BASE ** 109 exceeds any 64-bit count
@@ -51,7 +48,6 @@ MU = 8.0                   # weight of the unigram in the smoothing
 BITS, PROBES = 10, 5       # filter bits and hash functions a member
 BLOCK = 1 << 20            # tokens of a block, about
 GROUP_TOKENS = 1 << 19     # corpus tokens behind a hash range, about
-SHARD_BYTES = 32 << 20     # filter bytes broadcast at once
 END = b" "                 # the end token: no word holds a blank
 SEED = 42
 
@@ -240,48 +236,21 @@ def unigram_answers(table: pa.Table) -> pa.Table:
                      "answer": pa.array([pack_planes(total[p]) for p in places], pa.binary()), "known": pa.array(known, pa.int64())})
 
 
-def bigram_range(table: pa.Table) -> pa.Table:
+def bigram_answers(table: pa.Table) -> pa.Table:
+    """Builds the filter of a hash range and answers the range's requests from it."""
     rows = table.to_pydict()
-    distinct, total, _ = _sums(rows)
+    distinct, total, places = _sums(rows)
     seen = total > 0
-    raw = build_range(distinct[seen], total[seen])
-    return pa.table({"grp": pa.array(rows["grp"][:1], pa.int64()), "size": pa.array([len(raw)], pa.int64()),
-                     "bits": pa.array([raw], pa.binary())})
+    level = probe_range(build_range(distinct[seen], total[seen]), distinct)
+    n = len(places)
+    return pa.table({"block": pa.array(rows["block"], pa.int64()), "kind": pa.array([BIGRAM] * n, pa.int32()),
+                     "grp": pa.array(rows["grp"], pa.int64()),
+                     "answer": pa.array([pack_planes(level[p]) for p in places], pa.binary()), "known": pa.array([0] * n, pa.int64())})
 
 
 ANSWER_SCHEMA = "block bigint, kind int, grp bigint, answer binary, known bigint"
 
 
-def _answer_bigrams(requests: DataFrame, ranges: DataFrame, group_bits: int, shard_bytes: int) -> DataFrame:
-    """Levels of all bigram requests, shard of the filter by shard."""
-    spark = requests.sparkSession
-    total = ranges.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    while True:  # ranges are hash-sized: shards come out even, and larger ones are cut again
-        shard = (F.col("grp") * shards / F.lit(1 << group_bits)).cast("int")
-        if shards >= 1 << group_bits or (ranges.groupBy(shard.alias("s")).agg(F.sum("size").alias("b")).agg(F.max("b"))
-                                         .first()[0] or 0) <= 1.25 * shard_bytes:
-            break
-        shards *= 2
-    path = scratch_path(spark, "levels")
-    for s in range(shards):
-        held = spark.sparkContext.broadcast({r["grp"]: bytes(r["bits"]) for r in ranges.where(shard == s).select("grp", "bits").collect()})
-
-        def run(batches, held=held):
-            for b in batches:
-                found = [pack_planes(probe_range(held.value[g], unpack_sorted(k)))
-                         for g, k in zip(b.column("grp").to_pylist(), b.column("keys").to_pylist())]
-                n = len(found)
-                yield pa.RecordBatch.from_arrays([b.column("block"), pa.array([BIGRAM] * n, pa.int32()), b.column("grp"),
-                                                  pa.array(found, pa.binary()), pa.array([0] * n, pa.int64())],
-                                                 names=["block", "kind", "grp", "answer", "known"])
-
-        (requests.where(shard == s).select("block", "grp", "keys").mapInArrow(trimmed(run), ANSWER_SCHEMA)
-         .write.mode("append").parquet(path))
-        held.destroy()
-    return spark.read.schema(ANSWER_SCHEMA).parquet(path)
-
-
 # -------------------------------------------------------------------- scoring
 
 def block_scores(tokens: np.ndarray, vocabulary: np.ndarray, counts: np.ndarray, levels: np.ndarray, end: int,
@@ -319,8 +288,9 @@ def _score(n: int, v: int):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold_by: int = 7, hold: int = 2,
-          block: int = BLOCK, group_tokens: int = GROUP_TOKENS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+          block: int = BLOCK, group_tokens: int = GROUP_TOKENS, shard_bytes: int | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    (``shard_bytes`` has no effect any more: no part of the filter is broadcast.)"""
     key = F.col(id_col).cast("bigint")
     left = remainder(key, hold_by)
     rows = docs.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -331,9 +301,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hold_
     uni, bi, texts = (cut.where(F.col("kind") == k) for k in (UNIGRAM, BIGRAM, TEXT))
     counted = materialize(uni.select("block", "grp", "keys", "counts").groupBy("grp").applyInArrow(unigram_answers, ANSWER_SCHEMA),
                           "lm-unigrams")
-    ranges = materialize(bi.select("grp", "keys", "counts").groupBy("grp").applyInArrow(
-        bigram_range, "grp bigint, size bigint, bits binary"), "lm-filter")
-    levels = _answer_bigrams(bi, ranges, group_bits, shard_bytes)
+    levels = materialize(bi.select("block", "grp", "keys", "counts").groupBy("grp").applyInArrow(bigram_answers, ANSWER_SCHEMA),
+                         "lm-levels")
     n = texts.agg(F.sum("n_train")).first()[0] or 0
     v = counted.agg(F.sum("known")).first()[0] or 0
     answers = (counted.unionByName(levels).groupBy("block")
