@@ -92,3 +92,13 @@ def test_jamo_batch_works_in_bounded_slices():
     assert len(got) == len(texts) and got[:3].to_pylist() == tx._jamo_batch(texts[:3]).to_pylist() == ["각a", None, ""]
     assert got[3].as_py() == "가" * 700_000 and got[5].as_py() == got[-1].as_py() == tx._jamo_batch(pa.array(["한글 text"]))[0].as_py()
     assert len(tx._jamo_batch(pa.array([], pa.string()))) == 0
+
+
+def test_strip_takes_the_white_space_of_python_off_both_ends(spark):
+    """Every white-space character and none of its neighbours, without a scan of the text by a pattern."""
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    near = [chr(ord(c) + d) for c in spaces for d in (-1, 1) if not chr(ord(c) + d).isspace() and ord(c) + d > 0]
+    rows = [f"{c}a {c} b{c}{c}" for c in spaces + near] + ["", "".join(spaces), "\u3000x\n", "\u200b x", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, s string").select("i", tx.strip_ws("s").alias("s"))
+    assert {r.i: r.s for r in df.collect()} == {i: None if s is None else s.strip() for i, s in enumerate(rows)}
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
