@@ -1,10 +1,13 @@
 """MinHash / Jaccard literal fixtures and the hash-family contract."""
 
 import hashlib
+import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from winnow.functions import minhash as mh
+from winnow.functions import text as tx
 from winnow.operators import dedup as dd
 
 
@@ -103,3 +106,17 @@ def test_gram_queries_make_no_row_per_gram(spark):
     for query in (q.shingles, q.word_ngrams, q.jamo_ngrams):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "Generate" not in plan
+
+
+def test_elements_tell_grams_apart_as_their_strings_do():
+    """The hashes by array arithmetic and the ones of the grams' strings give the same sets."""
+    rng = random.Random(5)
+    docs = ["".join(rng.choice("ab é가") for _ in range(rng.choice((0, 1, 2, 3, 4, 9, 20)))) for _ in range(200)]
+    docs = [" ".join(d.split()) for d in docs] + ["a b c d입니다", "a b c", "ab", "ABC d", "x" * 99 + " " + "y" * 70 + " z", "y" * 70]
+    lows = [d.lower() for d in docs]
+    for word_n, char_n in ((5, 3), (3, 3), (2, 3), (5, 2)):
+        jamo = tx._jamo_slice(pa.array(docs)).to_pylist()
+        want = mh.gram_hashes(jamo, lows, word_n, char_n, hashed=mh._hashed_wide).to_pylist()
+        got = [s for _, part in mh.text_element_slices(pa.array(docs), pa.array(lows), word_n, char_n) for s in part.to_pylist()]
+        assert [len(s) for s in got] == [len(set(s)) for s in got] == [len(s) for s in want]
+        assert all(len({*got[i]} & {*got[k]}) == len({*want[i]} & {*want[k]}) for i in range(len(docs)) for k in range(i))
